@@ -26,7 +26,10 @@ def clean_text(text: Column, strip_controls_first: bool = False) -> Column:
 
 def is_placeholder(text: Column) -> Column:
     """True for null and for the tokens that stand for removed content."""
-    return text.isNull() | F.lower(F.trim(text)).isin(PLACEHOLDERS)
+    trimmed = F.trim(text)
+    # The length test spares lower-casing long texts.
+    short = F.length(trimmed) <= max(len(p) for p in PLACEHOLDERS)
+    return text.isNull() | (short & F.lower(trimmed).isin(PLACEHOLDERS))
 
 
 def joined_text(title: Column, body: Column) -> Column:

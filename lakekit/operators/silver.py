@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -12,6 +12,7 @@ from lakekit.functions.text import clean_text, is_placeholder, joined_text, word
 from lakekit.schema import COMMENT, EVENT_KEYS, POST, as_events, col_or_null, quoted
 
 INGESTED_AT = "_ingested_at"
+VALID = "_valid"
 
 
 def flatten_community(df: DataFrame, community: str = "channel") -> DataFrame:
@@ -39,60 +40,72 @@ def normalize_raw(
     of many topics are read in one pass.
     """
     df = flatten_community(raw, community)
+    names = df.columns
     topic_col = F.lit(topic) if isinstance(topic, str) else topic
+    body = F.coalesce(
+        col_or_null(names, "selftext", "string"), col_or_null(names, "body", "string")
+    )
     columns = [
-        F.concat_ws("_", F.lit(event_type), F.col("id")).alias("event_id"),
+        F.concat_ws("_", F.lit(event_type), "id").alias("event_id"),
         F.lit(event_type).alias("event_type"),
         topic_col.alias("topic"),
-        col_or_null(df, "channel_name", "string").alias("channel"),
-        col_or_null(df, "channel_nsfw", "boolean").alias("channel_nsfw"),
-        col_or_null(df, "created_utc", "bigint").alias("created_utc"),
-        col_or_null(df, "title", "string").alias("title"),
-        F.coalesce(
-            col_or_null(df, "selftext", "string"), col_or_null(df, "body", "string")
-        ).alias("body_text"),
-        col_or_null(df, "score", "bigint").alias("score"),
-        col_or_null(df, "permalink", "string").alias("permalink"),
-        col_or_null(df, "domain", "string").alias("domain"),
-        col_or_null(df, "url", "string").alias("url"),
-        col_or_null(df, "sentiment", "string").alias("sentiment_source"),
+        col_or_null(names, "channel_name", "string").alias("channel"),
+        col_or_null(names, "channel_nsfw", "boolean").alias("channel_nsfw"),
+        col_or_null(names, "created_utc", "bigint").alias("created_utc"),
+        col_or_null(names, "title", "string").alias("title"),
+        body.alias("body_text"),
+        col_or_null(names, "score", "bigint").alias("score"),
+        col_or_null(names, "permalink", "string").alias("permalink"),
+        col_or_null(names, "domain", "string").alias("domain"),
+        col_or_null(names, "url", "string").alias("url"),
+        col_or_null(names, "sentiment", "string").alias("sentiment_source"),
     ]
-    if INGESTED_AT in df.columns:
+    if INGESTED_AT in names:
         columns.append(F.col(INGESTED_AT))
     # A null id would yield the bare event type as key and fold all such rows
     # into one. They are counted by the bronze and silver gates, and left out here.
-    return df.filter(F.col("id").isNotNull()).select(*columns)
+    return df.filter("id IS NOT NULL").select(*columns)
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key, the first in ``order``.
+def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per key, the first in ``order`` (SQL sort terms).
 
     The rank filter lets Spark keep one row per key and map task before the
-    shuffle, so a key with very many copies does not meet in one task.
+    shuffle, so a key with very many copies does not meet in one task. The hash
+    leads the sort because keys often share their first bytes, which is all that
+    a sort compares cheaply.
     """
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") == 1).drop("_rank")
+    key = ", ".join(quoted(k) for k in keys)
+    rank = (
+        f"row_number() OVER (PARTITION BY xxhash64({key}), {key} ORDER BY {', '.join(order)})"
     )
+    return df.withColumn("_rank", F.expr(rank)).filter("_rank = 1").drop("_rank")
 
 
-def newest_first(df: DataFrame) -> list[Column]:
-    """Survivor order of duplicates: newest ingest, newest event, highest score.
+def newest_first(columns: Sequence[str]) -> list[str]:
+    """Survivor order of duplicates: valid content, newest ingest, newest event, highest score.
 
     The remaining columns only break ties, so that the survivor does not depend
     on how rows happen to be spread over tasks.
     """
-    leading = [c for c in (INGESTED_AT, "created_ts", "score") if c in df.columns]
-    rest = [c for c in df.columns if c not in leading and c not in EVENT_KEYS]
-    return [F.desc_nulls_last(c) for c in leading] + [F.asc_nulls_last(c) for c in rest]
+    leading = [c for c in (VALID, INGESTED_AT, "created_ts", "score") if c in columns]
+    rest = [c for c in columns if c not in leading and c not in EVENT_KEYS]
+    return [f"{quoted(c)} DESC NULLS LAST" for c in leading] + [
+        f"{quoted(c)} ASC NULLS LAST" for c in rest
+    ]
 
 
 def dedup_events(events: DataFrame) -> DataFrame:
-    return latest_per_key(events, EVENT_KEYS, newest_first(events))
+    return latest_per_key(events, EVENT_KEYS, newest_first(events.columns))
 
 
 def clean_events(unified: DataFrame, *, scrub_placeholders: bool = False) -> DataFrame:
-    """Clean, filter and enrich normalized rows; keeps duplicates.
+    """Clean and enrich normalized rows that have a score; keeps duplicates.
+
+    ``_valid`` marks rows with content in the title or the text. It is a column
+    that ranks before everything else, and is filtered after the de-duplication:
+    filtering first gives the same rows, but Spark would push that filter below
+    the projection and clean each text twice.
 
     By default a placeholder body stays inside the text of a post whose title is
     valid. ``scrub_placeholders`` drops such parts before joining.
@@ -103,24 +116,24 @@ def clean_events(unified: DataFrame, *, scrub_placeholders: bool = False) -> Dat
         title = F.when(~is_placeholder(title), title)
         body = F.when(~is_placeholder(body), body)
 
-    cleaned = unified.filter(F.col("score").isNotNull()).withColumns(
-        {"title": title, "text": joined_text(title, body)}
-    )
-    valid = cleaned.filter(~is_placeholder(F.col("title")) | ~is_placeholder(F.col("text")))
-    created_ts = F.timestamp_seconds("created_utc")
-    return (
-        valid.withColumn("created_ts", created_ts)
-        .withColumns(
-            {
-                "created_date": F.to_date("created_ts"),
-                "created_hour": F.hour("created_ts").cast("long"),
-                "created_dow": F.dayofweek("created_ts").cast("long"),
-                "text_length": F.length("text").cast("long"),
-                "word_count": word_count(F.col("text")),
-            }
-        )
-        .drop("created_utc", "body_text")
+    cleaned = unified.filter("score IS NOT NULL").withColumns(
+        {
+            "title": title,
+            "text": joined_text(title, body),
+            "created_ts": F.timestamp_seconds("created_utc"),
+        }
     )
+    has_content = ~is_placeholder(F.col("title")) | ~is_placeholder(F.col("text"))
+    return cleaned.withColumns(
+        {
+            VALID: has_content,
+            "created_date": F.expr("to_date(created_ts)"),
+            "created_hour": F.expr("CAST(hour(created_ts) AS BIGINT)"),
+            "created_dow": F.expr("CAST(dayofweek(created_ts) AS BIGINT)"),
+            "text_length": F.expr("CAST(length(text) AS BIGINT)"),
+            "word_count": word_count(F.col("text")),
+        }
+    ).drop("created_utc", "body_text")
 
 
 def to_events(
@@ -142,4 +155,5 @@ def to_events(
     unified = frames[0]
     for frame in frames[1:]:
         unified = unified.unionByName(frame, allowMissingColumns=True)
-    return as_events(dedup_events(clean_events(unified, scrub_placeholders=scrub_placeholders)))
+    cleaned = clean_events(unified, scrub_placeholders=scrub_placeholders)
+    return as_events(dedup_events(cleaned).filter(VALID))

@@ -27,7 +27,13 @@ from lakekit.operators.silver import to_events
 from lakekit.schema import COMMENT, EVENT_KEYS, EVENT_SCHEMA, POST, TOPIC_TERMS_SCHEMA
 from lakekit.session import stage
 from lakekit.sources.bronze import BRONZE_PARTITIONS, bronze_frames, read_optional
-from lakekit.sources.tables import read_parquet, upsert, write_clustered, write_path
+from lakekit.sources.tables import (
+    read_parquet,
+    spread_small,
+    upsert,
+    write_clustered,
+    write_path,
+)
 
 EVENT_PARTITIONS = ["topic", "created_date"]
 
@@ -100,7 +106,7 @@ def _bronze_kind(
     df = read_optional(spark, f"{bronze_dir}/{kind}_raw", merge_schema=True)
     if df is not None and topics is not None:
         df = df.filter(F.col("_topic").isin(list(topics)))
-    return None if df is None or df.isEmpty() else df
+    return None if df is None or df.isEmpty() else spread_small(df)
 
 
 def silver_rules(limits: QualityLimits, as_of: dt.date | None = None) -> list:

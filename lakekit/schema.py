@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -59,15 +61,14 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def col_or_null(df: DataFrame, name: str, dtype: str) -> Column:
-    """The column cast leniently to ``dtype``, or a typed null if it is absent."""
-    if name not in df.columns:
-        return F.lit(None).cast(dtype)
-    return F.col(quoted(name)).try_cast(dtype)
+def col_or_null(available: Collection[str], name: str, dtype: str) -> Column:
+    """The column cast leniently to ``dtype``, or a typed null if it is not available."""
+    source = quoted(name) if name in available else "NULL"
+    return F.expr(f"try_cast({source} AS {dtype})")
 
 
 def as_events(df: DataFrame) -> DataFrame:
-    """Column order and types of the event contract.
+    """Column order and types of the event contract; other columns are left out.
 
     A key column is declared non-null in the contract while Spark infers
     nullability from expressions, so nullability is taken from the frame and

@@ -25,6 +25,7 @@ def local_session(app: str = "lakekit", cores: int | str = 8, memory: str = "8g"
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     return configure(builder.getOrCreate())
 

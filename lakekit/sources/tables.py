@@ -22,6 +22,23 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return reader.parquet(path)
 
 
+# With splits of at most 128 MB this bounds what is moved to a few gigabytes.
+MAX_SPREAD_SPLITS = 64
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Give every core a share of a small scan.
+
+    A small file often is one row group, hence one task however many splits it
+    shows, and text work on it would use one core. A scan of more splits than
+    cores, or than a fixed bound, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() > min(cores, MAX_SPREAD_SPLITS):
+        return df
+    return df.repartition(cores)
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(name)
 

@@ -7,16 +7,18 @@ Every row and every whole text of a table takes part. What the tables lack
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakekit.functions.stats import ratio
 from lakekit.functions.text import tokens
 from lakekit.ml.topics import LABEL_TERMS, with_dominant_topic
 from lakekit.operators.labels import engagement_label, weak_sentiment
 from lakekit.operators.silver import to_events
 from lakekit.schema import POST
+from lakekit.session import stage
+from lakekit.sources.tables import spread_small
 
 AS_OF = dt.date(2024, 1, 31)
 FIRST_INGEST = dt.datetime(2024, 2, 1)
@@ -31,48 +33,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A table whose texts are worked on, narrowed to what is used."""
+    return spread_small(table(spark, sf_dir, name).select(*columns))
+
+
 def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` with ``labels``: toxic bodies are removed by moderators, low-quality
     toxic posts lose their title too, short low-quality posts were never scored."""
-    doc = F.col("doc_id")
-    key = doc.cast("string")
-    toxic = F.coalesce(F.col("toxic") == 1, F.lit(False))
-    poor = F.coalesce(F.col("quality") == 0, F.lit(False))
-    mark = F.when(doc % 3 == 0, "?").otherwise("")
-    return (
-        table(spark, sf_dir, "documents")
-        .join(table(spark, sf_dir, "labels"), "doc_id", "left")
-        .select(
-            F.lit(POST).alias("type"),
-            key.alias("id"),
-            F.col("source").alias("channel.name"),
-            (F.col("toxic") == 1).alias("channel.nsfw"),
-            (F.lit(EPOCH) + (doc * 7919) % SPAN).cast("long").alias("created_utc"),
-            F.when(~(toxic & poor), F.concat("source", F.lit("  note "), key, mark)).alias("title"),
-            F.when(toxic, "[removed]").otherwise(F.col("text")).alias("selftext"),
-            F.concat(F.lit("/d/"), key).alias("permalink"),
-            F.col("lang").alias("domain"),
-            F.when(doc % 2 == 1, F.concat(F.lit("https://e.com/"), key)).alias("url"),
-            F.when(~(poor & ~toxic & (F.col("n_chars") < 1000)), F.col("n_chars") % 1000 - 100)
-            .cast("long")
-            .alias("score"),
-        )
+    documents = texts(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars")
+    joined = documents.join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    judged = joined.selectExpr(
+        "*",
+        "coalesce(toxic = 1, false) AS removed",
+        "coalesce(quality = 0, false) AS poor",
+        "CASE WHEN doc_id % 3 = 0 THEN '?' ELSE '' END AS mark",
+    )
+    return judged.selectExpr(
+        f"'{POST}' AS type",
+        "CAST(doc_id AS STRING) AS id",
+        "source AS `channel.name`",
+        "toxic = 1 AS `channel.nsfw`",
+        f"{EPOCH} + (doc_id * 7919) % {SPAN} AS created_utc",
+        "CASE WHEN NOT (removed AND poor) THEN concat(source, '  note ', doc_id, mark) END AS title",
+        "CASE WHEN removed THEN '[removed]' ELSE text END AS selftext",
+        "concat('/d/', doc_id) AS permalink",
+        "lang AS domain",
+        "CASE WHEN doc_id % 2 = 1 THEN concat('https://e.com/', doc_id) END AS url",
+        "CASE WHEN NOT (poor AND NOT removed AND n_chars < 1000) THEN n_chars % 1000 - 100 END AS score",
     )
 
 
 def raw_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``conversations``: turns under 60 characters count as deleted; the source
     sentiment is missing for some and not a number for others."""
-    conv, turn = F.col("conv_id"), F.col("turn")
-    sentiment = (((conv * 7 + turn * 13) % 21 - 10).cast("double") / 10).cast("string")
-    return table(spark, sf_dir, "conversations").select(
-        F.lit("comment").alias("type"),
-        F.concat_ws("_", conv.cast("string"), turn.cast("string")).alias("id"),
-        F.struct(F.col("role").alias("name"), F.lit(False).alias("nsfw")).alias("channel"),
-        (F.lit(EPOCH) + (conv * 3607 + turn * 61) % SPAN).cast("long").alias("created_utc"),
-        F.when(F.length("text") < 60, "[deleted]").otherwise(F.col("text")).alias("body"),
-        F.when(conv % 7 != 0, F.when(conv % 13 == 0, "bad").otherwise(sentiment)).alias("sentiment"),
-        (F.length("text") % 120 - 20).cast("long").alias("score"),
+    return texts(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").selectExpr(
+        "'comment' AS type",
+        "concat(conv_id, '_', turn) AS id",
+        "struct(role AS name, false AS nsfw) AS channel",
+        f"{EPOCH} + (conv_id * 3607 + turn * 61) % {SPAN} AS created_utc",
+        "CASE WHEN length(text) < 60 THEN '[deleted]' ELSE text END AS body",
+        """CASE WHEN conv_id % 7 = 0 THEN NULL WHEN conv_id % 13 = 0 THEN 'bad'
+           ELSE CAST(CAST((conv_id * 7 + turn * 13) % 21 - 10 AS DOUBLE) / 10 AS STRING)
+           END AS sentiment""",
+        "CAST(length(text) % 120 - 20 AS BIGINT) AS score",
     )
 
 
@@ -104,38 +108,33 @@ def relabelled_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``events`` table as canonical rows; a user stands for a channel."""
-    user = F.col("user_id")
-    return (
-        table(spark, sf_dir, "events")
-        .withColumn("created_ts", F.col("ts").cast("timestamp"))
-        .select(
-            F.col("event_id").cast("string").alias("event_id"),
-            F.when(F.col("event_type").isin("signup", "purchase"), POST)
-            .otherwise("comment")
-            .alias("event_type"),
-            F.concat(F.lit("t"), (user % 3).cast("string")).alias("topic"),
-            F.concat(F.lit("c"), user.cast("string")).alias("channel"),
-            F.when(user % 20 != 7, user % 20 == 3).alias("channel_nsfw"),
-            "created_ts",
-            F.to_date("created_ts").alias("created_date"),
-            F.hour("created_ts").cast("long").alias("created_hour"),
-            F.dayofweek("created_ts").cast("long").alias("created_dow"),
-            F.length("props").cast("long").alias("text_length"),
-            F.size(F.split("props", r"\s+")).cast("long").alias("word_count"),
-            (F.floor("value").cast("long") - 20).alias("score"),
-        )
+    timed = table(spark, sf_dir, "events").withColumn("created_ts", F.col("ts").cast("timestamp"))
+    return timed.selectExpr(
+        "CAST(event_id AS STRING) AS event_id",
+        "CASE WHEN event_type IN ('signup', 'purchase') THEN 'post' ELSE 'comment' END AS event_type",
+        "concat('t', user_id % 3) AS topic",
+        "concat('c', user_id) AS channel",
+        "CASE WHEN user_id % 20 <> 7 THEN user_id % 20 = 3 END AS channel_nsfw",
+        "created_ts",
+        "to_date(created_ts) AS created_date",
+        "CAST(hour(created_ts) AS BIGINT) AS created_hour",
+        "CAST(dayofweek(created_ts) AS BIGINT) AS created_dow",
+        "CAST(length(props) AS BIGINT) AS text_length",
+        r"CAST(size(split(props, '\\s+')) AS BIGINT) AS word_count",
+        "CAST(floor(value) AS BIGINT) - 20 AS score",
     )
 
 
 def letter_shares(events: DataFrame) -> DataFrame:
     """``shares``: how the counted letters of the whole text divide; zeros if there are none."""
-    text = F.col("text")
-    counts = [
-        (F.length(text) - F.length(F.replace(text, F.lit(c), F.lit("")))) for c in TOPIC_LETTERS
-    ]
-    total = sum(counts[1:], counts[0])
-    shares = [F.coalesce(ratio(n, total), F.lit(0.0)) for n in counts]
-    return events.withColumn("shares", F.array(*shares))
+    counts = ", ".join(f"length(text) - length(replace(text, '{c}', ''))" for c in TOPIC_LETTERS)
+    return (
+        events.withColumn("letters", F.expr(f"array({counts})"))
+        .withColumn("total", F.expr("CAST(aggregate(letters, 0, (a, n) -> a + n) AS DOUBLE)"))
+        .withColumn(
+            "shares", F.expr("transform(letters, n -> coalesce(try_divide(n, total), 0.0D))")
+        )
+    )
 
 
 def post_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,8 +143,9 @@ def post_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topic_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The most frequent words of each assigned topic. The last letter gets no row,
-    so that views meet a topic without label."""
+    """The most frequent words of each assigned topic, written like the gold table
+    that views read. The last letter gets no row, so that views meet a topic
+    without label."""
     words = (
         post_topics(spark, sf_dir)
         .filter(F.col("dominant_topic") < len(TOPIC_LETTERS) - 1)
@@ -157,11 +157,12 @@ def topic_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = words.withColumn("place", F.row_number().over(by_count)).filter(
         F.col("place") <= WORDS_PER_TOPIC
     )
-    return (
+    terms = (
         top.groupBy("topic_id")
         .agg(F.array_sort(F.collect_list(F.struct("place", "term")))["term"].alias("terms"))
         .withColumn("label", F.array_join(F.slice("terms", 1, LABEL_TERMS), ", "))
     )
+    return stage(terms, f"topic_terms-{uuid.uuid4().hex}")
 
 
 def post_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:

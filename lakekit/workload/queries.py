@@ -16,7 +16,7 @@ from lakekit.ml import engagement, features, models, scoring, sentiment, topics
 from lakekit.operators import gold, labels, profile, quality, silver
 from lakekit.plans import jobs, tiles, views
 from lakekit.schema import EVENT_KEYS, TOPIC_TERMS_SCHEMA
-from lakekit.session import configure, shared_folder
+from lakekit.session import configure, shared_folder, stage
 from lakekit.sources import bronze, tables
 from lakekit.workload import frames
 from lakekit.workload.frames import AS_OF, FIRST_INGEST, SECOND_INGEST
@@ -45,6 +45,11 @@ def _run_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    """A frame written once, as the jobs do before reading it several times."""
+    return stage(df, f"{name}-{uuid.uuid4().hex}")
+
+
 def _rounded(df: DataFrame, column: str) -> DataFrame:
     """Sums of fractions end in digits that depend on the order of addition."""
     return df.withColumn(column, F.round(column, 9))
@@ -71,10 +76,10 @@ def upsert(spark, sf_dir):
 
 @query
 def upsert_partitions(spark, sf_dir):
-    target, source = _upsert_sides(spark, sf_dir)
     path = _run_folder(spark, "upsert")
-    tables.upsert(target, path, EVENT_KEYS, partition_by=jobs.EVENT_PARTITIONS)
-    tables.upsert(source, path, EVENT_KEYS, partition_by=jobs.EVENT_PARTITIONS)
+    for side in _upsert_sides(spark, sf_dir):
+        staged = _staged(side, "upsert_side")
+        tables.upsert(staged, path, EVENT_KEYS, partition_by=jobs.EVENT_PARTITIONS)
     return jobs.read_events(spark, path)
 
 
@@ -120,13 +125,13 @@ def normalize_raw(spark, sf_dir):
 
 @query
 def cleaned_text(spark, sf_dir):
-    docs = frames.table(spark, sf_dir, "documents")
+    docs = frames.texts(spark, sf_dir, "documents", "doc_id", "text")
     return docs.select("doc_id", clean_text(F.col("text")).alias("cleaned"))
 
 
 @query
 def text_metrics(spark, sf_dir):
-    docs = frames.table(spark, sf_dir, "documents")
+    docs = frames.texts(spark, sf_dir, "documents", "doc_id", "text")
     cleaned = docs.select("doc_id", clean_text(F.col("text")).alias("cleaned"))
     return cleaned.select(
         "doc_id",
@@ -414,7 +419,7 @@ def topic_argmax(spark, sf_dir):
 
 @query
 def tokens_docfreq(spark, sf_dir):
-    docs = frames.table(spark, sf_dir, "documents")
+    docs = frames.texts(spark, sf_dir, "documents", "text")
     words = docs.select(F.explode(F.array_distinct(tokens(F.col("text")))).alias("token"))
     return words.groupBy("token").agg(F.count("*").alias("doc_freq"))
 
@@ -422,7 +427,7 @@ def tokens_docfreq(spark, sf_dir):
 @query
 def tfidf_vocabulary(spark, sf_dir):
     """The vocabulary and inverse document frequencies the text stages learn."""
-    docs = frames.table(spark, sf_dir, "documents").select("text")
+    docs = frames.texts(spark, sf_dir, "documents", "text")
     model = Pipeline(stages=features.text_feature_stages()).fit(docs)
     words = next(s for s in model.stages if isinstance(s, CountVectorizerModel)).vocabulary
     weights = next(s for s in model.stages if isinstance(s, IDFModel))
@@ -488,7 +493,7 @@ def job_gold(spark, sf_dir):
 
 
 def _topic_model(spark, sf_dir):
-    events = frames.post_events(spark, sf_dir)
+    events = _staged(frames.post_events(spark, sf_dir), "posts")
     return events, *topics.train_topic_model(
         events, k=4, max_iter=5, min_token_length=3, **SMALL_MODEL
     )
@@ -508,16 +513,16 @@ def lda_topics(spark, sf_dir):
 
 @query
 def sentiment_scores(spark, sf_dir):
-    events = frames.silver_events(spark, sf_dir)
+    events = _staged(frames.silver_events(spark, sf_dir), "events")
     model, _ = sentiment.train_sentiment(events, max_iter=10, **SMALL_MODEL)
     return sentiment.score_sentiment(model, events)
 
 
 @query
 def engagement_scores(spark, sf_dir):
-    events = frames.silver_events(spark, sf_dir)
+    events = _staged(frames.silver_events(spark, sf_dir), "events")
     model, _ = engagement.train_engagement(
-        events, cv_folds=2, depths=(2, 3), iterations=(3, 5), **SMALL_MODEL
+        events, cv_folds=2, depths=(2, 3), iterations=(3,), **SMALL_MODEL
     )
     return engagement.predict_engagement(model, events)
 
