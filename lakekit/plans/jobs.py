@@ -60,6 +60,8 @@ class ModelSettings:
     min_doc_freq: int = 5
     engagement_percentile: float = 0.90
     cv_folds: int = 3
+    tree_depths: tuple[int, ...] = engagement.GRID_DEPTHS
+    tree_iterations: tuple[int, ...] = engagement.GRID_ITERATIONS
     seed: int = 42
 
 
@@ -214,6 +216,8 @@ def train_job(
         min_token_length=settings.min_token_length,
         percentile=settings.engagement_percentile,
         cv_folds=settings.cv_folds,
+        depths=settings.tree_depths,
+        iterations=settings.tree_iterations,
         seed=settings.seed,
     )
     fitted = {

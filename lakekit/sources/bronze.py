@@ -14,12 +14,13 @@ BRONZE_PARTITIONS = ["_topic", "_ingest_date"]
 def read_optional(spark: SparkSession, path: str, *, merge_schema: bool = False) -> DataFrame | None:
     """Parquet behind a path or glob; ``None`` if nothing is there or it has no columns.
 
-    Only a missing path is tolerated. Any other failure is the caller's to see.
+    Only a missing path or a folder without files is tolerated. Any other failure
+    is the caller's to see.
     """
     try:
         df = spark.read.option("mergeSchema", merge_schema).parquet(path)
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
     return df if df.columns else None
