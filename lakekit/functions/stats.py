@@ -1,21 +1,12 @@
-"""Aggregate expressions shared by gold tables, views and profiles."""
+"""Ratios and percentiles shared by gold tables, views and profiles."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Default of percentile_approx. Groups up to this size are exact; above it the
-# rank error is at most n / accuracy. State per group is bounded by it as well.
-ACCURACY = 10_000
-
-
-def percentile(column: str, p: float | Sequence[float], accuracy: int = ACCURACY) -> Column:
-    """A percentile that is a member of the data, partially aggregated map-side."""
-    return F.percentile_approx(column, p, accuracy)
-
 
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Division of counts as doubles; null when the denominator is zero."""
@@ -24,3 +15,35 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 def net_sentiment(positive: Column, negative: Column, total: Column) -> Column:
     return ratio(positive - negative, total)
+
+
+# Percentiles are members of the data and exact: the smallest value whose rank
+# reaches p times the number of values. They are read off counts per distinct
+# value, so what meets in one task is a group's distinct values, not its rows,
+# and the result does not depend on how rows are spread.
+
+
+def with_value_ranks(counts: DataFrame, keys: Sequence[str], column: str, n: str = "n") -> DataFrame:
+    """Add ``_upto``, the rows up to a value, and ``_of``, the rows of its group.
+
+    ``counts`` holds one row per key and distinct value; a null value counts nothing.
+    """
+    rows = F.when(F.col(column).isNotNull(), F.col(n)).otherwise(0)
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy(column).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return counts.withColumns({"_upto": F.sum(rows).over(upto), "_of": F.sum(rows).over(group)})
+
+
+def ranked_percentile(column: str, p: float) -> Column:
+    """Aggregate over :func:`with_value_ranks` rows."""
+    return F.expr(f"min(CASE WHEN _upto >= ceil(_of * {p}D) THEN {column} END)")
+
+
+def percentiles(
+    df: DataFrame, keys: Sequence[str], column: str, points: dict[str, float]
+) -> DataFrame:
+    """One row per key with a named percentile per entry of ``points``."""
+    counts = df.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("n"))
+    ranked = with_value_ranks(counts, keys, column)
+    picks = [ranked_percentile(column, p).alias(name) for name, p in points.items()]
+    return ranked.groupBy(*keys).agg(*picks)

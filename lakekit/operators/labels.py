@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.functions.stats import ACCURACY, percentile
+from lakekit.functions.stats import percentiles
 from lakekit.operators.lookup import join_lookup
 from lakekit.schema import POST
 
@@ -48,9 +48,9 @@ def weak_sentiment(events: DataFrame) -> DataFrame:
     )
 
 
-def score_thresholds(events: DataFrame, p: float = 0.90, accuracy: int = ACCURACY) -> DataFrame:
-    """The per-topic score percentile: one row per topic, partially aggregated."""
-    return events.groupBy("topic").agg(percentile("score", p, accuracy).alias("score_threshold"))
+def score_thresholds(events: DataFrame, p: float = 0.90) -> DataFrame:
+    """The per-topic score percentile: one row per topic."""
+    return percentiles(events, ["topic"], "score", {"score_threshold": p})
 
 
 def label_by_threshold(events: DataFrame, thresholds: DataFrame) -> DataFrame:
@@ -59,10 +59,10 @@ def label_by_threshold(events: DataFrame, thresholds: DataFrame) -> DataFrame:
     return joined.withColumn("label", _flag(F.col("score") >= F.col("score_threshold")))
 
 
-def engagement_label(events: DataFrame, p: float = 0.90, accuracy: int = ACCURACY) -> DataFrame:
+def engagement_label(events: DataFrame, p: float = 0.90) -> DataFrame:
     """Label the top of each topic's scores.
 
     An aggregate joined back, not a window over ``topic``: a window would bring
     all rows of a topic, text included, into one task.
     """
-    return label_by_threshold(events, score_thresholds(events, p, accuracy))
+    return label_by_threshold(events, score_thresholds(events, p))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.functions.stats import ACCURACY, percentile
+from lakekit.functions.stats import ranked_percentile, ratio, with_value_ranks
 
 KEY_COLUMNS = ["event_id", "channel", "created_ts", "text", "score", "text_length"]
 SCORE_POINTS = [0.01, 0.25, 0.5, 0.75, 0.9, 0.99]
@@ -31,21 +31,24 @@ def null_ratios(events: DataFrame, columns: Sequence[str] = tuple(KEY_COLUMNS))
     )
 
 
-def score_distribution(events: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
-    return events.agg(
-        percentile("score", SCORE_POINTS, accuracy).alias("score_pcts"),
-        F.min("score").alias("min_score"),
-        F.max("score").alias("max_score"),
-        F.avg("score").alias("mean_score"),
+def _spread(events: DataFrame, column: str, points: Sequence[float], label: str) -> DataFrame:
+    """Percentiles, least, greatest and mean value, from counts per distinct value."""
+    counts = events.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    known = F.sum(F.when(F.col(column).isNotNull(), F.col("n")))
+    return with_value_ranks(counts, [], column).agg(
+        F.array(*[ranked_percentile(column, p) for p in points]).alias(f"{column}_pcts"),
+        F.min(column).alias(f"min_{label}"),
+        F.max(column).alias(f"max_{label}"),
+        ratio(F.sum(F.col(column) * F.col("n")), known).alias(f"mean_{label}"),
     )
 
 
-def word_distribution(events: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
-    return events.agg(
-        percentile("word_count", WORD_POINTS, accuracy).alias("word_count_pcts"),
-        F.avg("word_count").alias("mean_words"),
-        F.max("word_count").alias("max_words"),
-    )
+def score_distribution(events: DataFrame) -> DataFrame:
+    return _spread(events, "score", SCORE_POINTS, "score")
+
+
+def word_distribution(events: DataFrame) -> DataFrame:
+    return _spread(events, "word_count", WORD_POINTS, "words").drop("min_words")
 
 
 def daily_volume(events: DataFrame) -> DataFrame:

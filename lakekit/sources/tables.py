@@ -105,10 +105,10 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
 def _in_partitions(rows: Sequence, columns: Sequence[str]) -> Column:
     """A predicate for a list of partition values that prunes the scan."""
     if len(columns) == 1:
-        values = [r[columns[0]] for r in rows]
-        known = [v for v in values if v is not None]
+        values = {r[columns[0]] for r in rows}
+        known = sorted(v for v in values if v is not None)
         match = F.col(columns[0]).isin(known) if known else F.lit(False)
-        return match | F.col(columns[0]).isNull() if len(known) < len(values) else match
+        return match | F.col(columns[0]).isNull() if None in values else match
     grouped = defaultdict(list)
     for row in rows:
         grouped[row[columns[0]]].append(row)
@@ -129,10 +129,12 @@ def upsert(
     """Update rows whose key exists, insert the others; create the table if absent.
 
     Only partitions that hold a source key, or receive a source row, are read
-    in full and replaced; the rest of the table is not touched. New files are
-    staged and moved in when the job commits, so a failed run leaves whole
-    partitions, and running it again gives the same table. ``source`` is used by
-    several actions: pass a frame read from files.
+    in full and replaced; the rest of the table is not touched. To find the
+    former, keys alone are read, and where partition columns belong to the key
+    only from partitions the source names. New files are staged and moved in
+    when the job commits, so a failed run leaves whole partitions, and running
+    it again gives the same table. ``source`` is used by several actions: pass a
+    frame read from files.
     """
     if not partition_by:
         raise ValueError("upsert needs partition columns: they bound what is rewritten")
@@ -144,13 +146,17 @@ def upsert(
 
     target = spark.read.schema(source.schema).parquet(path)
     parts = list(partition_by)
-    holding = target.select(*{*keys, *parts}).join(source.select(*keys), list(keys), "left_semi")
-    receiving = source.select(*parts).distinct().collect()
     # Partition values only, so the driver sees at most one row per partition.
+    receiving = source.select(*parts).distinct().collect()
+    if not receiving:
+        return
+    holding = target.select(*dict.fromkeys([*keys, *parts]))
+    in_key = [c for c in parts if c in keys]
+    if in_key:
+        holding = holding.filter(_in_partitions(receiving, in_key))
+    holding = holding.join(source.select(*keys), list(keys), "left_semi")
     losing = holding.select(*parts).distinct().collect()
     touched = list({*receiving, *losing})
-    if not touched:
-        return
     merged = merge_rows(target.filter(_in_partitions(touched, parts)), source, keys)
     (
         _spread(merged, parts, True)

@@ -149,7 +149,7 @@ summary AS (
   SELECT topic, channel, count(*) AS event_count, count(DISTINCT created_date) AS active_days,
          avg(score) AS avg_score, quantile_disc(score, 0.9) AS p90_score, max(score) AS max_score,
          min(created_ts) AS first_seen, max(created_ts) AS last_seen,
-         (array_agg(channel_nsfw ORDER BY created_ts, event_id)
+         (array_agg(channel_nsfw ORDER BY created_ts, channel_nsfw)
             FILTER (channel_nsfw IS NOT NULL))[1] AS nsfw,
          CAST(count(*) AS DOUBLE) / greatest(count(DISTINCT created_date), 1) AS events_per_active_day
   FROM {source} GROUP BY topic, channel

@@ -428,7 +428,8 @@ def tokens_docfreq(spark, sf_dir):
 def tfidf_vocabulary(spark, sf_dir):
     """The vocabulary and inverse document frequencies the text stages learn."""
     docs = frames.texts(spark, sf_dir, "documents", "text")
-    model = Pipeline(stages=features.text_feature_stages()).fit(docs)
+    # Large enough that no word is cut off, which the SQL form could not follow on ties.
+    model = Pipeline(stages=features.text_feature_stages(vocab_size=1 << 18)).fit(docs)
     words = next(s for s in model.stages if isinstance(s, CountVectorizerModel)).vocabulary
     weights = next(s for s in model.stages if isinstance(s, IDFModel))
     rows = zip(words, (int(n) for n in weights.docFreq), (float(x) for x in weights.idf), strict=True)

@@ -1,8 +1,10 @@
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
 
+from lakekit.functions.stats import percentiles
 from lakekit.operators import gold, profile
 from lakekit.operators.lookup import join_lookup
 from lakekit.plans import tiles, views
@@ -56,10 +58,25 @@ def test_summary_values(small):
     assert rows["d"]["nsfw"] is None
 
 
-def test_gold_aggregates_shuffle_once(small):
+def test_gold_aggregates_combine_before_every_shuffle(small):
     for build in (gold.daily_activity, gold.channel_summary, gold.hourly_activity):
         plan = build(small)._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("Exchange ") == 1, build.__name__
+        assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan, build.__name__
+        for line, below in zip(plan.splitlines(), plan.splitlines()[1:]):
+            if "Exchange hashpartitioning" in line:
+                assert "HashAggregate" in below or "Project" in below, build.__name__
+
+
+def test_percentiles_are_exact_and_keep_null_groups(spark):
+    df = spark.range(30_001).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL ELSE 'g' END AS g", "CASE WHEN id % 7 > 0 THEN id END AS v"
+    )
+    got = {r["g"]: (r["lo"], r["hi"]) for r in percentiles(df, ["g"], "v", {"lo": 0.25, "hi": 0.9}).collect()}
+    want = {}
+    for g, keep in ((None, lambda i: i % 3 == 0), ("g", lambda i: i % 3 > 0)):
+        values = [i for i in range(30_001) if keep(i) and i % 7 > 0]
+        want[g] = tuple(values[math.ceil(p * len(values)) - 1] for p in (0.25, 0.9))
+    assert got == want
 
 
 def test_rolling_rows_and_calendar(small):

@@ -96,3 +96,35 @@ def test_jobs_end_to_end(spark, lake):
     jobs.score_job(spark, **paths)
     mix = spark.read.parquet(f"{lake['gold_dir']}/sentiment_daily")
     assert mix.agg(F.sum("event_count")).first()[0] == 98
+
+
+def test_incremental_silver_builds_the_same_table(spark, tmp_path):
+    schema = "id string, `channel.name` string, created_utc long, title string, selftext string, score long"
+    days = [
+        [("1", "c", 1704067200, "one", "a", 1), ("2", "c", 1704067200, "two", "b", 2)],
+        [("2", "c", 1704153600, "two again", "B", 9), ("3", "c", 1704153600, "three", "c", 3)],
+        [("1", "c", 1704067200, None, "[removed]", 5), ("4", "c", 1704240000, "four", "d", 4)],
+    ]
+    bronze, step, whole = (str(tmp_path / n) for n in ("bronze", "step", "whole"))
+    for day, rows in enumerate(days, start=1):
+        landing = str(tmp_path / f"landing{day}")
+        spark.createDataFrame(rows, schema).write.parquet(f"{landing}/posts.parquet")
+        jobs.bronze_job(
+            spark,
+            base_dir=landing,
+            topic="t",
+            batch_id=f"b{day}",
+            bronze_dir=bronze,
+            ingested_at=dt.datetime(2024, 2, day),
+        )
+        jobs.silver_job(spark, bronze_dir=bronze, events_path=step, since=dt.date(2024, 2, day))
+    jobs.silver_job(spark, bronze_dir=bronze, events_path=whole)
+    got = jobs.read_events(spark, step)
+    want = jobs.read_events(spark, whole)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert {r["event_id"]: r["title"] for r in got.collect()} == {
+        "post_1": "one",
+        "post_2": "two again",
+        "post_3": "three",
+        "post_4": "four",
+    }
