@@ -12,7 +12,6 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from lakekit.ml.features import (
     MODEL_INPUTS,
@@ -102,13 +101,25 @@ def area_metrics(predictions: DataFrame) -> dict[str, float]:
         narrow.unpersist()
 
 
-def predict_engagement(model: PipelineModel, events: DataFrame) -> DataFrame:
-    return model.transform(derived_flags(events)).select(
-        "event_id",
-        "topic",
-        "channel",
-        "created_date",
-        "score",
-        F.col("prediction").alias("is_high_engagement"),
-        vector_to_array("probability")[1].alias("engagement_probability"),
+PREDICTION_COLUMNS = [
+    "event_id",
+    "topic",
+    "channel",
+    "created_date",
+    "score",
+    "is_high_engagement",
+    "engagement_probability",
+]
+
+
+def with_engagement(model: PipelineModel, flagged: DataFrame) -> DataFrame:
+    """Prediction and probability for events that carry the derived flags."""
+    return (
+        model.transform(flagged)
+        .withColumnRenamed("prediction", "is_high_engagement")
+        .withColumn("engagement_probability", vector_to_array("probability")[1])
     )
+
+
+def predict_engagement(model: PipelineModel, events: DataFrame) -> DataFrame:
+    return with_engagement(model, derived_flags(events)).select(*PREDICTION_COLUMNS)

@@ -1,18 +1,58 @@
-"""Score events with all three models."""
+"""Score events with all three models in one pass over the text."""
 
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from lakekit.ml.engagement import predict_engagement
-from lakekit.ml.sentiment import score_sentiment
-from lakekit.ml.topics import assign_topics
+from lakekit.ml.engagement import PREDICTION_COLUMNS, with_engagement
+from lakekit.ml.features import MODEL_INPUTS
+from lakekit.ml.sentiment import with_sentiment
+from lakekit.ml.topics import ASSIGNMENT_COLUMNS, with_topics
+from lakekit.operators.labels import derived_flags
 
 TOPIC_MODEL = "topic_lda"
 SENTIMENT_MODEL = "sentiment_classifier"
 ENGAGEMENT_MODEL = "engagement_classifier"
 
+_EVENT_COLUMNS = ["channel", "created_date", "score"]
+_SCORES = {
+    "post_topics": ASSIGNMENT_COLUMNS,
+    "post_sentiment": ["event_id", "topic", "channel", "created_date", "sentiment_label"],
+    "engagement_predictions": PREDICTION_COLUMNS,
+}
+
+
+def score_once(
+    events: DataFrame,
+    *,
+    topic_model: PipelineModel,
+    sentiment_model: PipelineModel,
+    engagement_model: PipelineModel,
+) -> DataFrame:
+    """One narrow row per event with the results of all models.
+
+    The models use the same names for their inner columns, so each step keeps
+    only what later steps read.
+    """
+    kept = [*MODEL_INPUTS, *_EVENT_COLUMNS]
+    scored = derived_flags(events).select(*kept)
+    for add, model, results in (
+        (with_topics, topic_model, ["dominant_topic", "topic_confidence"]),
+        (with_sentiment, sentiment_model, ["sentiment_label"]),
+        (with_engagement, engagement_model, ["is_high_engagement", "engagement_probability"]),
+    ):
+        kept = [*kept, *results]
+        scored = add(model, scored).select(*kept)
+    results = [c for c in kept if c not in MODEL_INPUTS or c in ("topic", "event_id")]
+    return scored.select(*results)
+
+
+def split_scores(scored: DataFrame) -> dict[str, DataFrame]:
+    """The three gold prediction frames. On a lazy frame, each runs only its own model."""
+    return {name: scored.select(*[F.col(c) for c in cols]) for name, cols in _SCORES.items()}
+
 
 def score_events(
     events: DataFrame,
@@ -21,8 +61,11 @@ def score_events(
     sentiment_model: PipelineModel,
     engagement_model: PipelineModel,
 ) -> dict[str, DataFrame]:
-    return {
-        "post_topics": assign_topics(topic_model, events),
-        "post_sentiment": score_sentiment(sentiment_model, events),
-        "engagement_predictions": predict_engagement(engagement_model, events),
-    }
+    return split_scores(
+        score_once(
+            events,
+            topic_model=topic_model,
+            sentiment_model=sentiment_model,
+            engagement_model=engagement_model,
+        )
+    )

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lakekit.ml import engagement, models, scoring, sentiment, topics
 from lakekit.operators import gold
@@ -110,12 +111,20 @@ def _bronze_kind(
     since: dt.date | None,
 ) -> DataFrame | None:
     """Both filters are on partition columns: other folders are not opened."""
-    df = read_optional(spark, f"{bronze_dir}/{kind}_raw", merge_schema=True)
-    if df is not None and topics is not None:
+    path = f"{bronze_dir}/{kind}_raw"
+    found = read_optional(spark, path, merge_schema=True)
+    if found is None:
+        return None
+    # Read again with the topic as text: a topic named 007 must not become 7.
+    schema = StructType(
+        [StructField("_topic", StringType()) if f.name == "_topic" else f for f in found.schema]
+    )
+    df = read_parquet(spark, path, schema)
+    if topics is not None:
         df = df.filter(F.col("_topic").isin(list(topics)))
-    if df is not None and since is not None:
+    if since is not None:
         df = df.filter(F.col("_ingest_date") >= since)
-    return None if df is None or df.isEmpty() else spread_small(df)
+    return None if df.isEmpty() else spread_small(df)
 
 
 def silver_rules(limits: QualityLimits, as_of: dt.date | None = None) -> list:
@@ -155,7 +164,7 @@ def silver_job(
         if df is not None:
             gate(run_checks(df, [not_null(["id"])]), f"silver input {kind}")
     events = stage(
-        to_events(posts, comments, topic=F.col("_topic").cast("string"), community=community),
+        to_events(posts, comments, topic=F.col("_topic"), community=community),
         "silver_events",
     )
     report = gate(run_checks(events, silver_rules(limits, as_of)), "silver")
@@ -181,11 +190,6 @@ def gold_job(spark: SparkSession, *, events_path: str, gold_dir: str) -> None:
     write_path(gold.hourly_activity(events), f"{gold_dir}/hourly_activity")
 
 
-def _write_predictions(frames: dict[str, DataFrame], gold_dir: str) -> None:
-    for name, df in frames.items():
-        write_path(df, f"{gold_dir}/{name}")
-
-
 def _model_gold(spark: SparkSession, gold_dir: str) -> None:
     """The two aggregates over model output, read back from what was just written."""
     post_topics = spark.read.parquet(f"{gold_dir}/post_topics")
@@ -247,16 +251,21 @@ def train_job(
 
 
 def score_job(spark: SparkSession, *, events_path: str, gold_dir: str, model_dir: str) -> None:
-    """Score the events with the models named champion and refresh the gold tables."""
+    """Score the events with the models named champion and refresh the gold tables.
+
+    The text is read once: all scores go to one narrow staged table, from which
+    the gold tables are cut.
+    """
     loaded = {
         name: models.load_model(spark, model_dir, name)
         for name in (scoring.TOPIC_MODEL, scoring.SENTIMENT_MODEL, scoring.ENGAGEMENT_MODEL)
     }
-    frames = scoring.score_events(
+    scored = scoring.score_once(
         read_events(spark, events_path),
         topic_model=loaded[scoring.TOPIC_MODEL],
         sentiment_model=loaded[scoring.SENTIMENT_MODEL],
         engagement_model=loaded[scoring.ENGAGEMENT_MODEL],
     )
-    _write_predictions(frames, gold_dir)
+    for name, df in scoring.split_scores(stage(scored, "scores")).items():
+        write_path(df, f"{gold_dir}/{name}")
     _model_gold(spark, gold_dir)

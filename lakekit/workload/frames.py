@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakekit.functions.text import tokens
-from lakekit.ml.topics import LABEL_TERMS, with_dominant_topic
+from lakekit.ml.topics import ASSIGNMENT_COLUMNS, LABEL_TERMS, with_dominant_topic
 from lakekit.operators.labels import engagement_label, weak_sentiment
 from lakekit.operators.silver import to_events
 from lakekit.schema import POST
@@ -96,6 +96,16 @@ def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_events(posts, comments, topic=F.col("_topic"))
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """A frame written once, as the jobs do before reading it several times."""
+    return stage(df, f"{name}-{uuid.uuid4().hex}")
+
+
+def narrow_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver events without their texts, staged for queries that read them more than once."""
+    return staged(silver_events(spark, sf_dir).drop("title", "text"), "narrow_events")
+
+
 def relabelled_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw posts that have a label, delivered again with one more point."""
     labelled = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("id"))
@@ -139,16 +149,16 @@ def letter_shares(events: DataFrame) -> DataFrame:
 
 def post_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic assignments in the shape the topic model gives, from letter shares."""
-    return with_dominant_topic(letter_shares(post_events(spark, sf_dir)), "shares")
+    assigned = with_dominant_topic(letter_shares(post_events(spark, sf_dir)), "shares")
+    return assigned.select(*ASSIGNMENT_COLUMNS, "text")
 
 
-def topic_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+def topic_terms(assigned: DataFrame) -> DataFrame:
     """The most frequent words of each assigned topic, written like the gold table
     that views read. The last letter gets no row, so that views meet a topic
     without label."""
     words = (
-        post_topics(spark, sf_dir)
-        .filter(F.col("dominant_topic") < len(TOPIC_LETTERS) - 1)
+        assigned.filter(F.col("dominant_topic") < len(TOPIC_LETTERS) - 1)
         .select(F.col("dominant_topic").alias("topic_id"), F.explode(tokens(F.col("text"))).alias("term"))
         .groupBy("topic_id", "term")
         .agg(F.count("*").alias("n"))
@@ -162,10 +172,11 @@ def topic_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("place", "term")))["term"].alias("terms"))
         .withColumn("label", F.array_join(F.slice("terms", 1, LABEL_TERMS), ", "))
     )
-    return stage(terms, f"topic_terms-{uuid.uuid4().hex}")
+    return staged(terms, "topic_terms")
 
 
 def post_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weak labels of all silver events."""
     return weak_sentiment(silver_events(spark, sf_dir))
 
 
@@ -174,7 +185,7 @@ def engagement_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     probability that grows with the text."""
     length = F.col("text_length").cast("double")
     return (
-        engagement_label(silver_events(spark, sf_dir))
+        engagement_label(narrow_events(spark, sf_dir))
         .withColumnRenamed("label", "is_high_engagement")
         .withColumn("engagement_probability", length / (length + 1000.0))
     )

@@ -16,7 +16,7 @@ from lakekit.ml import engagement, features, models, scoring, sentiment, topics
 from lakekit.operators import gold, labels, profile, quality, silver
 from lakekit.plans import jobs, tiles, views
 from lakekit.schema import EVENT_KEYS, TOPIC_TERMS_SCHEMA
-from lakekit.session import configure, shared_folder, stage
+from lakekit.session import configure, shared_folder
 from lakekit.sources import bronze, tables
 from lakekit.workload import frames
 from lakekit.workload.frames import AS_OF, FIRST_INGEST, SECOND_INGEST
@@ -45,11 +45,6 @@ def _run_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def _staged(df: DataFrame, name: str) -> DataFrame:
-    """A frame written once, as the jobs do before reading it several times."""
-    return stage(df, f"{name}-{uuid.uuid4().hex}")
-
-
 def _rounded(df: DataFrame, column: str) -> DataFrame:
     """Sums of fractions end in digits that depend on the order of addition."""
     return df.withColumn(column, F.round(column, 9))
@@ -78,7 +73,7 @@ def upsert(spark, sf_dir):
 def upsert_partitions(spark, sf_dir):
     path = _run_folder(spark, "upsert")
     for side in _upsert_sides(spark, sf_dir):
-        staged = _staged(side, "upsert_side")
+        staged = frames.staged(side, "upsert_side")
         tables.upsert(staged, path, EVENT_KEYS, partition_by=jobs.EVENT_PARTITIONS)
     return jobs.read_events(spark, path)
 
@@ -167,7 +162,7 @@ def channel_summary(spark, sf_dir):
 
 @query
 def channel_summary_silver(spark, sf_dir):
-    return gold.channel_summary(frames.silver_events(spark, sf_dir))
+    return gold.channel_summary(frames.narrow_events(spark, sf_dir))
 
 
 @query
@@ -214,17 +209,15 @@ def view_heatmap(spark, sf_dir):
 
 @query
 def view_topics_labeled(spark, sf_dir):
-    labelled = views.topics_labeled(
-        frames.post_topics(spark, sf_dir), frames.topic_terms(spark, sf_dir)
-    )
+    assigned = frames.staged(frames.post_topics(spark, sf_dir), "post_topics")
+    labelled = views.topics_labeled(assigned, frames.topic_terms(assigned))
     return labelled.withColumn("topic_terms", F.array_join("topic_terms", "|"))
 
 
 @query
 def view_topic_share(spark, sf_dir):
-    return views.topic_share_daily(
-        frames.post_topics(spark, sf_dir), frames.topic_terms(spark, sf_dir)
-    )
+    assigned = frames.staged(frames.post_topics(spark, sf_dir), "post_topics")
+    return views.topic_share_daily(assigned, frames.topic_terms(assigned))
 
 
 @query
@@ -239,7 +232,7 @@ def view_engagement_summary(spark, sf_dir):
 
 @query
 def view_topic_kpis(spark, sf_dir):
-    labelled = frames.post_sentiment(spark, sf_dir)
+    labelled = labels.weak_sentiment(frames.narrow_events(spark, sf_dir))
     return views.topic_kpis(gold.channel_summary(labelled), labelled)
 
 
@@ -274,7 +267,7 @@ def tile_05(spark, sf_dir):
 
 @query
 def tile_06(spark, sf_dir):
-    terms = tiles.topic_dictionary(frames.topic_terms(spark, sf_dir))
+    terms = tiles.topic_dictionary(frames.topic_terms(frames.post_topics(spark, sf_dir)))
     return terms.withColumn("terms", F.array_join("terms", "|"))
 
 
@@ -335,7 +328,7 @@ def dq_report(spark, sf_dir):
 @query
 def dq_silver_gate(spark, sf_dir):
     rules = jobs.silver_rules(jobs.QualityLimits(), as_of=AS_OF)
-    return quality.quality_frame(frames.silver_events(spark, sf_dir), rules)
+    return quality.quality_frame(frames.narrow_events(spark, sf_dir), rules)
 
 
 @query
@@ -407,7 +400,7 @@ def derived_flags(spark, sf_dir):
 
 @query
 def engagement_label(spark, sf_dir):
-    labelled = labels.engagement_label(frames.silver_events(spark, sf_dir))
+    labelled = labels.engagement_label(frames.narrow_events(spark, sf_dir))
     return labelled.select(*EVENT_KEYS, "score", "score_threshold", "label")
 
 
@@ -490,11 +483,28 @@ def job_gold(spark, sf_dir):
     return spark.read.parquet(f"{paths['gold_dir']}/daily_activity")
 
 
+@query
+def job_train_score(spark, sf_dir):
+    """Training, model registry, one-pass scoring and the aggregates over scores."""
+    paths = _landed_lake(spark, sf_dir)
+    del paths["bronze_dir"]
+    settings = jobs.ModelSettings(
+        topic_count=4,
+        topic_max_iterations=3,
+        vocab_size=1000,
+        cv_folds=2,
+        tree_depths=(2,),
+        tree_iterations=(3,),
+    )
+    jobs.train_job(spark, settings=settings, **paths)
+    return spark.read.parquet(f"{paths['gold_dir']}/sentiment_daily")
+
+
 # --- fitted models: rows only, a fit has no SQL form -------------------------
 
 
 def _topic_model(spark, sf_dir):
-    events = _staged(frames.post_events(spark, sf_dir), "posts")
+    events = frames.staged(frames.post_events(spark, sf_dir), "posts")
     return events, *topics.train_topic_model(
         events, k=4, max_iter=5, min_token_length=3, **SMALL_MODEL
     )
@@ -514,14 +524,14 @@ def lda_topics(spark, sf_dir):
 
 @query
 def sentiment_scores(spark, sf_dir):
-    events = _staged(frames.silver_events(spark, sf_dir), "events")
+    events = frames.staged(frames.silver_events(spark, sf_dir), "events")
     model, _ = sentiment.train_sentiment(events, max_iter=10, **SMALL_MODEL)
     return sentiment.score_sentiment(model, events)
 
 
 @query
 def engagement_scores(spark, sf_dir):
-    events = _staged(frames.silver_events(spark, sf_dir), "events")
+    events = frames.staged(frames.silver_events(spark, sf_dir), "events")
     model, _ = engagement.train_engagement(
         events, cv_folds=2, depths=(2, 3), iterations=(3,), **SMALL_MODEL
     )

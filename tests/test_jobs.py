@@ -112,7 +112,7 @@ def test_incremental_silver_builds_the_same_table(spark, tmp_path):
         jobs.bronze_job(
             spark,
             base_dir=landing,
-            topic="t",
+            topic="007",
             batch_id=f"b{day}",
             bronze_dir=bronze,
             ingested_at=dt.datetime(2024, 2, day),
@@ -122,6 +122,7 @@ def test_incremental_silver_builds_the_same_table(spark, tmp_path):
     got = jobs.read_events(spark, step)
     want = jobs.read_events(spark, whole)
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert {r["topic"] for r in got.collect()} == {"007"}
     assert {r["event_id"]: r["title"] for r in got.collect()} == {
         "post_1": "one",
         "post_2": "two again",

@@ -4,7 +4,7 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from lakekit.ml import engagement, features, models, sentiment, topics
+from lakekit.ml import engagement, features, models, scoring, sentiment, topics
 from lakekit.ml.features import hash_bucket, train_test_split
 from lakekit.operators.labels import derived_flags
 
@@ -105,6 +105,30 @@ def test_class_metrics(spark):
     assert got["f1"] == pytest.approx((3 * f1_zero + 5 * f1_one) / 8)
 
 
+def test_one_pass_scores_equal_separate_scores(events, topic_model):
+    sentiment_model, _ = sentiment.train_sentiment(
+        events, vocab_size=50, min_doc_freq=1, max_iter=3
+    )
+    engagement_model, _ = engagement.train_engagement(
+        events, vocab_size=50, min_doc_freq=1, cv_folds=2, depths=(2,), iterations=(2,)
+    )
+    together = scoring.score_events(
+        events,
+        topic_model=topic_model[0],
+        sentiment_model=sentiment_model,
+        engagement_model=engagement_model,
+    )
+    apart = {
+        "post_topics": topics.assign_topics(topic_model[0], events),
+        "post_sentiment": sentiment.score_sentiment(sentiment_model, events),
+        "engagement_predictions": engagement.predict_engagement(engagement_model, events),
+    }
+    assert set(together) == set(apart)
+    for name, frame in together.items():
+        assert frame.columns == apart[name].columns
+        assert frame.exceptAll(apart[name]).isEmpty() and frame.count() == events.count()
+
+
 def test_engagement(events):
     model, metrics = engagement.train_engagement(
         events, vocab_size=50, min_doc_freq=1, cv_folds=2, depths=(2, 3), iterations=(2,)

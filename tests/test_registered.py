@@ -63,6 +63,7 @@ def test_every_oracle_has_a_query_and_fits_have_rows(spark):
         "sentiment_scores",
         "engagement_scores",
         "model_roundtrip",
+        "job_train_score",
     }
 
 
