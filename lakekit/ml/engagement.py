@@ -20,7 +20,7 @@ from lakekit.ml.features import (
     train_test_split,
 )
 from lakekit.operators.labels import derived_flags, label_by_threshold, score_thresholds
-from lakekit.session import shared_folder, stage
+from lakekit.session import shared_folder, staged
 
 # The searched grid.
 GRID_DEPTHS = (4, 6)
@@ -71,20 +71,22 @@ def train_engagement(
         fit_rows, held_out = train.filter(fold != i), train.filter(fold == i)
         fitted = features.fit(fit_rows)
         # Every grid point reads these several times; files spare the text work.
-        fit_set = stage(fitted.transform(fit_rows).select("features", "label"), f"cv{i}_fit")
-        held_set = stage(fitted.transform(held_out).select("features", "label"), f"cv{i}_held")
+        with (
+            staged(fitted.transform(fit_rows).select("features", "label"), f"cv{i}_fit") as fit_set,
+            staged(fitted.transform(held_out).select("features", "label"), f"cv{i}_held") as held_set,
+            ThreadPoolExecutor(max_workers=parallelism) as pool,
+        ):
 
-        def measure(params, fit_set=fit_set, held_set=held_set):
-            return area.evaluate(trees.fit(fit_set, params).transform(held_set))
+            def measure(params, fit_set=fit_set, held_set=held_set):
+                return area.evaluate(trees.fit(fit_set, params).transform(held_set))
 
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
             totals = [t + m for t, m in zip(totals, pool.map(measure, grid), strict=True)]
     averages = [t / cv_folds for t in totals]
     best = max(range(len(grid)), key=averages.__getitem__)
 
     fitted = features.fit(train)
-    train_set = stage(fitted.transform(train).select("features", "label"), "engagement_fit")
-    model = PipelineModel([*fitted.stages, trees.fit(train_set, grid[best])])
+    with staged(fitted.transform(train).select("features", "label"), "engagement_fit") as train_set:
+        model = PipelineModel([*fitted.stages, trees.fit(train_set, grid[best])])
     return model, {**area_metrics(model.transform(test)), "best_avg_metric": averages[best]}
 
 

@@ -26,7 +26,7 @@ from lakekit.operators.quality import (
 )
 from lakekit.operators.silver import to_events
 from lakekit.schema import COMMENT, EVENT_KEYS, EVENT_SCHEMA, POST, TOPIC_TERMS_SCHEMA
-from lakekit.session import stage
+from lakekit.session import staged
 from lakekit.sources.bronze import BRONZE_PARTITIONS, bronze_frames, read_optional
 from lakekit.sources.tables import (
     read_parquet,
@@ -37,6 +37,7 @@ from lakekit.sources.tables import (
 )
 
 EVENT_PARTITIONS = ["topic", "created_date"]
+EVENT_CLUSTERING = ["channel"]
 
 
 @dataclass(frozen=True)
@@ -163,12 +164,16 @@ def silver_job(
     for kind, df in (("posts", posts), ("comments", comments)):
         if df is not None:
             gate(run_checks(df, [not_null(["id"])]), f"silver input {kind}")
-    events = stage(
-        to_events(posts, comments, topic=F.col("_topic"), community=community),
-        "silver_events",
-    )
-    report = gate(run_checks(events, silver_rules(limits, as_of)), "silver")
-    upsert(events, events_path, EVENT_KEYS, partition_by=EVENT_PARTITIONS)
+    events = to_events(posts, comments, topic=F.col("_topic"), community=community)
+    with staged(events, "silver_events") as source:
+        report = gate(run_checks(source, silver_rules(limits, as_of)), "silver")
+        upsert(
+            source,
+            events_path,
+            EVENT_KEYS,
+            partition_by=EVENT_PARTITIONS,
+            cluster_by=EVENT_CLUSTERING,
+        )
     return report
 
 
@@ -266,6 +271,7 @@ def score_job(spark: SparkSession, *, events_path: str, gold_dir: str, model_dir
         sentiment_model=loaded[scoring.SENTIMENT_MODEL],
         engagement_model=loaded[scoring.ENGAGEMENT_MODEL],
     )
-    for name, df in scoring.split_scores(stage(scored, "scores")).items():
-        write_path(df, f"{gold_dir}/{name}")
+    with staged(scored, "scores") as narrow:
+        for name, df in scoring.split_scores(narrow).items():
+            write_path(df, f"{gold_dir}/{name}")
     _model_gold(spark, gold_dir)

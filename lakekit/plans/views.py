@@ -49,7 +49,11 @@ def daily_trend(daily: DataFrame, *, calendar: bool = False) -> DataFrame:
 
 
 def leaderboard(summary: DataFrame) -> DataFrame:
-    """Channels ranked within their topic by volume and by average score."""
+    """Channels ranked within their topic by volume and by average score.
+
+    A topic's channels, one narrow row each, are sorted in one task; the sort
+    spills. A filter on a rank is applied before the shuffle as well.
+    """
     by_volume = Window.partitionBy("topic").orderBy(F.desc("event_count"))
     by_score = Window.partitionBy("topic").orderBy(F.desc("avg_score"))
     return summary.select(

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,7 +58,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Used where several actions need the same expensive frame: files outlive a
     lost executor, a cache block does not.
     """
+    return df.sparkSession.read.schema(df.schema).parquet(_write_staged(df, name))
+
+
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """:func:`stage` for the length of a block; the files are freed at its end."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/staged/{spark.sparkContext.applicationId}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = _write_staged(df, name)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        # Overwriting with no rows drops the files by means of Spark alone.
+        spark.range(0).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def _write_staged(df: DataFrame, name: str) -> str:
+    path = f"{shared_folder(df.sparkSession)}/staged/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path

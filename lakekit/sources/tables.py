@@ -47,13 +47,18 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def _spread(df: DataFrame, partition_by: Sequence[str], rebalance: bool) -> DataFrame:
-    """Gather each partition's rows into few files.
+def _spread(
+    df: DataFrame, partition_by: Sequence[str], rebalance: bool, cluster_by: Sequence[str] = ()
+) -> DataFrame:
+    """Gather each partition's rows into few files, ordered by ``cluster_by`` within them.
 
     The rebalance hint lets adaptive execution split a partition that is too
-    large and merge those that are too small.
+    large and merge those that are too small. A partitioned write sorts by its
+    partition columns anyway, so ordering further costs little.
     """
-    return df.hint("rebalance", *partition_by) if rebalance and partition_by else df
+    if rebalance and partition_by:
+        df = df.hint("rebalance", *partition_by)
+    return df.sortWithinPartitions(*partition_by, *cluster_by) if cluster_by else df
 
 
 def write_path(
@@ -62,11 +67,13 @@ def write_path(
     *,
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
     rebalance: bool = True,
 ) -> None:
     """Parquet at ``path``. Skip ``rebalance`` when the frame holds one partition only:
     its tasks can then write where they stand, without a shuffle."""
-    _spread(df, partition_by, rebalance).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    spread = _spread(df, partition_by, rebalance, cluster_by)
+    spread.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def write_table(
@@ -125,6 +132,7 @@ def upsert(
     keys: Sequence[str],
     *,
     partition_by: Sequence[str],
+    cluster_by: Sequence[str] = (),
 ) -> None:
     """Update rows whose key exists, insert the others; create the table if absent.
 
@@ -141,7 +149,7 @@ def upsert(
     spark = source.sparkSession
     require_unique_keys(source, keys)
     if read_optional(spark, path) is None:
-        write_path(source, path, partition_by=partition_by)
+        write_path(source, path, partition_by=partition_by, cluster_by=cluster_by)
         return
 
     target = spark.read.schema(source.schema).parquet(path)
@@ -159,7 +167,7 @@ def upsert(
     touched = list({*receiving, *losing})
     merged = merge_rows(target.filter(_in_partitions(touched, parts)), source, keys)
     (
-        _spread(merged, parts, True)
+        _spread(merged, parts, True, cluster_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts)

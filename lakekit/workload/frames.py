@@ -7,7 +7,6 @@ Every row and every whole text of a table takes part. What the tables lack
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -96,14 +95,9 @@ def silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_events(posts, comments, topic=F.col("_topic"))
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """A frame written once, as the jobs do before reading it several times."""
-    return stage(df, f"{name}-{uuid.uuid4().hex}")
-
-
 def narrow_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver events without their texts, staged for queries that read them more than once."""
-    return staged(silver_events(spark, sf_dir).drop("title", "text"), "narrow_events")
+    return stage(silver_events(spark, sf_dir).drop("title", "text"), "narrow_events")
 
 
 def relabelled_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,7 +166,7 @@ def topic_terms(assigned: DataFrame) -> DataFrame:
         .agg(F.array_sort(F.collect_list(F.struct("place", "term")))["term"].alias("terms"))
         .withColumn("label", F.array_join(F.slice("terms", 1, LABEL_TERMS), ", "))
     )
-    return staged(terms, "topic_terms")
+    return stage(terms, "topic_terms")
 
 
 def post_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from lakekit.ml import engagement, features, models, scoring, sentiment, topics
 from lakekit.operators import gold, labels, profile, quality, silver
 from lakekit.plans import jobs, tiles, views
 from lakekit.schema import EVENT_KEYS, TOPIC_TERMS_SCHEMA
-from lakekit.session import configure, shared_folder
+from lakekit.session import configure, shared_folder, stage, staged
 from lakekit.sources import bronze, tables
 from lakekit.workload import frames
 from lakekit.workload.frames import AS_OF, FIRST_INGEST, SECOND_INGEST
@@ -73,8 +73,8 @@ def upsert(spark, sf_dir):
 def upsert_partitions(spark, sf_dir):
     path = _run_folder(spark, "upsert")
     for side in _upsert_sides(spark, sf_dir):
-        staged = frames.staged(side, "upsert_side")
-        tables.upsert(staged, path, EVENT_KEYS, partition_by=jobs.EVENT_PARTITIONS)
+        with staged(side, "upsert_side") as source:
+            tables.upsert(source, path, EVENT_KEYS, partition_by=jobs.EVENT_PARTITIONS)
     return jobs.read_events(spark, path)
 
 
@@ -209,14 +209,14 @@ def view_heatmap(spark, sf_dir):
 
 @query
 def view_topics_labeled(spark, sf_dir):
-    assigned = frames.staged(frames.post_topics(spark, sf_dir), "post_topics")
+    assigned = stage(frames.post_topics(spark, sf_dir), "post_topics")
     labelled = views.topics_labeled(assigned, frames.topic_terms(assigned))
     return labelled.withColumn("topic_terms", F.array_join("topic_terms", "|"))
 
 
 @query
 def view_topic_share(spark, sf_dir):
-    assigned = frames.staged(frames.post_topics(spark, sf_dir), "post_topics")
+    assigned = stage(frames.post_topics(spark, sf_dir), "post_topics")
     return views.topic_share_daily(assigned, frames.topic_terms(assigned))
 
 
@@ -504,7 +504,7 @@ def job_train_score(spark, sf_dir):
 
 
 def _topic_model(spark, sf_dir):
-    events = frames.staged(frames.post_events(spark, sf_dir), "posts")
+    events = stage(frames.post_events(spark, sf_dir), "posts")
     return events, *topics.train_topic_model(
         events, k=4, max_iter=5, min_token_length=3, **SMALL_MODEL
     )
@@ -524,14 +524,14 @@ def lda_topics(spark, sf_dir):
 
 @query
 def sentiment_scores(spark, sf_dir):
-    events = frames.staged(frames.silver_events(spark, sf_dir), "events")
+    events = stage(frames.silver_events(spark, sf_dir), "events")
     model, _ = sentiment.train_sentiment(events, max_iter=10, **SMALL_MODEL)
     return sentiment.score_sentiment(model, events)
 
 
 @query
 def engagement_scores(spark, sf_dir):
-    events = frames.staged(frames.silver_events(spark, sf_dir), "events")
+    events = stage(frames.silver_events(spark, sf_dir), "events")
     model, _ = engagement.train_engagement(
         events, cv_folds=2, depths=(2, 3), iterations=(3,), **SMALL_MODEL
     )

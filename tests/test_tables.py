@@ -1,4 +1,6 @@
 import datetime as dt
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -6,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from lakekit.session import shared_folder, stage
+from lakekit.session import shared_folder, stage, staged
 from lakekit.sources.bronze import add_lineage, bronze_frames, read_optional
 from lakekit.sources.tables import (
     clustered,
@@ -151,13 +153,23 @@ def test_append_and_partitions(spark, tmp_path):
     write_path(df, path, mode="append", partition_by=["topic"], rebalance=False)
     write_path(df, path, mode="append", partition_by=["topic"])
     assert spark.read.parquet(path).filter("topic = 'a'").count() == 2
+    ordered = str(tmp_path / "ordered")
+    many = spark.range(100).selectExpr("id % 2 AS p", "(id * 37) % 100 AS c")
+    write_path(many, ordered, partition_by=["p"], cluster_by=["c"])
+    values = [r["c"] for r in spark.read.parquet(f"{ordered}/p=0").collect()]
+    assert values == sorted(values) and len(values) == 50
 
 
 def test_stage_and_spread(spark):
     df = spark.range(5).withColumn("x", F.lit("y"))
-    staged = stage(df, "unit")
-    assert staged.schema.names == ["id", "x"] and staged.count() == 5
-    assert staged.inputFiles()[0].startswith(f"file://{shared_folder(spark)}")
-    assert spread_small(staged).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    kept = stage(df, "unit")
+    assert kept.schema.names == ["id", "x"] and kept.count() == 5
+    assert kept.inputFiles()[0].startswith(f"file://{shared_folder(spark)}")
+    with staged(df, "block") as frame:
+        assert frame.count() == 5
+        folder = Path(urlparse(frame.inputFiles()[0]).path).parent
+        assert folder.is_relative_to(shared_folder(spark))
+    assert spark.read.parquet(str(folder)).count() == 0
+    assert spread_small(kept).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(0, 100, 1, 50)
     assert spread_small(many) is many
