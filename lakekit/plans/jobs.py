@@ -25,6 +25,7 @@ from lakekit.operators.quality import (
     unique,
 )
 from lakekit.operators.silver import to_events
+from lakekit.plans.views import gold_views, register_views
 from lakekit.schema import COMMENT, EVENT_KEYS, EVENT_SCHEMA, POST, TOPIC_TERMS_SCHEMA
 from lakekit.session import staged
 from lakekit.sources.bronze import BRONZE_PARTITIONS, bronze_frames, read_optional
@@ -275,3 +276,24 @@ def score_job(spark: SparkSession, *, events_path: str, gold_dir: str, model_dir
         for name, df in scoring.split_scores(narrow).items():
             write_path(df, f"{gold_dir}/{name}")
     _model_gold(spark, gold_dir)
+
+
+GOLD_TABLES = [
+    "daily_activity",
+    "channel_summary",
+    "hourly_activity",
+    "topic_terms",
+    "post_topics",
+    "post_sentiment",
+    "engagement_predictions",
+    "topic_trends",
+    "sentiment_daily",
+]
+
+
+def open_gold(spark: SparkSession, gold_dir: str) -> dict[str, DataFrame]:
+    """The gold tables and the views over them, registered under their names for SQL."""
+    tables = {name: spark.read.parquet(f"{gold_dir}/{name}") for name in GOLD_TABLES}
+    frames = {**tables, **gold_views(tables)}
+    register_views(frames)
+    return frames

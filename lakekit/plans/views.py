@@ -194,8 +194,22 @@ def topic_kpis(summary: DataFrame, post_sentiment: DataFrame) -> DataFrame:
     return per_topic.join(mood, "topic", "left")
 
 
+def gold_views(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The eight views by name, from gold tables by name."""
+    return {
+        "vw_channel_daily_trend": daily_trend(tables["daily_activity"]),
+        "vw_channel_leaderboard": leaderboard(tables["channel_summary"]),
+        "vw_activity_heatmap": heatmap(tables["hourly_activity"]),
+        "vw_post_topics_labeled": topics_labeled(tables["post_topics"], tables["topic_terms"]),
+        "vw_topic_share_daily": topic_share_daily(tables["post_topics"], tables["topic_terms"]),
+        "vw_sentiment_breakdown": sentiment_breakdown(tables["post_sentiment"]),
+        "vw_engagement_summary": engagement_summary(tables["engagement_predictions"]),
+        "vw_topic_kpis": topic_kpis(tables["channel_summary"], tables["post_sentiment"]),
+    }
+
+
 def register_views(frames: dict[str, DataFrame]) -> list[str]:
-    """Make frames queryable from SQL by name, for BI clients of this session."""
+    """Make frames queryable from SQL by name in their session."""
     for name, frame in frames.items():
         frame.createOrReplaceTempView(name)
     return sorted(frames)

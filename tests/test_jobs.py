@@ -94,6 +94,14 @@ def test_jobs_end_to_end(spark, lake):
     trends = spark.read.parquet(f"{lake['gold_dir']}/topic_trends")
     assert trends.agg(F.sum("event_count")).first()[0] == 98
     jobs.score_job(spark, **paths)
+    frames = jobs.open_gold(spark, lake["gold_dir"])
+    assert sum(name.startswith("vw_") for name in frames) == 8
+    tile = spark.sql(
+        "SELECT topic, total_events FROM vw_topic_kpis ORDER BY total_events DESC"
+    ).collect()
+    assert [(r["topic"], r["total_events"]) for r in tile] == [("ds", 98)]
+    top = spark.sql("SELECT channel FROM vw_channel_leaderboard WHERE rank_by_volume <= 1")
+    assert [r["channel"] for r in top.collect()] == ["engineering"]
     mix = spark.read.parquet(f"{lake['gold_dir']}/sentiment_daily")
     assert mix.agg(F.sum("event_count")).first()[0] == 98
 
