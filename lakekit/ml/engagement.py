@@ -20,7 +20,7 @@ from lakekit.ml.features import (
     train_test_split,
 )
 from lakekit.operators.labels import derived_flags, label_by_threshold, score_thresholds
-from lakekit.session import shared_folder, staged
+from lakekit.session import checkpointed, staged
 
 # The searched grid.
 GRID_DEPTHS = (4, 6)
@@ -45,11 +45,9 @@ def train_engagement(
     The score thresholds behind the labels come from training rows only.
     Features are fitted once per fold, since the grid only touches the trees.
     """
-    spark = events.sparkSession
-    shared_folder(spark)
     flagged = derived_flags(events).select(*MODEL_INPUTS, "score")
     train_events, test_events = train_test_split(flagged, seed=seed)
-    thresholds = score_thresholds(train_events, percentile).checkpoint()
+    thresholds = checkpointed(score_thresholds(train_events, percentile))
     train = label_by_threshold(train_events, thresholds)
     test = label_by_threshold(test_events, thresholds)
 

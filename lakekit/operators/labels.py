@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakekit.functions.stats import percentiles
 from lakekit.operators.lookup import join_lookup
 from lakekit.schema import POST
+from lakekit.session import checkpointed
 
 # Fixed values of the weak labels.
 SENTIMENTS = ["negative", "neutral", "positive"]
@@ -55,7 +56,7 @@ def score_thresholds(events: DataFrame, p: float = 0.90) -> DataFrame:
 
 def label_by_threshold(events: DataFrame, thresholds: DataFrame) -> DataFrame:
     """``label`` 1.0 where the score reaches its topic's threshold."""
-    joined = join_lookup(events, thresholds, on=["topic"], materialize=True)
+    joined = join_lookup(events, thresholds, on=["topic"])
     return joined.withColumn("label", _flag(F.col("score") >= F.col("score_threshold")))
 
 
@@ -65,4 +66,4 @@ def engagement_label(events: DataFrame, p: float = 0.90) -> DataFrame:
     An aggregate joined back, not a window over ``topic``: a window would bring
     all rows of a topic, text included, into one task.
     """
-    return label_by_threshold(events, score_thresholds(events, p))
+    return label_by_threshold(events, checkpointed(score_thresholds(events, p)))

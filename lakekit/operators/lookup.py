@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.session import shared_folder
-
 # A lookup row here is a key, a few numbers and at most a short term list, so this
 # many rows stay far below the executors' broadcast limits.
 MAX_BROADCAST_ROWS = 100_000
@@ -20,19 +18,14 @@ def join_lookup(
     on: Sequence[str],
     how: str = "left",
     *,
-    materialize: bool = False,
     max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Join ``lookup``, broadcast only when its counted size allows it.
 
     Beyond ``max_rows`` the join is left to Spark, which shuffles and splits
-    skewed keys. ``materialize`` writes the lookup to the checkpoint folder
-    first, for a lookup that is itself an aggregate over the large side: it is
-    then computed once, not once for the count and again for the join.
+    skewed keys. The lookup is read for the count and again for the join: pass a
+    stored table, or a checkpointed aggregate.
     """
-    if materialize:
-        shared_folder(df.sparkSession)
-        lookup = lookup.checkpoint()
     if lookup.limit(max_rows + 1).count() <= max_rows:
         lookup = F.broadcast(lookup)
     return df.join(lookup, list(on), how)

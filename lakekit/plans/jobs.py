@@ -111,10 +111,11 @@ def _bronze_kind(
     kind: str,
     topics: Sequence[str] | None,
     since: dt.date | None,
+    merge_schema: bool,
 ) -> DataFrame | None:
     """Both filters are on partition columns: other folders are not opened."""
     path = f"{bronze_dir}/{kind}_raw"
-    found = read_optional(spark, path, merge_schema=True)
+    found = read_optional(spark, path, merge_schema=merge_schema)
     if found is None:
         return None
     # Read again with the topic as text: a topic named 007 must not become 7.
@@ -147,6 +148,7 @@ def silver_job(
     events_path: str,
     topics: Sequence[str] | None = None,
     since: dt.date | None = None,
+    merge_schema: bool = True,
     community: str = "channel",
     limits: QualityLimits = QualityLimits(),
     as_of: dt.date | None = None,
@@ -156,10 +158,12 @@ def silver_job(
     The events are staged once; the gate and the upsert read the staged files.
     By default all of bronze is processed again. ``since`` takes only batches
     ingested from that day on; as newer batches win over older ones in both
-    cases, daily runs over new batches build the same table.
+    cases, daily runs over new batches build the same table. ``merge_schema``
+    opens every bronze file for its columns; a lake whose batches all have the
+    same columns can do without.
     """
-    posts = _bronze_kind(spark, bronze_dir, "posts", topics, since)
-    comments = _bronze_kind(spark, bronze_dir, "comments", topics, since)
+    posts = _bronze_kind(spark, bronze_dir, "posts", topics, since, merge_schema)
+    comments = _bronze_kind(spark, bronze_dir, "comments", topics, since, merge_schema)
     if posts is None and comments is None:
         raise RuntimeError("no bronze rows to build events from")
     for kind, df in (("posts", posts), ("comments", comments)):

@@ -52,6 +52,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Compute a small aggregate now and once, in the shared folder."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once under the shared folder and read it back.
 
