@@ -26,6 +26,9 @@ from tokenizers import Tokenizer
 # Distinct words kept between batches; with their ids about 100 MB.
 CACHED_WORDS = 1_500_000
 JOINED_WORDS = 4096
+GATHERED_WORDS = 1 << 18
+# Characters of a batch that are worked on at a time.
+SLICE_BYTES = 12_000_000
 # The white space a byte-level splitter knows, and the splitter of the
 # vocabulary with word ends.
 WHITE_SPACE = (
@@ -58,8 +61,8 @@ class Encoder:
 
     def _forget(self) -> None:
         self._known = pa.array([], pa.large_string())
-        self._table = np.zeros((0, 2), dtype=np.int64)
-        self._starts = np.zeros(1, dtype=np.int64)
+        self._table = np.zeros((0, 2), dtype=np.int32)
+        self._starts = np.zeros(1, dtype=np.int32)
         self._flat = np.zeros(0, dtype=np.uint32)
 
     def plain(self, texts: list[str]) -> list[np.ndarray]:
@@ -107,11 +110,14 @@ class Encoder:
         bounds = np.asarray(words.offsets).astype(np.int64)
         codes = words.flatten().dictionary_encode()
         at = pc.index_in(codes.dictionary, value_set=self._known)
-        new = codes.dictionary.filter(pc.is_null(at))
+        fresh = pc.is_null(at)
+        at = np.array(pc.fill_null(at, -1))
+        known = len(self._known)
+        new = codes.dictionary.filter(fresh)
         if len(new):
             self._learn(new, lead)
-            at = pc.index_in(codes.dictionary, value_set=self._known)
-        return self._table[np.asarray(at)[np.asarray(codes.indices)]], bounds
+            at[np.asarray(fresh)] = known + np.arange(len(new))
+        return self._table[at][np.asarray(codes.indices)], bounds
 
     def _learn(self, words: pa.Array, lead: str) -> None:
         """Encode words not met before: their distinct parts, many in one call."""
@@ -142,11 +148,13 @@ class Encoder:
         place = {w: first + i for i, w in enumerate(plain + odd)}
         mark = {w: first + len(place) + i for i, w in enumerate(tails)}
         mark[""] = -1
-        rows = np.array([[place[a], mark[b]] for a, b in pairs], dtype=np.int64)
+        rows = np.empty((len(pairs), 2), dtype=np.int32)
+        rows[:, 0] = [place[a] for a, _ in pairs]
+        rows[:, 1] = [mark[b] for _, b in pairs]
         self._table = np.concatenate([self._table, rows])
         self._known = pa.concat_arrays([self._known, words])
         grown = np.cumsum(np.concatenate(sizes).astype(np.int64))
-        self._starts = np.concatenate([self._starts, self._starts[-1] + grown])
+        self._starts = np.concatenate([self._starts, (self._starts[-1] + grown).astype(np.int32)])
         self._flat = np.concatenate([self._flat, *found, *each])
 
 
@@ -186,13 +194,20 @@ def _joined(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def _gather(flat, starts, sizes, rows, bounds) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the places in ``rows`` in a row, and how many lie between the bounds."""
-    kept = rows >= 0
-    parts = rows[kept]
-    before = np.concatenate([[0], np.cumsum(kept.sum(axis=1))])
-    lengths = sizes[parts]
-    ends = np.concatenate([[0], np.cumsum(lengths)])
-    at = np.repeat(starts[parts] - ends[:-1], lengths) + np.arange(ends[-1])
-    return flat[at], np.diff(ends[before[bounds]])
+    per_word = np.zeros(len(rows) + 1, dtype=np.int64)
+    for column in rows.T:
+        per_word[1:] += np.where(column >= 0, sizes[column], 0)
+    ends = np.cumsum(per_word)
+    out = np.empty(ends[-1], dtype=np.uint32)
+    for a in range(0, len(rows), GATHERED_WORDS):
+        b = min(a + GATHERED_WORDS, len(rows))
+        parts = rows[a:b][rows[a:b] >= 0]
+        lengths = sizes[parts]
+        total = np.cumsum(lengths)
+        at = np.repeat(starts[parts] - total + lengths, lengths)
+        at += np.arange(len(at), dtype=at.dtype)
+        out[ends[a] : ends[b]] = flat[at]
+    return out, np.diff(ends[bounds])
 
 
 def _interleave(odd, whole, ids, counts) -> tuple[np.ndarray, np.ndarray]:
@@ -209,6 +224,15 @@ def _encoder(definition: str) -> Encoder:
     return Encoder(definition)
 
 
+def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with a bounded amount of text, a longer text on its own."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0)).astype(np.int64)
+    marks = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE_BYTES)) + 1
+    for a, b in zip([0, *marks.tolist()], [*marks.tolist(), batch.num_rows], strict=True):
+        if a < b:
+            yield batch.slice(a, b - a)
+
+
 def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """The end id after each text's ids."""
     return np.insert(ids, np.cumsum(counts), end_id), counts + 1
@@ -242,9 +266,7 @@ def tokenized(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(definition.value)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (part for whole in batches for part in slices(whole, "_text")):
             found = encoder.encode(batch.column("_text"))
             ids, counts = with_end(*found, end_id)
             columns = [batch.column(c) for c in keep]
