@@ -23,12 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-# Distinct words kept between batches; with their ids about 100 MB.
-CACHED_WORDS = 1_500_000
+# Distinct words kept between slices of text; with their ids some 40 MB.
+CACHED_WORDS = 700_000
+LEARNED_WORDS = 1 << 15
 JOINED_WORDS = 4096
 GATHERED_WORDS = 1 << 18
 # Characters of a batch that are worked on at a time.
-SLICE_BYTES = 12_000_000
+SLICE_BYTES = 8_000_000
 # The white space a byte-level splitter knows, and the splitter of the
 # vocabulary with word ends.
 WHITE_SPACE = (
@@ -59,11 +60,25 @@ class Encoder:
             self._marks[i] = piece.startswith("Ġ") if self._mode == "space" else piece.endswith("</w>")
         self._forget()
 
-    def _forget(self) -> None:
-        self._known = pa.array([], pa.large_string())
-        self._table = np.zeros((0, 2), dtype=np.int32)
-        self._starts = np.zeros(1, dtype=np.int32)
-        self._flat = np.zeros(0, dtype=np.uint32)
+    def _forget(self, kept: np.ndarray | None = None) -> None:
+        """Drop all words but those of the places ``kept``, with the ids that only they had."""
+        if kept is None or not len(kept):
+            self._known = pa.array([], pa.large_string())
+            self._table = np.zeros((0, 2), dtype=np.int32)
+            self._seen = np.zeros(0, dtype=np.int32)
+            self._starts = np.zeros(1, dtype=np.int32)
+            self._flat = np.zeros(0, dtype=np.uint32)
+            return
+        rows = self._table[kept]
+        places = np.unique(rows[rows >= 0])
+        ids, counts = _gather(
+            self._flat, self._starts[:-1], np.diff(self._starts), places[:, None], np.arange(len(places) + 1)
+        )
+        self._known = self._known.take(pa.array(kept))
+        self._table = np.where(rows >= 0, np.searchsorted(places, rows), -1).astype(np.int32)
+        self._seen = self._seen[kept] // 2
+        self._starts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        self._flat = ids
 
     def plain(self, texts: list[str]) -> list[np.ndarray]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -74,7 +89,8 @@ class Encoder:
         if self._mode is None or not len(texts):
             return _joined(self.plain(texts.to_pylist()))
         if len(self._known) > CACHED_WORDS:
-            self._forget()
+            # Words met in one slice only are mostly rare ones.
+            self._forget(np.flatnonzero(self._seen > 1))
         return self._by_space(texts) if self._mode == "space" else self._by_word(texts)
 
     # --- byte-level pieces: a word carries the one space before it ---
@@ -114,9 +130,11 @@ class Encoder:
         at = np.array(pc.fill_null(at, -1))
         known = len(self._known)
         new = codes.dictionary.filter(fresh)
-        if len(new):
-            self._learn(new, lead)
-            at[np.asarray(fresh)] = known + np.arange(len(new))
+        for i in range(0, len(new), LEARNED_WORDS):
+            self._learn(new.slice(i, LEARNED_WORDS), lead)
+        at[np.asarray(fresh)] = known + np.arange(len(new))
+        self._seen = np.concatenate([self._seen, np.zeros(len(new), dtype=np.int32)])
+        self._seen[at] += 1
         return self._table[at][np.asarray(codes.indices)], bounds
 
     def _learn(self, words: pa.Array, lead: str) -> None:
