@@ -19,12 +19,12 @@ from unicodedata import is_normalized
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 # Distinct words kept between slices of text; with their ids some 40 MB.
-CACHED_WORDS = 700_000
+CACHED_WORDS = 500_000
 LEARNED_WORDS = 1 << 15
 JOINED_WORDS = 4096
 GATHERED_WORDS = 1 << 18
@@ -242,6 +242,17 @@ def _encoder(definition: str) -> Encoder:
     return Encoder(definition)
 
 
+# Rows of an Arrow batch: with texts of a few kilobytes some megabytes.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's rows per Arrow batch, whose default suits narrow rows, not texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with a bounded amount of text, a longer text on its own."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0)).astype(np.int64)
@@ -279,6 +290,7 @@ def tokenized(
     The tokenizer file (a few megabytes, whatever the data) is sent to the executors once.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     with open(tokenizer, encoding="utf-8") as file:
         definition = spark.sparkContext.broadcast(file.read())
 
