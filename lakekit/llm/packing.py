@@ -40,9 +40,11 @@ def pack(
     sequence: int = SEQUENCE,
     window_sequences: int = WINDOW_SEQUENCES,
     weight: Column | None = None,
+    digest: bool = False,
 ) -> DataFrame:
     """One row per piece: ``doc_id, source, start, length, doc_tokens, sequence_id, offset``,
-    the packed ``ids`` of the piece and their ``width`` in bytes.
+    the packed ``ids`` of the piece and their ``width`` in bytes. With ``digest``, in place
+    of the ids ``ids_crc32``: theirs as little-endian unsigned 32-bit integers.
 
     ``docs`` has doc_id, text and source. ``weight`` gives a source's target share
     from the column ``source`` (default: its own share of all tokens, so that all queues
@@ -60,7 +62,7 @@ def pack(
     lists = cuts.groupBy("_row").agg(
         F.sort_array(F.collect_list(F.struct("start", "length", "sequence_id", "offset"))).alias("pieces")
     )
-    return _sliced(ids.join(lists, "_row"), width)
+    return _sliced(ids.join(lists, "_row"), width, digest)
 
 
 def cut(
@@ -113,67 +115,40 @@ def cut(
     )
 
 
-def _sliced(joined: DataFrame, width: int) -> DataFrame:
-    """Each piece with its own ids, taken from its document's."""
-    spread = (
+def _sliced(joined: DataFrame, width: int, digest: bool) -> DataFrame:
+    """Each piece with its own ids, or their crc32, taken from its document's."""
+    shape = (
         "doc_id long, source string, start long, length long, doc_tokens long, "
-        "sequence_id long, offset long, ids binary, width int"
-    )
+        "sequence_id long, offset long, "
+    ) + ("ids_crc32 long" if digest else "ids binary, width int")
+    names = [field.split()[0] for field in shape.split(", ")]
 
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pieces = batch.column("pieces")
             counts = np.diff(np.asarray(pieces.offsets))
             at = pa.array(np.repeat(np.arange(batch.num_rows), counts))
-            rows = pieces.flatten()
-            start, length, number, offset = (np.asarray(x) for x in rows.flatten())
-            raw = batch.column("ids")
-            texts = [raw[i].as_buffer() for i in range(batch.num_rows)]
-            parts = [
-                memoryview(texts[i])[a * width : (a + n) * width]
-                for i, a, n in zip(at.to_pylist(), start.tolist(), length.tolist(), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").take(at),
-                    batch.column("source").take(at),
-                    pa.array(start),
-                    pa.array(length),
-                    batch.column("n_tokens").take(at),
-                    pa.array(number),
-                    pa.array(offset),
-                    pa.array([bytes(p) for p in parts], pa.binary()),
-                    pa.array(np.full(len(parts), width), pa.int32()),
-                ],
-                names=[f.split()[0] for f in spread.split(", ")],
-            )
+            start, length, number, offset = pieces.flatten().flatten()
+            raw = [x.as_buffer() for x in batch.column("ids")]
+            spans = zip(at.to_pylist(), start.to_pylist(), length.to_pylist(), strict=True)
+            parts = (memoryview(raw[i])[a * width : (a + n) * width] for i, a, n in spans)
+            if digest:
+                crcs = [zlib.crc32(encoding.unpack_ids(p, width).astype("<u4")) for p in parts]
+                own = [pa.array(crcs, pa.int64())]
+            else:
+                own = [pa.array([bytes(p) for p in parts], pa.binary())]
+                own.append(pa.array(np.full(len(at), width), pa.int32()))
+            doc, source, tokens = (batch.column(c).take(at) for c in ("doc_id", "source", "n_tokens"))
+            columns = [doc, source, start, length, tokens, number, offset, *own]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     ordered = joined.select(
         F.col("doc_id").cast("long"), F.col("source").cast("string"), "n_tokens", "ids", "pieces"
     )
-    return ordered.mapInArrow(slices, spread)
+    return ordered.mapInArrow(slices, shape)
 
 
 def padded_length(length: int, sequence: int = SEQUENCE) -> int:
     """What a sequence of this many ids is padded to: nothing if it is a power of two."""
     return length if length & (length - 1) == 0 else sequence
 
-
-def ids_crc32(pieces: DataFrame) -> DataFrame:
-    """``pieces`` with ``ids_crc32``, of the ids as little-endian unsigned 32-bit integers,
-    in place of ``ids`` and ``width``."""
-    keep = [f for f in pieces.schema if f.name not in ("ids", "width")]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep)
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            widths = batch.column("width").to_pylist()
-            found = [
-                zlib.crc32(encoding.unpack_ids(raw, w).astype("<u4"))
-                for raw, w in zip(batch.column("ids").to_pylist(), widths, strict=True)
-            ]
-            columns = [batch.column(f.name) for f in keep] + [pa.array(found, pa.int64())]
-            names = [*[f.name for f in keep], "ids_crc32"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return pieces.mapInArrow(digest, f"{fields}, ids_crc32 long")

@@ -65,7 +65,7 @@ def op10_packing(spark, sf_dir):
         _table(spark, sf_dir, "documents"),
         tokenizer=public_tokenizers.path("byte_bpe_50k.json"),
         end_id=1,
+        digest=True,
     )
-    found = packing.ids_crc32(pieces)
-    digest = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    return found.select(*digest, "source")
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    return pieces.select(*columns, "source")
