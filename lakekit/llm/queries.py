@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import mixing, packing, token_files
+from lakekit.llm import mixing, packing, quality_rules, token_files
 from lakekit.session import configure, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,13 @@ def op6_mixing(spark, sf_dir):
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+@query
+def op7_quality_rules(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    trusted = quality_rules.trusted_documents(_table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs, trusted).drop("text")
+
+
 @query
 def op10_packing(spark, sf_dir):
     pieces = packing.pack(
