@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import mixing, packing, quality_rules, token_files
+from lakekit.llm import ann, chat, mixing, packing, quality_rules, token_files, trie_counts
 from lakekit.session import configure, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,20 @@ def _run_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@query
+def op2_nearest(spark, sf_dir):
+    vectors = _table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.filter("vec_id % 20 = 0"), 20)
+
+
+@query
+def op4_chat_texts(spark, sf_dir):
+    return chat.chat_texts(_table(spark, sf_dir, "conversations"))
+
+
+_SQL["op4_chat_texts"] = chat.SQL
+
+
 @query
 def op5_token_files(spark, sf_dir):
     path = _run_folder(spark, "token-ids")
@@ -66,6 +80,12 @@ def op7_quality_rules(spark, sf_dir):
     return quality_rules.judge(docs, trusted).drop("text")
 
 
+@query
+def op9_token_counts(spark, sf_dir):
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return trie_counts.count_tokens(_table(spark, sf_dir, "documents"), model_file=model)
+
+
 @query
 def op10_packing(spark, sf_dir):
     pieces = packing.pack(
