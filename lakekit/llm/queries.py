@@ -9,7 +9,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.llm import ann, chat, mixing, packing, quality_rules, token_files, trie_counts
+from lakekit.llm import (
+    ann,
+    chat,
+    mixing,
+    ngram_join,
+    packing,
+    quality_rules,
+    token_files,
+    trie_counts,
+)
 from lakekit.session import configure, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +50,11 @@ def _run_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@query
+def op1_ngram_join(spark, sf_dir):
+    return ngram_join.jaccard_groups(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_nearest(spark, sf_dir):
     vectors = _table(spark, sf_dir, "embeddings")
