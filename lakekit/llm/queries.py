@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lakekit.llm import (
     ann,
+    backoff,
     chat,
     mixing,
     ngram_join,
@@ -94,6 +95,11 @@ def op7_quality_rules(spark, sf_dir):
     return quality_rules.judge(docs, trusted).drop("text")
 
 
+@query
+def op8_backoff(spark, sf_dir):
+    return backoff.score(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_token_counts(spark, sf_dir):
     model = public_tokenizers.path("piece_bpe_32k.model")
