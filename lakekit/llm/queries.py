@@ -13,6 +13,7 @@ from lakekit.llm import (
     ann,
     backoff,
     chat,
+    html_extract,
     mixing,
     ngram_join,
     packing,
@@ -62,6 +63,11 @@ def op2_nearest(spark, sf_dir):
     return ann.nearest(vectors, vectors.filter("vec_id % 20 = 0"), 20)
 
 
+@query
+def op3_html_extract(spark, sf_dir):
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
 @query
 def op4_chat_texts(spark, sf_dir):
     return chat.chat_texts(_table(spark, sf_dir, "conversations"))
