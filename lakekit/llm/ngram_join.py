@@ -413,10 +413,23 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` without all but one document of each group: the one with the smallest id stays.
-    Of repeated rows with one id and text one stays; texts without words all stay."""
-    columns = docs.columns
+
+    Of repeated rows with one id and text one stays; different texts under one id that is
+    the smallest of their groups all stay. Texts without words are linked with nothing
+    and stay, as do those in a group without any id.
+    """
     groups = jaccard_groups(docs.select("doc_id", "text"))
-    kept = groups.filter("component_id IS NULL OR doc_id = component_id").select("doc_id").distinct()
-    kept = kept.withColumnRenamed("doc_id", "_kept")
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return rows.select(*columns)
+    kept = groups.filter("component_id IS NULL OR doc_id = component_id")
+    kept = kept.groupBy("doc_id").agg(F.count("*").alias("_rows")).withColumnRenamed("doc_id", "_kept")
+    kept = stage(kept, "kept_ids")
+
+    def rows_of(ids: DataFrame) -> DataFrame:
+        return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+
+    if kept.filter("_rows > 1").isEmpty():
+        return rows_of(kept)
+    again = rows_of(kept.filter("_rows > 1"))
+    spoken = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    once = again.filter(spoken & F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text"])
+    rest = again.filter(~(spoken & F.col("doc_id").isNotNull()))
+    return rows_of(kept.filter("_rows = 1")).unionByName(once).unionByName(rest)
