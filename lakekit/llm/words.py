@@ -12,6 +12,7 @@ SEPARATORS = bytes([0x20, *range(0x09, 0x0E)])
 _random = np.random.default_rng(20240601)
 _BYTE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_SALTS = _random.integers(1, 1 << 63, 64, dtype=np.uint64)
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[list(SEPARATORS)] = False
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -83,7 +84,7 @@ def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
         shifted = np.zeros(len(words), dtype=np.uint64)
         shifted[: max(len(words) - k, 0)] = words[k:]
         shifted[place + k >= counts[owner]] = 0
-        total += mix(shifted + np.uint64(k + 1) * _STEP) * (shifted != 0)
+        total += mix(shifted + _SALTS[k]) * (shifted != 0)
     hashes = mix(total + length[owner].astype(np.uint64))
     kept = place + length[owner] <= counts[owner]
     hashes, owner = hashes[kept], owner[kept]
