@@ -49,7 +49,8 @@ FLUSHED_KEYS = 2_000_000
 _CLASS_GROWTH = 1.5
 _A, _B = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 
-ROWS = "kind string, doc_id long, n long, cls long, part int, blob binary"
+DOC_ROWS = "doc_id long, n long, cls long, point binary"
+KEY_ROWS = "part int, blob binary"
 
 
 def _size_classes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -175,8 +176,40 @@ class CountTree:
 # --- passes -------------------------------------------------------------------
 
 
-def _described(docs: DataFrame, parts: int) -> DataFrame:
-    """One pass over the texts: a row per document, and the keys of classes by part."""
+def _described(docs: DataFrame) -> DataFrame:
+    """Each document's number of shingles, class and point."""
+    small_batches(docs.sparkSession)
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
+            hashes, counts = shingle_sets(batch.column("text"), SHINGLE_WORDS)
+            columns = [
+                batch.column("doc_id").cast(pa.int64()),
+                pa.array(counts, pa.int64()),
+                pa.array(set_ids(hashes, counts).view(np.int64)),
+                pa.array(_packed_points(count_vectors(hashes, counts)), pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "cls", "point"])
+
+    return docs.select("doc_id", "text").mapInArrow(describe, DOC_ROWS)
+
+
+def _packed_points(points: np.ndarray) -> list[bytes]:
+    """Two bytes a count where that is enough."""
+    narrow = points.max(axis=1, initial=0) < 1 << 16
+    return [p.astype("<u2" if ok else "<u4").tobytes() for p, ok in zip(points, narrow, strict=True)]
+
+
+def _points(packed: list[bytes]) -> np.ndarray:
+    width = 2 * DIMENSIONS
+    if all(len(p) == width for p in packed):
+        return np.frombuffer(b"".join(packed), "<u2").reshape(-1, DIMENSIONS).astype(np.int32)
+    rows = [np.frombuffer(p, "<u2" if len(p) == width else "<u4") for p in packed]
+    return np.stack(rows).astype(np.int64)
+
+
+def _keys(docs: DataFrame, parts: int) -> DataFrame:
+    """The keys of classes, packed by part."""
     small_batches(docs.sparkSession)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,10 +218,6 @@ def _described(docs: DataFrame, parts: int) -> DataFrame:
         for batch in (part for whole in batches for part in slices(whole, "text")):
             hashes, counts = shingle_sets(batch.column("text"), SHINGLE_WORDS)
             ids = set_ids(hashes, counts)
-            n = batch.num_rows
-            yield _row_batch(
-                n, kind="doc", doc_id=batch.column("doc_id").cast(pa.int64()), n=counts, cls=ids.view(np.int64)
-            )
             # A copy within the task gives no keys again.
             fresh = np.array([not (i in seen or seen.add(i)) for i in ids.tolist()], dtype=bool)
             fresh &= counts > 0
@@ -202,20 +231,7 @@ def _described(docs: DataFrame, parts: int) -> DataFrame:
         if kept:
             yield _blobs(np.concatenate(keys), np.concatenate(owners), parts)
 
-    return docs.select("doc_id", "text").mapInArrow(describe, ROWS)
-
-
-def _row_batch(height: int, /, **columns) -> pa.RecordBatch:
-    types = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
-    arrays, names = [], []
-    for field in ROWS.split(", "):
-        name, kind = field.split()
-        value = columns.get(name)
-        if isinstance(value, str):
-            value = [value] * height
-        arrays.append(pa.nulls(height, types[kind]) if value is None else pa.array(value, types[kind]))
-        names.append(name)
-    return pa.RecordBatch.from_arrays(arrays, names=names)
+    return docs.select("text").mapInArrow(describe, KEY_ROWS)
 
 
 def _blobs(keys: np.ndarray, owners: np.ndarray, parts: int) -> pa.RecordBatch:
@@ -233,7 +249,9 @@ def _blobs(keys: np.ndarray, owners: np.ndarray, parts: int) -> pa.RecordBatch:
         places = at.astype("<u2" if len(classes) <= 1 << 16 else "<u4")
         blobs.append(head + classes.astype("<u8").tobytes() + tail.tobytes() + places.tobytes())
         numbers.append(p)
-    return _row_batch(len(blobs), kind="keys", part=np.array(numbers, np.int32), blob=blobs)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary())], names=["part", "blob"]
+    )
 
 
 def _unblob(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -282,36 +300,59 @@ def _meetings(keys: DataFrame, parts: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``cls, size, shingles, point`` of some classes, from the text of one document each.
-    The document is found by its id; among rows of one id the class tells them apart."""
+    """``cls, shingles`` of some classes, from the text of one document each. The document is
+    found by its id; among rows of one id the class tells them apart."""
     small_batches(docs.sparkSession)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, "text")):
             hashes, counts = shingle_sets(batch.column("text"), SHINGLE_WORDS)
-            ids = set_ids(hashes, counts)
+            ids = set_ids(hashes, counts).view(np.int64)
             ends = np.concatenate([[0], np.cumsum(counts)])
-            points = count_vectors(hashes, counts).astype("<i4")
-            rows = [
-                (int(i), int(n), hashes[a:b].tobytes(), p.tobytes())
-                for i, n, a, b, p in zip(ids.view(np.int64), counts, ends, ends[1:], points, strict=False)
-            ]
-            columns = zip(*rows, strict=True) if rows else ([], [], [], [])
-            types = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-            arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["cls", "size", "shingles", "point"])
+            sets = [hashes[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), pa.array(sets, pa.binary())], names=["cls", "shingles"]
+            )
 
     texts = docs.select(F.col("doc_id").alias("rep"), "text")
+    # Rows without an id may hold a class of their own: all of these are looked at.
     chosen = join_lookup(texts, classes.select("rep").distinct(), ["rep"], "left_semi")
-    sets = chosen.select("text").mapInArrow(describe, "cls long, size long, shingles binary, point binary")
-    return sets.join(classes.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
+    chosen = chosen.select("text").union(texts.filter("rep IS NULL").select("text"))
+    sets = chosen.mapInArrow(describe, "cls long, shingles binary")
+    return join_lookup(sets, classes.select("cls"), ["cls"], "left_semi").dropDuplicates(["cls"])
+
+
+def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose sizes and points allow a link."""
+    for side in ("a", "b"):
+        own = classes.select(
+            F.col("cls").alias(side), F.col("size").alias(f"_size_{side}"), F.col("point").alias(f"_point_{side}")
+        )
+        pairs = pairs.join(own, side)
+    small, large = F.least("_size_a", "_size_b"), F.greatest("_size_a", "_size_b")
+    pairs = pairs.filter(small * LIMIT[1] >= large * LIMIT[0])
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            left, right = (_points(batch.column(f"_point_{s}").to_pylist()) for s in ("a", "b"))
+            total = np.asarray(batch.column("_size_a")) + np.asarray(batch.column("_size_b"))
+            bound = np.minimum(left, right).sum(axis=1)
+            good = bound * (LIMIT[0] + LIMIT[1]) >= LIMIT[0] * total
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    return pairs.mapInArrow(check, "a long, b long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` that are linked."""
+def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` that are linked, by the sets of their documents."""
+    pairs = stage(pairs.select("a", "b").distinct(), "pairs")
+    ends = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
+    sets = stage(_sets(docs, stage(classes.join(ends, "cls").select("cls", "rep"), "ends")), "sets")
     left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("_a"))
     right = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("_b"))
-    joined = pairs.select("a", "b").distinct().join(left, "a").join(right, "b")
+    joined = pairs.join(left, "a").join(right, "b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -321,16 +362,21 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             ]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return joined.mapInArrow(check, "a long, b long")
+    return stage(joined.mapInArrow(check, "a long, b long"), "links")
 
 
-def _searched(meetings: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of classes of different components that share a bucket and pass the bounds of
-    its R-tree. ``meetings`` has bucket, cls and comp."""
-    rows = meetings.join(sets.select("cls", "size", "point"), "cls")
-    counts = meetings.groupBy("bucket").agg(F.count("*").alias("_n"))
+def _searched(meetings: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of classes of different components that share a bucket and pass the bounds.
+    ``meetings`` has bucket, cls and comp; it is read twice."""
+    counts = meetings.groupBy("bucket").agg(
+        F.count("*").alias("_n"), F.min("cls").alias("a"), F.max("cls").alias("b")
+    )
+    # Two classes are a pair as they are; more are searched with a tree.
+    pairs = _bounded(counts.filter("_n = 2").select("a", "b").distinct(), classes)
+    rows = meetings.join(counts.filter("_n > 2").select("bucket", "_n"), "bucket")
+    rows = rows.join(classes.select("cls", "size", "point"), "cls")
     blocks = F.ceil(F.col("_n") / BLOCK_CLASSES)
-    rows = rows.join(counts, "bucket").withColumn("_blocks", blocks)
+    rows = rows.withColumn("_blocks", blocks)
     rows = rows.withColumn("_own", F.pmod(F.xxhash64("cls"), F.col("_blocks")))
     # A row meets every block of its bucket, as the smaller or the larger one.
     rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
@@ -339,7 +385,7 @@ def _searched(meetings: DataFrame, sets: DataFrame) -> DataFrame:
     ).select("bucket", "_i", "_j", "_own", "cls", "comp", "size", "point")
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
-        points = np.stack([np.frombuffer(p, dtype="<i4") for p in rows["point"]])
+        points = _points(rows["point"].tolist())
         size, comp, cls = (rows[c].to_numpy() for c in ("size", "comp", "cls"))
         own = rows["_own"].to_numpy()
         across = rows["_i"].iat[0] != rows["_j"].iat[0]
@@ -353,27 +399,27 @@ def _searched(meetings: DataFrame, sets: DataFrame) -> DataFrame:
             pairs += [(cls[i], c) for c in cls[near]]
         return pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
 
-    return rows.groupBy("bucket", "_i", "_j").applyInPandas(search, "a long, b long").distinct()
+    found = rows.groupBy("bucket", "_i", "_j").applyInPandas(search, "a long, b long")
+    return pairs.union(found)
 
 
-def _prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Documents with their class, classes, meetings and the sets of the classes that meet."""
+def _prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents with their class, the classes and the meetings."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = stage(_described(docs, parts), "shingles")
-    members = rows.filter("kind = 'doc'").select("doc_id", "n", "cls")
-    classes = members.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"))
-    meetings = stage(_meetings(rows.filter("kind = 'keys'"), parts), "meetings")
-    meeting = classes.join(meetings.select("cls").distinct(), "cls")
-    sets = stage(_sets(docs, stage(meeting, "meeting")), "sets")
-    return members, classes, meetings, sets
+    members = stage(_described(docs), "shingles")
+    classes = members.filter("n > 0").groupBy("cls").agg(
+        F.min("doc_id").alias("rep"), F.min("n").alias("size"), F.min("point").alias("point")
+    )
+    meetings = stage(_meetings(_keys(docs, parts), parts), "meetings")
+    return members, stage(classes, "classes"), meetings
 
 
 def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All links between different sets, ``a, b`` by class, and ``doc_id, n, cls`` of the
     documents. Copies share a class and are not paired."""
-    members, _, meetings, sets = _prepared(docs)
-    pairs = _searched(meetings.select("bucket", "cls", F.col("cls").alias("comp")), sets)
-    return _verified(pairs, sets), members
+    members, classes, meetings = _prepared(docs)
+    pairs = _searched(meetings.select("bucket", "cls", F.col("cls").alias("comp")), classes)
+    return _verified(docs, pairs, classes), members.select("doc_id", "n", "cls")
 
 
 def jaccard_groups(docs: DataFrame) -> DataFrame:
@@ -386,13 +432,13 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     texts are in their own classes. A null doc_id is never the smallest; alone it
     stays null.
     """
-    members, classes, meetings, sets = _prepared(docs)
+    members, classes, meetings = _prepared(docs)
     # First each class with one other of its buckets, the one with most keys in common.
     first = meetings.groupBy("bucket").agg(F.min("cls").alias("b"))
     pairs = meetings.join(first, "bucket").filter("cls <> b")
     pairs = pairs.groupBy("cls", "b").agg(F.sum("weight").alias("_w"))
     best = pairs.groupBy("cls").agg(F.max_by("b", F.struct("_w", "b")).alias("b"))
-    links = stage(_verified(best.select(F.col("cls").alias("a"), "b"), sets), "first_links")
+    links = _verified(docs, _bounded(best.select(F.col("cls").alias("a"), "b"), classes), classes)
     found = components(links).select(F.col("vertex").alias("cls"), F.col("component").alias("_c"))
     # Then, in buckets that still hold several components, what lies between these.
     known = meetings.join(found, "cls", "left")
@@ -400,7 +446,7 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     mixed = known.groupBy("bucket").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y"))
     mixed = mixed.filter("_x <> _y").select("bucket")
     open_ = stage(known.join(mixed, "bucket"), "open_meetings")
-    links = links.union(_verified(_searched(open_, sets), sets))
+    links = links.union(_verified(docs, _searched(open_, classes), classes))
     found = components(links).select(F.col("vertex").alias("cls"), F.col("component").alias("_c"))
     named = classes.join(found, "cls", "left").withColumn("_c", F.coalesce("_c", "cls"))
     least = named.groupBy("_c").agg(F.min("rep").alias("_least"))
