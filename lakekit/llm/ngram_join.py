@@ -7,9 +7,11 @@ similarity reaches the limit differ in at most ``(|A| + |B|) / 9 <= 2 hi / 9`` s
 of more groups than that one at least holds the same shingles in both. Sets of like size
 use the same number of groups; a set that may pair with the next sizes takes part there too.
 Every group's content is a key, and classes with a key in common meet in a bucket. Empty
-groups are left out: there are ``spare`` groups more than needed, and a set with
-more empty groups than that gives keys for these as well. No pair is lost, and a passage that
-many documents share makes no key, as its shingles stand among others in their groups.
+groups are left out: there are ``spare`` groups more than needed, so a linked pair has as
+many common groups more, and a set with more empty groups than that gives keys for these
+as well. A set must therefore share ``1 + spare - empty`` keys with others or has no link.
+No pair is lost, and a passage that many documents share brings few of them together, as
+its shingles mostly stand among others in their groups.
 
 **Bounding.** In a bucket every class is a point: its counts of shingles in ``DIMENSIONS``
 groups. An R-tree holds the points; the overlap of two sets is at most the sum of the
@@ -75,8 +77,9 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return both > 0 and LIMIT[1] * both >= LIMIT[0] * (len(a) + len(b) - both)
 
 
-def group_keys(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The keys under which sets meet, and the set of each key."""
+def group_keys(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The keys under which sets meet, the set of each key, its class of sizes, and how many
+    keys of that class the set must share to have a link."""
     own = np.searchsorted(_LOW, counts, side="right") - 1
     parts = []
     for step in (0, 1):
@@ -87,12 +90,12 @@ def group_keys(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.n
             takes &= LIMIT[1] * counts >= LIMIT[0] * _LOW[size_class]
         keep = np.repeat(takes, counts)
         owner = np.repeat(np.arange(len(counts)), counts)[keep]
-        parts.append(_class_keys(hashes[keep], owner, size_class, np.flatnonzero(takes)))
-    keys, owners = zip(*parts, strict=True)
-    return np.concatenate(keys), np.concatenate(owners)
+        keys, holders, need = _class_keys(hashes[keep], owner, size_class, np.flatnonzero(takes))
+        parts.append((keys, holders, size_class[holders], need[holders]))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def _class_keys(hashes, owner, size_class, sets) -> tuple[np.ndarray, np.ndarray]:
+def _class_keys(hashes, owner, size_class, sets) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     groups = _GROUPS[size_class]
     # The group rises with the hash, so a group is a run of the ascending set.
     group = ((hashes >> np.uint64(32)) * groups[owner].astype(np.uint64)) >> np.uint64(32)
@@ -100,18 +103,19 @@ def _class_keys(hashes, owner, size_class, sets) -> tuple[np.ndarray, np.ndarray
     begins[1:] = (group[1:] != group[:-1]) | (owner[1:] != owner[:-1])
     starts = np.flatnonzero(begins)
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(size_class), np.int64)
     content = np.add.reduceat(mix(hashes), starts)
     holder, place = owner[starts], group[starts]
-    filled = np.bincount(holder, minlength=len(size_class))
+    empty = groups - np.bincount(holder, minlength=len(size_class))
+    need = np.maximum(1 + _SPARE[size_class] - empty, 1)
     salt = mix(size_class.astype(np.uint64) * _A + np.uint64(1))
     keys = mix(content ^ (mix(place * _B + np.uint64(3)) + salt[holder]))
     extra_keys, extra_holders = [keys], [holder]
-    for i in sets[groups[sets] - filled[sets] > _SPARE[size_class[sets]]]:
-        empty = np.setdiff1d(np.arange(groups[i], dtype=np.uint64), place[holder == i])
-        extra_keys.append(mix(mix(empty * _B + np.uint64(3)) + salt[i]))
-        extra_holders.append(np.full(len(empty), i))
-    return np.concatenate(extra_keys), np.concatenate(extra_holders)
+    for i in sets[empty[sets] > _SPARE[size_class[sets]]]:
+        missing = np.setdiff1d(np.arange(groups[i], dtype=np.uint64), place[holder == i])
+        extra_keys.append(mix(mix(missing * _B + np.uint64(3)) + salt[i]))
+        extra_holders.append(np.full(len(missing), i))
+    return np.concatenate(extra_keys), np.concatenate(extra_holders), need
 
 
 def set_ids(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -214,27 +218,31 @@ def _keys(docs: DataFrame, parts: int) -> DataFrame:
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        keys, owners, kept = [], [], 0
+        held, kept = [], 0
         for batch in (part for whole in batches for part in slices(whole, "text")):
             hashes, counts = shingle_sets(batch.column("text"), SHINGLE_WORDS)
             ids = set_ids(hashes, counts)
             # A copy within the task gives no keys again.
             fresh = np.array([not (i in seen or seen.add(i)) for i in ids.tolist()], dtype=bool)
             fresh &= counts > 0
-            found, owner = group_keys(hashes[np.repeat(fresh, counts)], np.where(fresh, counts, 0))
-            keys.append(found)
-            owners.append(ids[owner])
+            found, owner, size_class, need = group_keys(
+                hashes[np.repeat(fresh, counts)], np.where(fresh, counts, 0)
+            )
+            held.append((found, ids[owner], size_class, need))
             kept += len(found)
             if kept >= FLUSHED_KEYS:
-                yield _blobs(np.concatenate(keys), np.concatenate(owners), parts)
-                keys, owners, kept = [], [], 0
+                yield _blobs(*(np.concatenate(x) for x in zip(*held, strict=True)), parts)
+                held, kept = [], 0
         if kept:
-            yield _blobs(np.concatenate(keys), np.concatenate(owners), parts)
+            yield _blobs(*(np.concatenate(x) for x in zip(*held, strict=True)), parts)
 
     return docs.select("text").mapInArrow(describe, KEY_ROWS)
 
 
-def _blobs(keys: np.ndarray, owners: np.ndarray, parts: int) -> pa.RecordBatch:
+_MEMBER = np.dtype([("cls", "<u8"), ("size_class", "u1"), ("need", "<u4")])
+
+
+def _blobs(keys, owners, size_class, need, parts: int) -> pa.RecordBatch:
     """Keys by the part that will compare them: classes once, then 6 bytes of each key, which
     the part completes well enough, and the place of its class."""
     part = (keys % np.uint64(parts)).astype(np.int32)
@@ -243,11 +251,16 @@ def _blobs(keys: np.ndarray, owners: np.ndarray, parts: int) -> pa.RecordBatch:
     blobs, numbers = [], []
     for p in np.flatnonzero(np.diff(cuts)):
         rows = order[cuts[p] : cuts[p + 1]]
-        classes, at = np.unique(owners[rows], return_inverse=True)
-        head = np.array([len(classes), len(rows)], dtype="<u4").tobytes()
+        # A class and its class of sizes in one number, as a set takes part in two.
+        named = owners[rows] ^ mix(size_class[rows].astype(np.uint64) + _B)
+        _, first, at = np.unique(named, return_index=True, return_inverse=True)
+        members = np.empty(len(first), dtype=_MEMBER)
+        members["cls"], members["size_class"] = owners[rows][first], size_class[rows][first]
+        members["need"] = need[rows][first]
+        head = np.array([len(members), len(rows)], dtype="<u4").tobytes()
         tail = (keys[rows] // np.uint64(parts)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-        places = at.astype("<u2" if len(classes) <= 1 << 16 else "<u4")
-        blobs.append(head + classes.astype("<u8").tobytes() + tail.tobytes() + places.tobytes())
+        places = at.astype("<u2" if len(members) <= 1 << 16 else "<u4")
+        blobs.append(head + members.tobytes() + tail.tobytes() + places.tobytes())
         numbers.append(p)
     return pa.RecordBatch.from_arrays(
         [pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary())], names=["part", "blob"]
@@ -255,13 +268,14 @@ def _blobs(keys: np.ndarray, owners: np.ndarray, parts: int) -> pa.RecordBatch:
 
 
 def _unblob(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n_classes, n = (int(x) for x in np.frombuffer(blob, "<u4", 2))
-    classes = np.frombuffer(blob, "<u8", n_classes, 8)
-    at = 8 + 8 * n_classes
+    """Keys, and the member of each."""
+    n_members, n = (int(x) for x in np.frombuffer(blob, "<u4", 2))
+    members = np.frombuffer(blob, _MEMBER, n_members, 8)
+    at = 8 + _MEMBER.itemsize * n_members
     keys = np.zeros((n, 8), dtype=np.uint8)
     keys[:, :6] = np.frombuffer(blob, np.uint8, 6 * n, at).reshape(n, 6)
-    width = "<u2" if n_classes <= 1 << 16 else "<u4"
-    return keys.view("<u8").ravel(), classes[np.frombuffer(blob, width, n, at + 6 * n)]
+    width = "<u2" if n_members <= 1 << 16 else "<u4"
+    return keys.view("<u8").ravel(), members[np.frombuffer(blob, width, n, at + 6 * n)]
 
 
 def _meetings(keys: DataFrame, parts: int) -> DataFrame:
@@ -276,27 +290,43 @@ def _meetings(keys: DataFrame, parts: int) -> DataFrame:
         ]
         for p in sorted({x[0] for x in found}):
             keys = np.concatenate([x[1] for x in found if x[0] == p])
-            classes = np.concatenate([x[2] for x in found if x[0] == p])
-            order = np.lexsort((classes, keys))
-            keys, classes = keys[order], classes[order]
+            members = np.concatenate([x[2] for x in found if x[0] == p])
+            order = np.lexsort((members["cls"], keys))
+            keys, members = keys[order], members[order]
+            classes = members["cls"]
             fresh = np.ones(len(keys), dtype=bool)
             fresh[1:] = (keys[1:] != keys[:-1]) | (classes[1:] != classes[:-1])
-            keys, classes = keys[fresh], classes[fresh]
+            keys, members = keys[fresh], members[fresh]
+            classes = members["cls"].astype(np.uint64)
             starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else []
             sizes = np.diff(np.append(starts, len(keys))).astype(np.int64)
             if not len(sizes) or sizes.max() < 2:
                 continue
-            names = np.add.reduceat(mix(classes ^ _A), starts) ^ np.add.reduceat(mix(classes ^ _B), starts)
+            names = mix(classes ^ _A) + mix(members["size_class"] + _B)
+            names = np.add.reduceat(names, starts) ^ np.add.reduceat(mix(classes ^ _B), starts)
             many = np.repeat(sizes > 1, sizes)
             rows = pd.DataFrame(
-                {"bucket": np.repeat(names, sizes)[many].view(np.int64), "cls": classes[many].view(np.int64)}
+                {
+                    "bucket": np.repeat(names, sizes)[many].view(np.int64),
+                    "cls": classes[many].view(np.int64),
+                    "size_class": members["size_class"][many].astype(np.int64),
+                    "need": members["need"][many].astype(np.int64),
+                }
             )
-            rows = rows.groupby(["bucket", "cls"], sort=False).size().rename("weight").reset_index()
+            keys_of = ["bucket", "cls", "size_class", "need"]
+            rows = rows.groupby(keys_of, sort=False).size().rename("weight").reset_index()
             yield pa.RecordBatch.from_pandas(rows.astype("int64"), preserve_index=False)
 
     dealt = keys.select("part", "blob").repartition(parts, "part")
-    rows = dealt.mapInArrow(meet, "bucket long, cls long, weight long")
-    return rows.groupBy("bucket", "cls").agg(F.sum("weight").alias("weight"))
+    rows = dealt.mapInArrow(meet, "bucket long, cls long, size_class long, need long, weight long")
+    rows = rows.groupBy("bucket", "cls", "size_class", "need").agg(F.sum("weight").alias("weight"))
+    rows = stage(rows, "keys_in_common")
+    # What shares fewer keys than any link of it would have is not linked.
+    shared = rows.groupBy("cls", "size_class", "need").agg(F.sum("weight").alias("_all"))
+    enough = shared.filter("_all >= need").select("cls", "size_class")
+    rows = rows.join(enough, ["cls", "size_class"]).select("bucket", "cls", "weight")
+    several = rows.groupBy("bucket").agg(F.count("*").alias("_n")).filter("_n > 1").select("bucket")
+    return rows.join(several, "bucket")
 
 
 def _sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
