@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,8 +36,10 @@ def with_value_ranks(counts: DataFrame, keys: Sequence[str], column: str, n: str
 
 
 def ranked_percentile(column: str, p: float) -> Column:
-    """Aggregate over :func:`with_value_ranks` rows."""
-    return F.expr(f"min(CASE WHEN _upto >= ceil(_of * {p}D) THEN {column} END)")
+    """Aggregate over :func:`with_value_ranks` rows, with the rank in whole numbers."""
+    share = Fraction(str(p))
+    reached = f"_upto * {share.denominator}L >= _of * {share.numerator}L"
+    return F.expr(f"min(CASE WHEN {reached} THEN {column} END)")
 
 
 def percentiles(

@@ -94,7 +94,7 @@ def channel_summary(events: DataFrame) -> DataFrame:
         "max_score",
         "first_seen",
         "last_seen",
-        F.expr("_flag % 2 = 1").alias("nsfw"),
+        F.expr("pmod(_flag, 2) = 1").alias("nsfw"),
         (F.col("event_count") / F.greatest(F.col("active_days"), F.lit(1))).alias(
             "events_per_active_day"
         ),

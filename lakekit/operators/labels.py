@@ -56,7 +56,7 @@ def score_thresholds(events: DataFrame, p: float = 0.90) -> DataFrame:
 
 def label_by_threshold(events: DataFrame, thresholds: DataFrame) -> DataFrame:
     """``label`` 1.0 where the score reaches its topic's threshold."""
-    joined = join_lookup(events, thresholds, on=["topic"])
+    joined = join_lookup(events, thresholds, on=["topic"], null_safe=True)
     return joined.withColumn("label", _flag(F.col("score") >= F.col("score_threshold")))
 
 

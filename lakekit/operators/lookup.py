@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A lookup row here is a key, a few numbers and at most a short term list, so this
@@ -19,13 +20,18 @@ def join_lookup(
     how: str = "left",
     *,
     max_rows: int = MAX_BROADCAST_ROWS,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join ``lookup``, broadcast only when its counted size allows it.
 
     Beyond ``max_rows`` the join is left to Spark, which shuffles and splits
     skewed keys. The lookup is read for the count and again for the join: pass a
-    stored table, or a checkpointed aggregate.
+    stored table, or a checkpointed aggregate. With ``null_safe`` null keys match each other.
     """
     if lookup.limit(max_rows + 1).count() <= max_rows:
         lookup = F.broadcast(lookup)
-    return df.join(lookup, list(on), how)
+    if not null_safe:
+        return df.join(lookup, list(on), how)
+    renamed = lookup.withColumnsRenamed({key: f"_lookup_{key}" for key in on})
+    same = reduce(Column.__and__, [F.col(key).eqNullSafe(F.col(f"_lookup_{key}")) for key in on])
+    return df.join(renamed, same, how).drop(*[f"_lookup_{key}" for key in on])

@@ -14,6 +14,9 @@ from lakekit.schema import COMMENT, EVENT_KEYS, POST, as_events, col_or_null, qu
 INGESTED_AT = "_ingested_at"
 VALID = "_valid"
 
+# The years 1 to 9999 in seconds since 1970.
+CALENDAR_SECONDS = (-62_135_596_800, 253_402_300_799)
+
 
 def flatten_community(df: DataFrame, community: str = "channel") -> DataFrame:
     """Bring the community's name, nsfw flag and id to flat ``channel_*`` columns.
@@ -116,11 +119,13 @@ def clean_events(unified: DataFrame, *, scrub_placeholders: bool = False) -> Dat
         title = F.when(~is_placeholder(title), title)
         body = F.when(~is_placeholder(body), body)
 
+    # A clock beyond the calendar (microseconds taken for seconds, say) is unknown.
+    in_calendar = F.col("created_utc").between(*CALENDAR_SECONDS)
     cleaned = unified.filter("score IS NOT NULL").withColumns(
         {
             "title": title,
             "text": joined_text(title, body),
-            "created_ts": F.timestamp_seconds("created_utc"),
+            "created_ts": F.when(in_calendar, F.timestamp_seconds("created_utc")),
         }
     )
     has_content = ~is_placeholder(F.col("title")) | ~is_placeholder(F.col("text"))

@@ -149,11 +149,9 @@ def post_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def topic_terms(assigned: DataFrame) -> DataFrame:
     """The most frequent words of each assigned topic, written like the gold table
-    that views read. The last letter gets no row, so that views meet a topic
-    without label."""
+    that views read."""
     words = (
-        assigned.filter(F.col("dominant_topic") < len(TOPIC_LETTERS) - 1)
-        .select(F.col("dominant_topic").alias("topic_id"), F.explode(tokens(F.col("text"))).alias("term"))
+        assigned.select(F.col("dominant_topic").alias("topic_id"), F.explode(tokens(F.col("text"))).alias("term"))
         .groupBy("topic_id", "term")
         .agg(F.count("*").alias("n"))
     )

@@ -218,7 +218,7 @@ TOPIC_TERMS = f"""{POST_TOPICS},
 words AS (
   SELECT dominant_topic AS topic_id,
          unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda t: length(t) >= 3)) AS term
-  FROM post_topics WHERE dominant_topic < 5
+  FROM post_topics
 ),
 term_counts AS (
   SELECT topic_id, term,
@@ -508,7 +508,7 @@ SELECT topic, CAST(sum(predicted_high) AS BIGINT) AS predicted_high_events,
 FROM engagement_summary GROUP BY topic""",
         "tile_10": f"""WITH {ENGAGEMENT_SUMMARY}
 SELECT channel, avg_engagement_proba, avg_actual_score AS avg_score, scored_events
-FROM engagement_summary WHERE scored_events >= 2
+FROM engagement_summary WHERE scored_events >= 5
 ORDER BY avg_engagement_proba DESC, topic, channel, created_date LIMIT 500""",
         "dq_report": f"WITH {TIMED}" + "\nUNION ALL".join(_dq(False)),
         "dq_silver_gate": f"WITH {SILVER}{_GATE}",

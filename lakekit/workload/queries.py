@@ -6,7 +6,6 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import CountVectorizerModel, IDFModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -289,7 +288,7 @@ def tile_09(spark, sf_dir):
 
 @query
 def tile_10(spark, sf_dir):
-    return tiles.probability_vs_score(view_engagement_summary(spark, sf_dir), min_events=2)
+    return tiles.probability_vs_score(view_engagement_summary(spark, sf_dir))
 
 
 # --- data quality ------------------------------------------------------------
@@ -419,15 +418,9 @@ def tokens_docfreq(spark, sf_dir):
 
 @query
 def tfidf_vocabulary(spark, sf_dir):
-    """The vocabulary and inverse document frequencies the text stages learn."""
+    """The words the text stages know without a bound on their number, and their weights."""
     docs = frames.texts(spark, sf_dir, "documents", "text")
-    # Large enough that no word is cut off, which the SQL form could not follow on ties.
-    model = Pipeline(stages=features.text_feature_stages(vocab_size=1 << 18)).fit(docs)
-    words = next(s for s in model.stages if isinstance(s, CountVectorizerModel)).vocabulary
-    weights = next(s for s in model.stages if isinstance(s, IDFModel))
-    rows = zip(words, (int(n) for n in weights.docFreq), (float(x) for x in weights.idf), strict=True)
-    learned = spark.createDataFrame(list(rows), "token string, doc_freq long, idf double")
-    return learned.withColumn("idf", F.round("idf", 9))
+    return features.inverse_frequencies(docs).withColumn("idf", F.round("idf", 9))
 
 
 @query
