@@ -19,6 +19,7 @@ from unicodedata import is_normalized
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -238,7 +239,7 @@ def _interleave(odd, whole, ids, counts) -> tuple[np.ndarray, np.ndarray]:
 
 
 @lru_cache(maxsize=4)
-def _encoder(definition: str) -> Encoder:
+def encoder_of(definition: str) -> Encoder:
     return Encoder(definition)
 
 
@@ -282,27 +283,19 @@ def unpack_ids(raw: bytes, width: int) -> np.ndarray:
     return np.frombuffer(raw, dtype=f"<u{width}")
 
 
+def shared_definition(spark: SparkSession, tokenizer: str) -> Broadcast:
+    """The tokenizer file (a few megabytes, whatever the data), sent to the executors once."""
+    with open(tokenizer, encoding="utf-8") as file:
+        return spark.sparkContext.broadcast(file.read())
+
+
 def tokenized(
     docs: DataFrame, keep: list[str], text: Column, tokenizer: str, end_id: int
 ) -> DataFrame:
-    """The columns ``keep`` of ``docs``, ``n_tokens`` and the packed ``ids`` of each text.
-
-    The tokenizer file (a few megabytes, whatever the data) is sent to the executors once.
-    """
+    """The columns ``keep`` of ``docs``, ``n_tokens`` and the packed ``ids`` of each text."""
     spark = docs.sparkSession
     small_batches(spark)
-    with open(tokenizer, encoding="utf-8") as file:
-        definition = spark.sparkContext.broadcast(file.read())
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(definition.value)
-        for batch in (part for whole in batches for part in slices(whole, "_text")):
-            found = encoder.encode(batch.column("_text"))
-            ids, counts = with_end(*found, end_id)
-            columns = [batch.column(c) for c in keep]
-            columns += [pa.array(counts, pa.int64()), pack_ids(ids, counts, encoder.width)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "n_tokens", "ids"])
-
+    definition = shared_definition(spark, tokenizer)
     kept = docs.select(*keep)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
     return docs.select(*keep, text.alias("_text")).mapInArrow(encode, f"{fields}, n_tokens long, ids binary")

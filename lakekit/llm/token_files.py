@@ -99,19 +99,24 @@ def write_ids(
     and are told apart by ``row``; other columns are ignored. Without documents the data
     set is empty. Each task holds one block and one batch of texts.
     """
-    text = encoding.text_or_empty()
-    width = encoding.file_width(tokenizer)
-    tied = docs.select("doc_id", "text", F.xxhash64("text").alias("_tie"))
-    coded = encoding.tokenized(tied, ["doc_id", "_tie"], text, tokenizer, end_id)
-    order = [F.col("doc_id").asc_nulls_first(), F.col("_tie")]
-    ordered = coded.repartitionByRange(*order).sortWithinPartitions(*order)
+    spark = docs.sparkSession
+    encoding.small_batches(spark)
+    definition = encoding.shared_definition(spark, tokenizer)
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    # Texts are put in order before they are encoded, or Spark would encode them a first time
+    # to find the bounds of the ranges.
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    ordered = texts.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
         written = row = block = 0
         left = np.zeros(0, dtype=np.uint32)
-        for batch in batches:
-            counts = np.asarray(batch.column("n_tokens")).astype(np.int64)
+        encoder = encoding.encoder_of(definition.value)
+        width = encoder.width
+        for batch in (part for whole in batches for part in encoding.slices(whole, "text")):
+            found = encoder.encode(batch.column("text"))
+            ids, counts = encoding.with_end(*found, end_id)
             firsts = written + len(left) + np.cumsum(counts) - counts
             n = batch.num_rows
             yield _rows(
@@ -124,8 +129,7 @@ def write_ids(
                 n_tokens=counts,
             )
             row += n
-            raw = b"".join(x.as_buffer() for x in batch.column("ids"))
-            left = np.concatenate([left, encoding.unpack_ids(raw, width).astype(np.uint32)])
+            left = np.concatenate([left, ids])
             whole = len(left) // block_ids * block_ids
             for at in range(0, whole, block_ids):
                 yield _block(shard, block, written, left[at : at + block_ids], width, planes)
@@ -135,8 +139,7 @@ def write_ids(
             yield _block(shard, block, written, left, width, planes)
 
     (
-        ordered.select(F.col("doc_id").cast("long"), "n_tokens", "ids")
-        .mapInArrow(blocks, ROWS)
+        ordered.mapInArrow(blocks, ROWS)
         .write.partitionBy("kind")
         .option("compression", "none")
         .parquet(path)
