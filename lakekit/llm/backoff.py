@@ -19,11 +19,13 @@ that is why these passes are RDDs, whose shuffle files serve both.
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import RDD, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -92,6 +94,15 @@ def _narrow(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32)
 
 
+def _shut(kind: str, value: tuple) -> bytes:
+    """What travels between stages, compressed more than shuffle files would be."""
+    return zstandard.compress(pickle.dumps((kind, value), 5), 3)
+
+
+def _opened(packed: bytes) -> tuple:
+    return pickle.loads(zstandard.decompress(packed))
+
+
 # --- packed pairs ---------------------------------------------------------------
 
 
@@ -134,8 +145,6 @@ def _texts_to_pairs(docs: DataFrame, parts: int, split: np.ndarray) -> RDD:
     small_batches(docs.sparkSession)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pickle
-
         task = TaskContext.get().partitionId()
         held: list[tuple] = []
         ids, sizes, waiting, numbered = [], [], 0, 0
@@ -148,7 +157,7 @@ def _texts_to_pairs(docs: DataFrame, parts: int, split: np.ndarray) -> RDD:
             out, names = [], []
             for p in np.flatnonzero(np.diff(cuts)):
                 at = order[cuts[p] : cuts[p + 1]]
-                out.append(pickle.dumps(("pairs", _pack_pairs(task, first[at], second[at], doc[at])), 5))
+                out.append(_shut("pairs", _pack_pairs(task, first[at], second[at], doc[at])))
                 names.append(int(p))
             yield pa.RecordBatch.from_pydict(
                 {"part": pa.array(names, pa.int32()), "packed": pa.array(out, pa.binary())}
@@ -174,7 +183,7 @@ def _texts_to_pairs(docs: DataFrame, parts: int, split: np.ndarray) -> RDD:
         if held:
             yield from rows()
         if ids:
-            packed = pickle.dumps(("docs", (task, ids, np.concatenate(sizes))), 5)
+            packed = _shut("docs", (task, ids, np.concatenate(sizes)))
             yield pa.RecordBatch.from_pydict(
                 {"part": pa.array([task % parts], pa.int32()), "packed": pa.array([packed], pa.binary())}
             )
@@ -189,11 +198,9 @@ def _part(first: np.ndarray, second: np.ndarray, parts: int, split: np.ndarray)
 
 
 def _partition(rows: Iterator) -> tuple[list, list]:
-    import pickle
-
     pairs, docs = [], []
     for _, packed in rows:
-        kind, value = pickle.loads(packed)
+        kind, value = _opened(packed)
         (pairs if kind == "pairs" else docs).append(value)
     return pairs, docs
 
@@ -302,7 +309,7 @@ def score(docs: DataFrame) -> DataFrame:
     def sums(rows: Iterator) -> Iterator:
         pairs, about = _partition(rows)
         for value in about:
-            yield int(value[0]) % parts, ("docs", value)
+            yield int(value[0]) % parts, _shut("docs", value)
         if not pairs:
             return
         first, second, doc, types, count, word_count, _, _ = _counted(pairs, split)
@@ -320,7 +327,7 @@ def score(docs: DataFrame) -> DataFrame:
         for task in np.unique(tasks).tolist():
             rows_ = tasks == task
             number = (at[rows_] & 0xFFFFFFFF).astype(np.uint32)
-            yield task % parts, ("sums", (task, number, *(x[rows_] for x in by_doc)))
+            yield task % parts, _shut("sums", (task, number, *(x[rows_] for x in by_doc)))
         # By context: what discounts leave of its pairs, and the unigram share of its words.
         context = first[types][seen]
         left = (count - _discounted(count, pair_d))[seen]
@@ -332,18 +339,19 @@ def score(docs: DataFrame) -> DataFrame:
         asked_to = _deal(asked, parts)
         for p in np.unique(np.concatenate([to, asked_to])).tolist():
             mine, theirs = to == p, asked_to == p
-            yield p, ("contexts", (contexts[mine], rest[mine], share[mine], asked[theirs], who[theirs]))
+            yield p, _shut("contexts", (contexts[mine], rest[mine], share[mine], asked[theirs], who[theirs]))
 
     summed = dealt.mapPartitions(sums).partitionBy(parts, int)
 
     def weights(rows: Iterator) -> Iterator:
         tables, asked = [], []
-        for _, (kind, value) in rows:
+        for _, packed in rows:
+            kind, value = _opened(packed)
             if kind == "contexts":
                 tables.append(value[:3])
                 asked.append(value[3:])
             else:
-                yield int(value[0]) % parts, (kind, value)
+                yield int(value[0]) % parts, packed
         if not asked:
             return
         context, who = (np.concatenate(x) for x in zip(*asked, strict=True))
@@ -363,11 +371,12 @@ def score(docs: DataFrame) -> DataFrame:
             mine = tasks == task
             number = (docs_[mine] & 0xFFFFFFFF).astype(np.uint32)
             zeros = np.zeros(mine.sum())
-            yield task % parts, ("sums", (task, number, total[mine], zeros, zeros))
+            yield task % parts, _shut("sums", (task, number, total[mine], zeros, zeros))
 
     def results(rows: Iterator) -> Iterator:
         about, parts_ = {}, {}
-        for _, (kind, value) in rows:
+        for _, packed in rows:
+            kind, value = _opened(packed)
             if kind == "docs":
                 about[value[0]] = value[1:]
             else:
