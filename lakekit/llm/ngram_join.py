@@ -9,9 +9,10 @@ use the same number of groups; a set that may pair with the next sizes takes par
 Every group's content is a key, and classes with a key in common meet in a bucket. Empty
 groups are left out: there are ``spare`` groups more than needed, so a linked pair has as
 many common groups more, and a set with more empty groups than that gives keys for these
-as well. A set must therefore share ``1 + spare - empty`` keys with others or has no link.
-No pair is lost, and a passage that many documents share brings few of them together, as
-its shingles mostly stand among others in their groups.
+as well. A linked pair therefore shares ``1 + spare - empty`` keys, and each set may leave
+out all but one of that many, the most common ones, by one order of all keys. No pair is
+lost, and a passage that many documents share brings few of them together, as its shingles
+mostly stand among others in their groups and what is left are the common keys.
 
 **Bounding.** In a bucket every class is a point: its counts of shingles in ``DIMENSIONS``
 groups. An R-tree holds the points; the overlap of two sets is at most the sum of the
@@ -31,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakekit.llm.components import components
@@ -321,10 +322,14 @@ def _meetings(keys: DataFrame, parts: int) -> DataFrame:
     rows = dealt.mapInArrow(meet, "bucket long, cls long, size_class long, need long, weight long")
     rows = rows.groupBy("bucket", "cls", "size_class", "need").agg(F.sum("weight").alias("weight"))
     rows = stage(rows, "keys_in_common")
-    # What shares fewer keys than any link of it would have is not linked.
-    shared = rows.groupBy("cls", "size_class", "need").agg(F.sum("weight").alias("_all"))
-    enough = shared.filter("_all >= need").select("cls", "size_class")
-    rows = rows.join(enough, ["cls", "size_class"]).select("bucket", "cls", "weight")
+    # A link of a set has ``need`` keys at least, so the rarest of them is not among the
+    # ``need - 1`` most common keys of either side: these bring no pair together that the
+    # others do not, and a set with fewer keys in all has no link.
+    holders = rows.groupBy("bucket").agg(F.count("*").alias("_n"))
+    common_first = Window.partitionBy("cls", "size_class").orderBy(F.desc("_n"), F.desc("bucket"))
+    upto = F.sum("weight").over(common_first.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = rows.join(holders, "bucket").withColumn("_upto", upto).filter("_upto >= need")
+    rows = stage(rows.select("bucket", "cls", "weight"), "rarer_keys")
     several = rows.groupBy("bucket").agg(F.count("*").alias("_n")).filter("_n > 1").select("bucket")
     return rows.join(several, "bucket")
 
