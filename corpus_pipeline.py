@@ -21,9 +21,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules; the trusted ones are those labelled as good."""
-    trusted = quality_rules.trusted_documents(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    judged = quality_rules.judge(docs.select("doc_id", "text", *_others(docs)), trusted)
+    """Documents that pass the rules, as the labels set them."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    judged = quality_rules.judge_labelled(docs.select("doc_id", "text", *_others(docs)), labels)
     return judged.filter("kept").select(*_columns(docs))
 
 

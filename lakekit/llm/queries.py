@@ -97,8 +97,7 @@ def op6_mixing(spark, sf_dir):
 @query
 def op7_quality_rules(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    trusted = quality_rules.trusted_documents(_table(spark, sf_dir, "labels"))
-    return quality_rules.judge(docs, trusted).drop("text")
+    return quality_rules.judge_labelled(docs, _table(spark, sf_dir, "labels")).drop("text")
 
 
 @query

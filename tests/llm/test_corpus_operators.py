@@ -283,6 +283,25 @@ def test_quality_rules(spark, docs, empty):
     assert quality_rules.judge(empty.select("doc_id", "text"), trusted).count() == 0
 
 
+def test_quality_rules_keep_unseen_good_documents_and_drop_toxic_ones(spark):
+    draw = random.Random(8)
+    names = [f"w{i}" for i in range(40)]
+    junk = [f"{i}###" for i in range(40)]
+    def text(source, n=400):
+        return " ".join(draw.choice(source) for _ in range(n))
+    rows = [(i, text(names), 1, 0) for i in range(60)]
+    # One bad word in a long text, in different forms.
+    rows += [(100 + i, f"{text(names)} {'Vile, vile! VILE vile.'.split()[i % 4]} {text(names)}", 1, 1) for i in range(20)]
+    rows += [(200 + i, text(junk), 0, 0) for i in range(20)]
+    frame = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    # Labels for a part of each kind; the others are judged unseen.
+    labels = spark.createDataFrame([(r[0], *r[2:]) for r in rows if r[0] % 2], "doc_id long, quality int, toxic int")
+    kept = {r["doc_id"] for r in quality_rules.judge_labelled(frame, labels).filter("kept").collect()}
+    assert kept == set(range(60))
+    assert quality_rules.judge_labelled(frame, labels.limit(0)).filter("kept").count() == 100
+    assert quality_rules.judge_labelled(frame.limit(0), labels).count() == 0
+
+
 def test_backoff(spark, docs, empty):
     rows = _rows()
     texts = [[*WORD.findall(_low(r[1])), "</s>"] for r in rows]
