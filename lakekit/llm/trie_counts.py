@@ -1,15 +1,22 @@
-"""Token counts under a unigram vocabulary, by dynamic programming shared over a trie.
+"""Token counts under a vocabulary of pieces, by dynamic programming shared over a trie.
 
-A word is cut into pieces of the vocabulary so that the sum of their scores is greatest, of
-equal sums the one with fewest pieces. The distinct words of a slice of texts, in order,
-are a walk through their trie: the best scores of a prefix are computed when the walk
+Under a unigram vocabulary a word is cut so that the sum of its pieces' scores is greatest, of
+equal sums the one with fewest pieces. The scores of a BPE file are ranks of merges and mean
+nothing as a sum; there the pieces are those that the merges leave. Merges cross no border of
+the outcome, so a cut is the outcome if and only if every two neighbours, merged on
+their own, stay as they are. A prefix then has one last piece, which follows from
+those of the shorter prefixes.
+
+The distinct words of a slice of texts, in order,
+are a walk through their trie: the best scores or the last piece of a prefix are computed when the walk
 first enters it and stand on a stack for all words below it. The count at a word's
 end is stored, and the documents add up the counts of their words.
 
 Nothing is shuffled: a document is counted where it is read. Words that recur keep
 their counts between slices, in a table of bounded size.
 
-A character that no piece covers costs one piece per UTF-8 byte, each below every score.
+A character that no piece covers costs one piece per UTF-8 byte, in a sum of scores each below
+every score.
 Null, empty and blank texts have 0 words and 0 tokens; repeated rows are counted alike.
 """
 
@@ -17,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +37,27 @@ KEPT_WORDS = 500_000
 # Fixed value: the mark that begins a word's first piece.
 WORD_MARK = "▁"
 UNCOVERED = -10.0
+# So many pairs of neighbours are remembered.
+KEPT_PAIRS = 1_000_000
+
+
+class Ranks(dict):
+    """Pieces of a BPE vocabulary; of two merges the one with the higher score comes first.
+    ``stays`` remembers which neighbours the merges leave as they are."""
+
+    def __init__(self, pieces):
+        super().__init__(pieces)
+        self.stays: dict[tuple[str, str], bool] = {}
 
 
 def read_pieces(model_file: str) -> dict[str, float]:
     """The pieces of a sentencepiece file and their scores, without control, unknown and
-    byte pieces."""
-    from sentencepiece import SentencePieceProcessor
+    byte pieces; as :class:`Ranks` if the file is one of merges."""
+    from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
 
+    with open(model_file, "rb") as file:
+        trainer = sentencepiece_model_pb2.ModelProto.FromString(file.read()).trainer_spec
+    kind = Ranks if trainer.model_type == trainer.BPE else dict
     model = SentencePieceProcessor(model_file=model_file)
     ids = range(model.get_piece_size())
     plain = (
@@ -43,11 +65,13 @@ def read_pieces(model_file: str) -> dict[str, float]:
         for i in ids
         if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))
     )
-    return {model.id_to_piece(i): model.get_score(i) for i in plain}
+    return kind((model.id_to_piece(i), model.get_score(i)) for i in plain)
 
 
 def trie_counts(words: list[str], scores: dict[str, float]) -> dict[str, int]:
     """The token count of each distinct word."""
+    if isinstance(scores, Ranks):
+        return _merged_counts(words, scores)
     longest = max(map(len, scores), default=1)
     below = min(scores.values(), default=0.0) + UNCOVERED
     get = scores.get
@@ -76,6 +100,49 @@ def trie_counts(words: list[str], scores: dict[str, float]) -> dict[str, int]:
     return found
 
 
+def _merged(text: str, ranks: Ranks) -> list[str]:
+    """The pieces that the merges leave of a short text."""
+    parts = list(text)
+    while len(parts) > 1:
+        found = [(ranks[a + b], -i) for i, (a, b) in enumerate(pairwise(parts)) if a + b in ranks]
+        if not found:
+            break
+        at = -max(found)[1]
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    return parts
+
+
+def _merged_counts(words: list[str], ranks: Ranks) -> dict[str, int]:
+    longest = max(map(len, ranks), default=1)
+    stays = ranks.stays
+    if len(stays) > KEPT_PAIRS:
+        stays.clear()
+    # The stack: last piece and count of each prefix of the word in hand, mark included.
+    ends, count = [""], [0]
+    last, found = "", {}
+    for word in sorted(set(words)):
+        text = WORD_MARK + word
+        shared = _shared(last, text)
+        del ends[shared + 1 :], count[shared + 1 :]
+        for end in range(shared + 1, len(text) + 1):
+            for start in range(max(0, end - longest), end):
+                piece = text[start:end]
+                if piece not in ranks and start < end - 1:
+                    continue
+                before = ends[start]
+                stay = stays.get((before, piece))
+                if stay is None:
+                    stay = _merged(before + piece, ranks) == ([before, piece] if before else [piece])
+                    stays[before, piece] = stay
+                if stay:
+                    break
+            ends.append(piece)
+            count.append(count[start] + (1 if piece in ranks else len(piece.encode("utf-8", "surrogatepass"))))
+        found[word] = count[-1]
+        last = text
+    return found
+
+
 def _shared(a: str, b: str) -> int:
     """The length of the longest common prefix."""
     n = min(len(a), len(b))

@@ -367,6 +367,19 @@ def test_trie_counts(spark, docs, empty):
     assert trie_counts.count_tokens(empty, model_file=model).count() == 0
 
 
+def test_trie_counts_equal_the_library():
+    from sentencepiece import SentencePieceProcessor
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    pieces, model = trie_counts.read_pieces(path), SentencePieceProcessor(model_file=path)
+    draw = random.Random(9)
+    parts = ["the", "tion", "er", "a", "S", "é", "中", "🙂", "12", ".", "ß", "ing", "%%", "\xa0", "aaaa", "▁", "ê", "un"]
+    samples = ["".join(draw.choice(parts) for _ in range(draw.randint(1, 9))) for _ in range(3000)]
+    samples += [w for r in _rows() for w in WORD.findall(r[1] or "")]
+    got = trie_counts.trie_counts(samples, pieces)
+    assert {w: n for w, n in got.items() if n != len(model.encode(w))} == {}
+
+
 def test_pack(spark, docs, empty):
     pieces = packing.pack(docs, tokenizer=BYTES, end_id=1, sequence=64, window_sequences=4, digest=True).collect()
     rows = _rows()
