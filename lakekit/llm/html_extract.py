@@ -22,6 +22,8 @@ import html
 import math
 import random
 import re
+import string
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -218,6 +220,20 @@ def _tokens(attributes: str) -> tuple[frozenset[str], frozenset[str]]:
 
 
 _OTHER = frozenset(OTHER_TOKENS)
+_ASCII = bytes(range(128))
+_CAPITALS, _DIGITS = string.ascii_uppercase.encode(), string.digits.encode()
+
+
+def _capitals_and_digits(text: str) -> tuple[int, int]:
+    """How many characters of the whole text are capitals, and digits."""
+    raw = text.encode("utf-8", "surrogatepass")
+    capitals = len(raw) - len(raw.translate(None, _CAPITALS))
+    digits = len(raw) - len(raw.translate(None, _DIGITS))
+    if not text.isascii():
+        rest = raw.translate(None, _ASCII).decode("utf-8", "surrogatepass")
+        capitals += sum(map(str.isupper, rest))
+        digits += sum(map(str.isdigit, rest))
+    return capitals, digits
 
 
 def describe(root: Node) -> tuple[list[Node], list[int], np.ndarray]:
@@ -241,9 +257,7 @@ def describe(root: Node) -> tuple[list[Node], list[int], np.ndarray]:
             sums[i] = (
                 letters, min(node.links, letters), 1, 0,
                 sum(map(t.count, "|#*$%&<>»·©")), sum(map(t.count, ".!?,;")),
-                sum(map(str.isupper, t[:400])) * letters / max(len(t[:400]), 1),
-                sum(map(str.isdigit, t[:400])) * letters / max(len(t[:400]), 1),
-                t.count(" ") + 1, 0, 0, 0,
+                *_capitals_and_digits(t), t.count(" ") + 1, 0, 0, 0,
             )
         else:
             sums[i, 3] = 1
@@ -284,11 +298,11 @@ def describe(root: Node) -> tuple[list[Node], list[int], np.ndarray]:
     for i in range(1, n):
         siblings.setdefault(above[i], []).append(i)
     for rows in siblings.values():
-        tags = [nodes[i].tag for i in rows]
+        times = Counter(nodes[i].tag for i in rows)
         for k, i in enumerate(rows):
             features[i, columns["siblings"]] = math.log1p(len(rows))
             features[i, columns["sibling_place"]] = k / len(rows)
-            features[i, columns["like_siblings"]] = tags.count(tags[k]) / len(rows) if len(rows) < 200 else 1
+            features[i, columns["like_siblings"]] = times[nodes[i].tag] / len(rows)
     features[:, columns["links"]] = np.log1p(sums[:, 1])
     return nodes, above, features
 

@@ -174,6 +174,20 @@ def test_extract(spark):
     assert html_extract.extract(frame.limit(0)).count() == 0
 
 
+def test_features_of_long_pages_are_whole():
+    long = "plain words, " * 60 + "ÀÉ AB ٣4 x " * 500
+    page = f"<body><h2>x</h2>{'<p>One.</p>' * 400}<div>advert</div><p>{long}</p></body>"
+    nodes, _, x = html_extract.describe(html_extract.parse(page))
+    at = {name: x[:, k] for k, name in enumerate(html_extract.FEATURES)}
+    rows = {n.tag: i for i, n in enumerate(nodes) if n.above is not None and n.above.tag == "body"}
+    # A heading, 400 short paragraphs, an advert and a long paragraph.
+    assert at["like_siblings"][rows["div"]] == at["like_siblings"][rows["h2"]] == 1 / 403
+    assert at["like_siblings"][rows["p"]] == 401 / 403
+    for name, count in (("capitals", str.isupper), ("digits", str.isdigit)):
+        text = " ".join(long.split())
+        assert at[name][rows["p"]] == sum(map(count, text)) / len(text)
+
+
 def test_decoding_keeps_nothing_below_what_it_drops():
     draw = np.random.default_rng(4)
     for _ in range(50):
