@@ -23,8 +23,14 @@ from lakekit.workload.frames import AS_OF, FIRST_INGEST, SECOND_INGEST
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
-# Small models: the fits are checked for rows and ranges, not for quality.
-SMALL_MODEL = {"vocab_size": 1000, "min_doc_freq": 5}
+# The registered fits run with the defaults of the jobs.
+SETTINGS = jobs.ModelSettings()
+TEXT_FEATURES = {
+    "vocab_size": SETTINGS.vocab_size,
+    "min_token_length": SETTINGS.min_token_length,
+    "min_doc_freq": SETTINGS.min_doc_freq,
+    "seed": SETTINGS.seed,
+}
 
 
 def query(fn: Query) -> Query:
@@ -481,15 +487,7 @@ def job_train_score(spark, sf_dir):
     """Training, model registry, one-pass scoring and the aggregates over scores."""
     paths = _landed_lake(spark, sf_dir)
     del paths["bronze_dir"]
-    settings = jobs.ModelSettings(
-        topic_count=4,
-        topic_max_iterations=3,
-        vocab_size=1000,
-        cv_folds=2,
-        tree_depths=(2,),
-        tree_iterations=(3,),
-    )
-    jobs.train_job(spark, settings=settings, **paths)
+    jobs.train_job(spark, settings=SETTINGS, **paths)
     return spark.read.parquet(f"{paths['gold_dir']}/sentiment_daily")
 
 
@@ -499,7 +497,7 @@ def job_train_score(spark, sf_dir):
 def _topic_model(spark, sf_dir):
     events = stage(frames.post_events(spark, sf_dir), "posts")
     return events, *topics.train_topic_model(
-        events, k=4, max_iter=5, min_token_length=3, **SMALL_MODEL
+        events, k=SETTINGS.topic_count, max_iter=SETTINGS.topic_max_iterations, **TEXT_FEATURES
     )
 
 
@@ -518,7 +516,7 @@ def lda_topics(spark, sf_dir):
 @query
 def sentiment_scores(spark, sf_dir):
     events = stage(frames.silver_events(spark, sf_dir), "events")
-    model, _ = sentiment.train_sentiment(events, max_iter=10, **SMALL_MODEL)
+    model, _ = sentiment.train_sentiment(events, **TEXT_FEATURES)
     return sentiment.score_sentiment(model, events)
 
 
@@ -526,7 +524,12 @@ def sentiment_scores(spark, sf_dir):
 def engagement_scores(spark, sf_dir):
     events = stage(frames.silver_events(spark, sf_dir), "events")
     model, _ = engagement.train_engagement(
-        events, cv_folds=2, depths=(2, 3), iterations=(3,), **SMALL_MODEL
+        events,
+        percentile=SETTINGS.engagement_percentile,
+        cv_folds=SETTINGS.cv_folds,
+        depths=SETTINGS.tree_depths,
+        iterations=SETTINGS.tree_iterations,
+        **TEXT_FEATURES,
     )
     return engagement.predict_engagement(model, events)
 
