@@ -13,13 +13,16 @@ from lakekit.llm import (
     ann,
     backoff,
     chat,
+    hard_negatives,
     html_extract,
     mixing,
     ngram_join,
     packing,
     quality_rules,
+    squares,
     token_files,
     trie_counts,
+    vector_dedup,
 )
 from lakekit.session import configure, shared_folder
 
@@ -121,3 +124,43 @@ def op10_packing(spark, sf_dir):
     )
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     return pieces.select(*columns, "source")
+
+
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """A tenth of the texts repeat some of their words to the end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+    tail = squares.repeated_tail(
+        F.col("text"),
+        lambda n: g % n,
+        lambda n: 1 + F.floor((n - g % n) / (3 + g % 8)),
+    )
+    return docs.select("doc_id", F.when(h % 10 == 0, tail).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    found = squares.periodic_runs(_with_planted_runs(_table(spark, sf_dir, "documents")))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_near_copies(spark, sf_dir):
+    return vector_dedup.near_copies(_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
