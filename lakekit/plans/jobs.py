@@ -36,6 +36,7 @@ from lakekit.sources.tables import (
     write_clustered,
     write_path,
 )
+from lakekit.sources.versions import read_version
 
 EVENT_PARTITIONS = ["topic", "created_date"]
 EVENT_CLUSTERING = ["channel"]
@@ -183,7 +184,8 @@ def silver_job(
 
 
 def read_events(spark: SparkSession, events_path: str) -> DataFrame:
-    return read_parquet(spark, events_path, EVENT_SCHEMA)
+    """The latest version of the event table."""
+    return read_version(spark, events_path, EVENT_SCHEMA)
 
 
 def gold_job(spark: SparkSession, *, events_path: str, gold_dir: str) -> None:

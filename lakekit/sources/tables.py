@@ -5,7 +5,6 @@ Tables are partitioned parquet, named by path or by catalog name.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
 
@@ -13,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakekit.sources.bronze import read_optional
+from lakekit.session import checkpointed
+from lakekit.sources import versions
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -109,21 +109,12 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     return source.select(target.columns).unionByName(kept)
 
 
-def _in_partitions(rows: Sequence, columns: Sequence[str]) -> Column:
-    """A predicate for a list of partition values that prunes the scan."""
-    if len(columns) == 1:
-        values = {r[columns[0]] for r in rows}
-        known = sorted(v for v in values if v is not None)
-        match = F.col(columns[0]).isin(known) if known else F.lit(False)
-        return match | F.col(columns[0]).isNull() if None in values else match
-    grouped = defaultdict(list)
-    for row in rows:
-        grouped[row[columns[0]]].append(row)
-    branches = [
-        F.col(columns[0]).eqNullSafe(F.lit(value)) & _in_partitions(members, columns[1:])
-        for value, members in grouped.items()
-    ]
-    return reduce(Column.__or__, branches)
+def _touched(source: DataFrame, target: DataFrame, keys: Sequence[str], parts: Sequence[str]) -> DataFrame:
+    """Partitions that receive a source row or hold a source key."""
+    receiving = source.select(*parts)
+    holding = target.select(*dict.fromkeys([*keys, *parts]))
+    losing = holding.join(source.select(*keys), list(keys), "left_semi").select(*parts)
+    return receiving.union(losing).distinct()
 
 
 def upsert(
@@ -133,73 +124,42 @@ def upsert(
     *,
     partition_by: Sequence[str],
     cluster_by: Sequence[str] = (),
-) -> None:
+    taken: Sequence[str] | DataFrame = (),
+    keys_checked: bool = False,
+) -> int | None:
     """Update rows whose key exists, insert the others; create the table if absent.
 
     Only partitions that hold a source key, or receive a source row, are read
     in full and replaced; the rest of the table is not touched. To find the
     former, keys alone are read, and where partition columns belong to the key
-    only from partitions the source names. New files are staged and moved in
-    when the job commits, so a failed run leaves whole partitions, and running
-    it again gives the same table. ``source`` is used by several actions: pass a
-    frame read from files.
+    only from partitions the source names. The new partitions become the table's by
+    one commit (see :mod:`lakekit.sources.versions`), so no reader meets a key twice or not at
+    all, wherever a run stops. Returns the new version, or ``None`` if there was nothing to do.
+
+    ``source`` is used by several actions: pass a frame read from files. ``taken`` names what this
+    run has taken in. ``keys_checked`` says that source keys are known to be unique.
     """
     if not partition_by:
         raise ValueError("upsert needs partition columns: they bound what is rewritten")
-    spark = source.sparkSession
-    require_unique_keys(source, keys)
-    if read_optional(spark, path) is None:
-        write_path(source, path, partition_by=partition_by, cluster_by=cluster_by)
-        return
-
-    target = spark.read.schema(source.schema).parquet(path)
-    parts = list(partition_by)
-    # Partition values only, so the driver sees at most one row per partition.
-    receiving = source.select(*parts).distinct().collect()
-    if not receiving:
-        return
-    holding = target.select(*dict.fromkeys([*keys, *parts]))
-    in_key = [c for c in parts if c in keys]
-    if in_key:
-        holding = holding.filter(_in_partitions(receiving, in_key))
-    holding = holding.join(source.select(*keys), list(keys), "left_semi")
-    losing = holding.select(*parts).distinct().collect()
-    touched = list({*receiving, *losing})
-    merged = merge_rows(target.filter(_in_partitions(touched, parts)), source, keys)
-    (
-        _spread(merged, parts, True, cluster_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*parts)
-        .parquet(path)
-    )
-    _clear_left_partitions(spark, source, path, keys, parts, [p for p in losing if p not in receiving])
-
-
-def _clear_left_partitions(spark, source, path, keys, parts, candidates) -> None:
-    """Empty partitions whose last rows moved elsewhere: nothing was written there,
-    so the dynamic overwrite has left their old files in place."""
-    if not candidates:
-        return
-    spark.catalog.refreshByPath(path)
-    old = spark.read.schema(source.schema).parquet(path).filter(_in_partitions(candidates, parts))
-    stale = old.join(source.select(*keys), list(keys), "left_semi").select(*parts).distinct()
-    data = StructType([f for f in source.schema if f.name not in parts])
-    for row in stale.collect():
-        folder = "/".join(f"{c}={_folder_value(row[c])}" for c in parts)
-        spark.createDataFrame([], data).coalesce(1).write.mode("overwrite").parquet(f"{path}/{folder}")
-
-
-def _folder_value(value) -> str:
-    """A partition value as Spark writes it into a folder name."""
-    # The name of the null partition and the characters Spark escapes.
-    null_name = "__HIVE_DEFAULT_PARTITION__"
-    escaped = "\"#%'*/:=?\\\x7f{[]^"
-    if value is None or value == "":
-        return null_name
-    return "".join(
-        f"%{ord(c):02X}" if c in escaped or ord(c) < 0x20 else c for c in str(value)
-    )
+    spark, parts, schema = source.sparkSession, list(partition_by), source.schema
+    if not keys_checked:
+        require_unique_keys(source, keys)
+    if versions.latest_version(spark, path) is None:
+        merged, touched = source, None
+    else:
+        in_key = [c for c in parts if c in keys]
+        target = (
+            versions.read_partitions(spark, path, schema, source.select(*in_key))
+            if in_key
+            else versions.read_version(spark, path, schema)
+        )
+        # One narrow row a partition; found once, used for reading and for the commit.
+        touched = checkpointed(_touched(source, target, keys, parts))
+        if touched.isEmpty() and not isinstance(taken, DataFrame) and not taken:
+            return None
+        merged = merge_rows(versions.read_partitions(spark, path, schema, touched), source, keys)
+    spread = _spread(merged, parts, True, cluster_by)
+    return versions.commit(spread, path, partition_by=parts, touched=touched, taken=taken)
 
 
 def write_clustered(
