@@ -6,36 +6,71 @@ left to the reader.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Iterable, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.functions.stats import (
-    percentiles,
-    ranked_percentile,
-    ratio,
-    with_value_ranks,
-)
+from lakekit.functions.stats import net_sentiment, ranked_percentile, ratio, with_value_ranks
 from lakekit.schema import COMMENT, POST
 
+# Later than any timestamp in microseconds, with room to be doubled.
+_LAST_MICROS = 1 << 61
 
-def daily_activity(events: DataFrame) -> DataFrame:
-    """Grain (topic, channel, created_date).
+# Measures of a fold and how they are added up further. ``flag`` is the earliest known flag. It rides
+# in the lowest bit of the doubled event time, so one minimum of a number finds it; between
+# flags of one instant false comes first.
+_MEASURES: dict[str, tuple[Callable[[], Column], Callable[[str], Column]]] = {
+    "n": (lambda: F.count("*"), F.sum),
+    "posts": (lambda: F.count_if(F.col("event_type") == POST), F.sum),
+    "comments": (lambda: F.count_if(F.col("event_type") == COMMENT), F.sum),
+    "length_sum": (lambda: F.sum("text_length"), F.sum),
+    "length_n": (lambda: F.count("text_length"), F.sum),
+    "word_sum": (lambda: F.sum("word_count"), F.sum),
+    "word_n": (lambda: F.count("word_count"), F.sum),
+    "first_seen": (lambda: F.min("created_ts"), F.min),
+    "last_seen": (lambda: F.max("created_ts"), F.max),
+    "flag": (
+        lambda: F.min(
+            F.expr(
+                f"coalesce(unix_micros(created_ts), {_LAST_MICROS}L) * 2 + CAST(channel_nsfw AS BIGINT)"
+            )
+        ),
+        F.min,
+    ),
+}
+_OF_DAY = ["n", "posts", "comments", "length_sum", "length_n", "word_sum", "word_n"]
+_OF_CHANNEL = ["n", "first_seen", "last_seen", "flag"]
 
-    Rows are first folded per distinct score, which the median needs anyway, so
-    the second step handles a day's distinct scores whatever the channel's size.
-    """
+
+def _fold(events: DataFrame, grain: Sequence[str], measures: Iterable[str]) -> DataFrame:
+    return events.groupBy(*grain).agg(*[_MEASURES[m][0]().alias(m) for m in measures])
+
+
+def _added_up(measures: Iterable[str]) -> list[Column]:
+    return [_MEASURES[m][1](m).alias(m) for m in measures]
+
+
+def activity_state(events: DataFrame) -> DataFrame:
+    """What the three event aggregates need to know of a day, and no more: one row for each topic,
+    channel, hour and score. A day's rows follow from that day's events alone."""
+    grain = ["topic", "channel", "created_date", "created_hour", "created_dow", "score"]
+    return _fold(events, grain, _MEASURES)
+
+
+_DAY_SCORE = ["topic", "channel", "created_date", "score"]
+
+
+def _scored() -> Column:
+    return F.sum(F.when(F.col("score").isNotNull(), F.col("n")))
+
+
+def _total() -> Column:
+    return F.sum(F.col("score") * F.col("n"))
+
+
+def _daily(per_score: DataFrame) -> DataFrame:
     keys = ["topic", "channel", "created_date"]
-    per_score = events.groupBy(*keys, "score").agg(
-        F.count("*").alias("n"),
-        F.count_if(F.col("event_type") == POST).alias("posts"),
-        F.count_if(F.col("event_type") == COMMENT).alias("comments"),
-        F.sum("text_length").alias("length_sum"),
-        F.count("text_length").alias("length_n"),
-        F.sum("word_count").alias("word_sum"),
-        F.count("word_count").alias("word_n"),
-    )
-    scored = F.sum(F.when(F.col("score").isNotNull(), F.col("n")))
-    total = F.sum(F.col("score") * F.col("n"))
     return (
         with_value_ranks(per_score, keys, "score")
         .groupBy(*keys)
@@ -43,10 +78,10 @@ def daily_activity(events: DataFrame) -> DataFrame:
             F.sum("n").alias("event_count"),
             F.sum("posts").alias("post_count"),
             F.sum("comments").alias("comment_count"),
-            ratio(total, scored).alias("avg_score"),
+            ratio(_total(), _scored()).alias("avg_score"),
             ranked_percentile("score", 0.5).alias("median_score"),
             F.max("score").alias("max_score"),
-            total.alias("total_score"),
+            _total().alias("total_score"),
             ratio(F.sum("length_sum"), F.sum("length_n")).alias("avg_text_length"),
             ratio(F.sum("word_sum"), F.sum("word_n")).alias("avg_word_count"),
         )
@@ -57,47 +92,56 @@ def daily_activity(events: DataFrame) -> DataFrame:
     )
 
 
-# Later than any timestamp in microseconds, with room to be doubled.
-_LAST_MICROS = 1 << 61
+def daily_activity(events: DataFrame) -> DataFrame:
+    """Grain (topic, channel, created_date).
+
+    Rows are first folded per distinct score, which the median needs anyway, so
+    the second step handles a day's distinct scores whatever the channel's size.
+    """
+    return _daily(_fold(events, _DAY_SCORE, _OF_DAY))
+
+
+def daily_from_state(state: DataFrame) -> DataFrame:
+    """:func:`daily_activity` from :func:`activity_state`."""
+    return _daily(state.groupBy(*_DAY_SCORE).agg(*_added_up(_OF_DAY)))
 
 
 def channel_summary(events: DataFrame) -> DataFrame:
-    """Grain (topic, channel), over all time.
+    """Grain (topic, channel), over all time; ``nsfw`` is the earliest known flag."""
+    return summary_from_state(_fold(events, _DAY_SCORE, _OF_CHANNEL))
 
-    ``nsfw`` is the earliest known flag. It rides in the lowest bit of the
-    doubled event time, so one minimum of a number finds it; between flags of one
-    instant false comes first.
+
+# A grouping set's number has a bit for each column it leaves out, the last column's lowest.
+_BY_SCORE, _BY_DAY = 1, 2
+
+
+def summary_from_state(state: DataFrame) -> DataFrame:
+    """:func:`channel_summary` from :func:`activity_state`, in one pass over it.
+
+    The rows are folded by score and by day at once; rows by day have no score and take no rank.
     """
     keys = ["topic", "channel"]
-    flag = F.expr(
-        f"coalesce(unix_micros(created_ts), {_LAST_MICROS}L) * 2 + CAST(channel_nsfw AS BIGINT)"
-    )
-    main = events.groupBy(*keys).agg(
-        F.count("*").alias("event_count"),
-        F.count_distinct("created_date").alias("active_days"),
-        F.avg("score").alias("avg_score"),
-        F.max("score").alias("max_score"),
-        F.min("created_ts").alias("first_seen"),
-        F.max("created_ts").alias("last_seen"),
-        F.min(flag).alias("_flag"),
-    )
-    upper = percentiles(events, keys, "score", {"p90_score": 0.9})
-    # Both sides hold one row per channel; keys may be null.
-    same = main["topic"].eqNullSafe(upper["topic"]) & main["channel"].eqNullSafe(upper["channel"])
-    return main.join(upper, same).select(
-        main["topic"],
-        main["channel"],
-        "event_count",
-        "active_days",
-        "avg_score",
-        "p90_score",
-        "max_score",
-        "first_seen",
-        "last_seen",
-        F.expr("pmod(_flag, 2) = 1").alias("nsfw"),
-        (F.col("event_count") / F.greatest(F.col("active_days"), F.lit(1))).alias(
-            "events_per_active_day"
-        ),
+    both = state.groupingSets(
+        [[*keys, "score"], [*keys, "created_date"]], *keys, "score", "created_date"
+    ).agg(F.grouping_id().alias("_set"), *_added_up(_OF_CHANNEL))
+    is_day = (F.col("_set") == _BY_DAY) & F.col("created_date").isNotNull()
+    return (
+        with_value_ranks(both, keys, "score")
+        .groupBy(*keys)
+        .agg(
+            F.sum(F.when(F.col("_set") == _BY_SCORE, F.col("n"))).alias("event_count"),
+            F.count_if(is_day).alias("active_days"),
+            ratio(_total(), _scored()).alias("avg_score"),
+            ranked_percentile("score", 0.9).alias("p90_score"),
+            F.max("score").alias("max_score"),
+            F.min("first_seen").alias("first_seen"),
+            F.max("last_seen").alias("last_seen"),
+            F.expr("pmod(min(flag), 2) = 1").alias("nsfw"),
+        )
+        .withColumn(
+            "events_per_active_day",
+            F.col("event_count") / F.greatest(F.col("active_days"), F.lit(1)),
+        )
     )
 
 
@@ -108,6 +152,13 @@ def hourly_activity(events: DataFrame) -> DataFrame:
     )
 
 
+def hourly_from_state(state: DataFrame) -> DataFrame:
+    """:func:`hourly_activity` from :func:`activity_state`."""
+    return state.groupBy("topic", "created_dow", "created_hour").agg(
+        F.sum("n").alias("event_count"), ratio(_total(), _scored()).alias("avg_score")
+    )
+
+
 def topic_trends(post_topics: DataFrame) -> DataFrame:
     """Grain (topic, dominant_topic, created_date) over topic assignments."""
     return post_topics.groupBy("topic", "dominant_topic", "created_date").agg(
@@ -130,7 +181,6 @@ def sentiment_daily(post_sentiment: DataFrame) -> DataFrame:
         )
         .withColumn(
             "net_sentiment",
-            (F.col("positive") - F.col("negative"))
-            / F.greatest(F.col("event_count"), F.lit(1)),
+            net_sentiment(F.col("positive"), F.col("negative"), F.col("event_count")),
         )
     )

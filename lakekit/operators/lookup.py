@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakekit.functions.joins import join_same
+
 # A lookup row here is a key, a few numbers and at most a short term list, so this
 # many rows stay far below the executors' broadcast limits.
 MAX_BROADCAST_ROWS = 100_000
@@ -32,6 +33,4 @@ def join_lookup(
         lookup = F.broadcast(lookup)
     if not null_safe:
         return df.join(lookup, list(on), how)
-    renamed = lookup.withColumnsRenamed({key: f"_lookup_{key}" for key in on})
-    same = reduce(Column.__and__, [F.col(key).eqNullSafe(F.col(f"_lookup_{key}")) for key in on])
-    return df.join(renamed, same, how).drop(*[f"_lookup_{key}" for key in on])
+    return join_same(df, lookup, on, how)

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.functions.stats import ranked_percentile, ratio, with_value_ranks
+from lakekit.functions.stats import counted_percentiles, ratio
 
+# Fixed values of the report: its columns and its percentiles.
 KEY_COLUMNS = ["event_id", "channel", "created_ts", "text", "score", "text_length"]
 SCORE_POINTS = [0.01, 0.25, 0.5, 0.75, 0.9, 0.99]
 WORD_POINTS = [0.5, 0.9, 0.99]
@@ -35,12 +36,19 @@ def _spread(events: DataFrame, column: str, points: Sequence[float], label: str)
     """Percentiles, least, greatest and mean value, from counts per distinct value."""
     counts = events.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     known = F.sum(F.when(F.col(column).isNotNull(), F.col("n")))
-    return with_value_ranks(counts, [], column).agg(
-        F.array(*[ranked_percentile(column, p) for p in points]).alias(f"{column}_pcts"),
+    named = {f"_p{i}": p for i, p in enumerate(points)}
+    # Two aggregates of one row each, side by side without a join.
+    whole = counts.agg(
         F.min(column).alias(f"min_{label}"),
         F.max(column).alias(f"max_{label}"),
         ratio(F.sum(F.col(column) * F.col("n")), known).alias(f"mean_{label}"),
     )
+    picked = counted_percentiles(counts, [], column, named)
+    both = picked.unionByName(whole, allowMissingColumns=True)
+    return both.agg(
+        F.array(*[F.max(name) for name in named]).alias(f"{column}_pcts"),
+        *[F.max(name).alias(name) for name in whole.columns],
+    )
 
 
 def score_distribution(events: DataFrame) -> DataFrame:

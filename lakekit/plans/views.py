@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakekit.functions.stats import net_sentiment, ratio
+from lakekit.functions.joins import join_same
+from lakekit.functions.stats import net_sentiment, ratio, value_ranks
 from lakekit.operators.lookup import join_lookup
 
 # Spark's day numbers start at Sunday.
@@ -51,12 +52,15 @@ def daily_trend(daily: DataFrame, *, calendar: bool = False) -> DataFrame:
 def leaderboard(summary: DataFrame) -> DataFrame:
     """Channels ranked within their topic by volume and by average score.
 
-    A topic's channels, one narrow row each, are sorted in one task; the sort
-    spills. A filter on a rank is applied before the shuffle as well.
+    A rank is one more than the number of channels with a greater value, counted per distinct value
+    and range of values, so a topic is not sorted in one task. A filter on either rank leaves few values
+    before the channels are joined. ``summary`` is read several times: pass a stored table.
     """
-    by_volume = Window.partitionBy("topic").orderBy(F.desc("event_count"))
-    by_score = Window.partitionBy("topic").orderBy(F.desc("avg_score"))
-    return summary.select(
+    by_volume = value_ranks(summary, ["topic"], "event_count", "rank_by_volume")
+    by_score = value_ranks(summary, ["topic"], "avg_score", "rank_by_avg_score")
+    ranked = join_same(summary, by_volume, ["topic", "event_count"])
+    ranked = join_same(ranked, by_score, ["topic", "avg_score"])
+    return ranked.select(
         "topic",
         "channel",
         "event_count",
@@ -70,8 +74,8 @@ def leaderboard(summary: DataFrame) -> DataFrame:
         F.round(ratio(F.col("event_count"), F.col("active_days")), 2).alias(
             "events_per_active_day"
         ),
-        F.rank().over(by_volume).alias("rank_by_volume"),
-        F.rank().over(by_score).alias("rank_by_avg_score"),
+        "rank_by_volume",
+        "rank_by_avg_score",
     )
 
 

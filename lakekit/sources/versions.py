@@ -98,11 +98,15 @@ def read_version(
 
 
 def read_partitions(
-    spark: SparkSession, path: str, schema: StructType, wanted: DataFrame
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    wanted: DataFrame,
+    version: int | None = None,
 ) -> DataFrame:
-    """The rows of the latest version in the partitions whose values ``wanted`` holds, in
-    columns named like theirs. Only those partitions' folders are opened."""
-    listed = listing(spark, path)
+    """The rows of a version (default: the latest) in the partitions whose values ``wanted`` holds,
+    in columns named like theirs. Only those partitions' folders are opened."""
+    listed = listing(spark, path, version)
     return _read_folders(spark, path, _folders(_matching(listed, wanted, "left_semi")), schema)
 
 

@@ -550,6 +550,11 @@ FROM kept WHERE doc_freq >= 5""",
 SELECT f.topic, f.event_id, {_SCALED} FROM flagged f CROSS JOIN s""",
         "job_silver": f"WITH {LAKE} SELECT * FROM silver",
         "job_gold": f"WITH {LAKE},{daily('silver')} SELECT * FROM daily",
+        "job_gold_summary": f"WITH {LAKE},{summary('silver')} SELECT * FROM summary",
+        "job_gold_hourly": f"""WITH {LAKE}
+SELECT topic, created_dow, created_hour, count(*) AS event_count, avg(score) AS avg_score
+FROM silver GROUP BY topic, created_dow, created_hour""",
+        "job_gold_batches": f"""WITH silver AS ({UPSERT}),{summary('silver')} SELECT * FROM summary""",
     }
     for name, rule in zip(_DQ_NAMES, _dq(True), strict=True):
         sql[name] = f"WITH {TIMED}{rule}"

@@ -1,10 +1,12 @@
 import datetime as dt
 import math
+import re
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakekit.functions.stats import percentiles
+from lakekit.functions.stats import percentiles, value_bucket, value_ranks
 from lakekit.operators import gold, profile
 from lakekit.operators.lookup import join_lookup
 from lakekit.plans import tiles, views
@@ -79,6 +81,100 @@ def test_percentiles_are_exact_and_keep_null_groups(spark):
     assert got == want
 
 
+def test_buckets_follow_the_order_of_values(spark):
+    values = [-1e300, -5.0, -1.01, -1.0, -1e-9, -0.0, 0.0, 1e-9, 0.5, 1.0, 1.001, 7.0, 7.03, 1e18, 1e300, float("inf"), float("nan")]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    got = [r["b"] for r in df.orderBy("i").select(value_bucket("v").alias("b")).collect()]
+    assert got == sorted(got) and len(set(got)) > 10
+    whole = spark.range(-3000, 3000).select(value_bucket("id").alias("b")).collect()
+    assert [r["b"] for r in whole] == sorted(r["b"] for r in whole)
+    null = spark.createDataFrame([(None,)], "v long").select(value_bucket("v").alias("b"))
+    assert null.first()["b"] is None
+
+
+def _hot(spark):
+    """One group with most rows, one value with a third of them, groups and values that are null."""
+    return spark.range(20_000).selectExpr(
+        "CASE WHEN id % 50 = 0 THEN NULL WHEN id % 50 = 1 THEN 'none' ELSE 'hot' END AS g",
+        "CASE WHEN id % 50 = 1 OR id % 11 = 0 THEN NULL WHEN id % 3 = 0 THEN 1.0D"
+        " ELSE round((id * 7919 % 6007 - 3000) / 8.0D, 1) END AS v",
+    )
+
+
+def test_percentiles_of_a_hot_group(spark):
+    rows = _hot(spark).collect()
+    points = {"least": 0.0, "p01": 0.01, "p33": 0.33, "p50": 0.5, "p99": 0.99, "most": 1.0}
+    got = {r["g"]: tuple(r[p] for p in points) for r in percentiles(_hot(spark), ["g"], "v", points).collect()}
+    for group in ("hot", None, "none"):
+        known = sorted(r["v"] for r in rows if r["g"] == group and r["v"] is not None)
+        want = tuple(known[max(math.ceil(p * len(known)) - 1, 0)] if known else None for p in points.values())
+        assert got[group] == want
+    assert len(got) == 3
+    whole = percentiles(_hot(spark), [], "v", {"p90": 0.9}).collect()
+    known = sorted(r["v"] for r in rows if r["v"] is not None)
+    assert [r["p90"] for r in whole] == [known[math.ceil(0.9 * len(known)) - 1]]
+
+
+def test_value_ranks_equal_the_window_function(spark):
+    df = _hot(spark)
+    window = Window.partitionBy("g").orderBy(F.desc("v"))
+    want = {(r["g"], r["v"], r["rk"]) for r in df.withColumn("rk", F.rank().over(window)).collect()}
+    got = [(r["g"], r["v"], r["rk"]) for r in value_ranks(df, ["g"], "v", "rk").collect()]
+    assert set(got) == want and len(got) == len(want)
+
+
+def _windows(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if re.search(r"\bWindow \[", line)]
+
+
+def test_no_task_gets_a_whole_group(spark, small, tmp_path):
+    """Windows over values are by bucket; those by group, or by nothing, add up a row a bucket."""
+    for df in (
+        percentiles(small, ["topic"], "score", {"p": 0.9}),
+        percentiles(small, [], "score", {"p": 0.9}),
+        profile.score_distribution(small),
+        views.leaderboard(gold.channel_summary(small)),
+    ):
+        for line in _windows(df):
+            # A channel's own scores may meet in one task.
+            assert "_bucket#" in line or "sum(_in#" in line or "channel#" in line, line
+
+
+def test_a_filter_on_either_rank_reaches_the_ranks(spark, small, tmp_path):
+    path = str(tmp_path / "summary")
+    gold.channel_summary(small).write.parquet(path)
+    board = views.leaderboard(spark.read.parquet(path))
+    for rank in ("rank_by_volume", "rank_by_avg_score"):
+        plan = board.filter(f"{rank} <= 1")._jdf.queryExecution().optimizedPlan().toString()
+        lines = plan.splitlines()
+        filters = [i for i, line in enumerate(lines) if "Filter" in line and "<= 1" in line]
+        joins = [i for i, line in enumerate(lines) if "Join Inner" in line]
+        assert filters and min(filters) > min(joins), rank
+
+
+def test_state_gives_the_same_aggregates(spark, small):
+    more = small.unionByName(small.withColumn("topic", F.lit(None).cast("string")))
+    more = more.unionByName(small.withColumns({"created_date": F.lit(None).cast("date"), "score": F.lit(None).cast("long")}))
+    state = gold.activity_state(more)
+    for direct, derived in (
+        (gold.daily_activity(more), gold.daily_from_state(state)),
+        (gold.channel_summary(more), gold.summary_from_state(state)),
+        (gold.hourly_activity(more), gold.hourly_from_state(state)),
+    ):
+        assert direct.schema.names == derived.schema.names
+        assert sorted(map(str, direct.collect())) == sorted(map(str, derived.collect()))
+
+
+def test_summary_reads_its_events_once(spark, small, tmp_path):
+    path = str(tmp_path / "events")
+    small.write.parquet(path)
+    df = gold.channel_summary(spark.read.parquet(path))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1
+
+
 def test_rolling_rows_and_calendar(small):
     daily = gold.daily_activity(small).filter("channel = 'c'")
     rows = views.daily_trend(daily).orderBy("created_date").collect()

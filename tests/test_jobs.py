@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 
 from lakekit.operators.quality import DataQualityError
 from lakekit.plans import jobs
+from lakekit.schema import EVENT_KEYS
+from lakekit.sources import versions
+from lakekit.sources.tables import upsert
 
 SETTINGS = jobs.ModelSettings(
     topic_count=3,
@@ -137,3 +140,41 @@ def test_incremental_silver_builds_the_same_table(spark, tmp_path):
         "post_3": "three",
         "post_4": "four",
     }
+
+
+def _gold_rows(spark, gold_dir):
+    names = ("daily_activity", "channel_summary", "hourly_activity")
+    return {n: sorted(map(str, spark.read.parquet(f"{gold_dir}/{n}").collect())) for n in names}
+
+
+def test_gold_after_batches_equals_a_full_run(spark, tmp_path, events):
+    """A key that moves to another day, a day that loses its last row, and days that stay."""
+    path, step, whole = (str(tmp_path / n) for n in ("events", "step", "whole"))
+    moved = events.filter("event_id IN ('post_p00001', 'post_p00049')").withColumns(
+        {
+            "created_date": F.date_add("created_date", 5),
+            "created_ts": F.col("created_ts") + F.expr("INTERVAL 5 DAYS"),
+            "score": F.col("score") + 100,
+        }
+    )
+    later = events.filter("event_id = 'comment_c00002'").withColumn("event_id", F.lit("comment_new"))
+    for batch in (events, moved.unionByName(later)):
+        upsert(batch, path, EVENT_KEYS, partition_by=jobs.EVENT_PARTITIONS)
+        jobs.gold_job(spark, events_path=path, gold_dir=step)
+    jobs.gold_job(spark, events_path=path, gold_dir=whole)
+    assert _gold_rows(spark, step) == _gold_rows(spark, whole)
+    # Only days the second batch touches were folded again, and nothing without a new version.
+    days = lambda v: {r["part"]: r["folder"] for r in versions.listing(spark, f"{step}/activity_state", v).collect() if r["folder"]}
+    first, second = days(1), days(2)
+    assert {p for p in first if p in second and first[p] == second[p]}
+    jobs.gold_job(spark, events_path=path, gold_dir=step)
+    assert versions.known_versions(spark, f"{step}/activity_state") == [1, 2]
+    assert _gold_rows(spark, step) == _gold_rows(spark, whole)
+    # Once the version that the state knows is forgotten, it is built anew.
+    upsert(later.withColumn("score", F.lit(1).cast("long")), path, EVENT_KEYS, partition_by=jobs.EVENT_PARTITIONS)
+    versions.forget_versions(spark, path, keep=1)
+    for gold_dir in (step, whole):
+        jobs.gold_job(spark, events_path=path, gold_dir=gold_dir)
+    assert _gold_rows(spark, step) == _gold_rows(spark, whole)
+    with pytest.raises(RuntimeError, match="no events"):
+        jobs.gold_job(spark, events_path=str(tmp_path / "none"), gold_dir=step)
