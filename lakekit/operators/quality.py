@@ -13,7 +13,7 @@ from dataclasses import asdict, dataclass, field
 from enum import Enum
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -183,16 +183,21 @@ def freshness(
     )
 
 
-def _verdict_rows(df: DataFrame, rules: Sequence[tuple[int, Rule]]) -> DataFrame:
-    """One aggregate over ``df`` turned into one row per rule."""
-    measures = {
-        pos: [agg.alias(f"_r{pos}_{i}") for i, agg in enumerate(rule.aggregates())]
-        for pos, rule in rules
-    }
-    measured = df.agg(*[agg for row in measures.values() for agg in row])
+Numbered = Sequence[tuple[int, Rule]]
+
+
+def _measures(rules: Numbered) -> list[Column]:
+    return [
+        agg.alias(f"_r{pos}_{i}") for pos, rule in rules for i, agg in enumerate(rule.aggregates())
+    ]
+
+
+def _verdict_rows(measured: DataFrame, rules: Numbered) -> DataFrame:
+    """One row of measures turned into one row per rule."""
     structs = []
     for pos, rule in rules:
-        verdict = rule.verdict([F.col(f"_r{pos}_{i}") for i in range(len(measures[pos]))])
+        names = [c for c in measured.columns if c.startswith(f"_r{pos}_")]
+        verdict = rule.verdict([F.col(name) for name in names])
         structs.append(
             F.struct(
                 F.lit(pos).alias("position"),
@@ -207,17 +212,23 @@ def _verdict_rows(df: DataFrame, rules: Sequence[tuple[int, Rule]]) -> DataFrame
     return measured.select(F.inline(F.array(*structs)))
 
 
+def _unique_verdicts(df: DataFrame, rules: Numbered) -> list[DataFrame]:
+    parts = []
+    for pos, rule in rules:
+        if rule.unique_on:
+            copies = df.groupBy(*rule.unique_on).agg(F.count(F.lit(1)).alias("_copies"))
+            parts.append(_verdict_rows(copies.agg(*_measures([(pos, rule)])), [(pos, rule)]))
+    return parts
+
+
 def quality_frame(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """The report as a lazy frame with one row per rule, in rule order by ``position``."""
     numbered = list(enumerate(rules))
     parts = []
     fused = [(pos, rule) for pos, rule in numbered if not rule.unique_on]
     if fused:
-        parts.append(_verdict_rows(df, fused))
-    for pos, rule in numbered:
-        if rule.unique_on:
-            copies = df.groupBy(*rule.unique_on).agg(F.count(F.lit(1)).alias("_copies"))
-            parts.append(_verdict_rows(copies, [(pos, rule)]))
+        parts.append(_verdict_rows(df.agg(*_measures(fused)), fused))
+    parts += _unique_verdicts(df, numbered)
     if not parts:
         raise ValueError("quality_frame needs at least one rule")
     return reduce(DataFrame.unionByName, parts)
@@ -227,7 +238,11 @@ def run_checks(df: DataFrame, rules: Sequence[Rule]) -> QualityReport:
     """Evaluate all rules in one job; only the verdict rows reach the driver."""
     if not rules:
         return QualityReport([])
-    rows = sorted(quality_frame(df, rules).collect(), key=lambda r: r["position"])
+    return _as_report(quality_frame(df, rules))
+
+
+def _as_report(verdicts: DataFrame) -> QualityReport:
+    rows = sorted(verdicts.collect(), key=lambda r: r["position"])
     return QualityReport(
         [
             CheckResult(
@@ -243,6 +258,32 @@ def run_checks(df: DataFrame, rules: Sequence[Rule]) -> QualityReport:
     )
 
 
+def measured_while_written(
+    df: DataFrame, rules: Sequence[Rule]
+) -> tuple[DataFrame, Callable[[DataFrame], QualityReport]]:
+    """Rules over rows without a scan of their own: the frame to write measures them on the way.
+
+    Write the first result once, then call the second with what was written to get the report;
+    only keys that have to be unique are read again. Write it as it comes: behind a further shuffle, rows of
+    tasks that are run again for a lost executor would count twice.
+    """
+    numbered = list(enumerate(rules))
+    fused = [(pos, rule) for pos, rule in numbered if not rule.unique_on]
+    measures = _measures(fused)
+    seen = Observation()
+    watched = df.observe(seen, *measures) if measures else df
+
+    def report(written: DataFrame) -> QualityReport:
+        parts = _unique_verdicts(written, numbered)
+        if measures:
+            schema = df.agg(*measures).schema
+            row = tuple(seen.get[name] for name in schema.names)
+            parts.append(_verdict_rows(df.sparkSession.createDataFrame([row], schema), fused))
+        return _as_report(reduce(DataFrame.unionByName, parts)) if parts else QualityReport([])
+
+    return watched, report
+
+
 def gate(report: QualityReport, what: str) -> QualityReport:
     """Stop the job on critical failures; warnings are only reported."""
     failed = [r.name for r in report.critical_failures]

@@ -12,13 +12,16 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from lakekit.ml import engagement, models, scoring, sentiment, topics
 from lakekit.operators import gold
+from lakekit.operators.lookup import join_lookup
 from lakekit.operators.quality import (
     QualityReport,
+    Severity,
     accepted_values,
     freshness,
     gate,
     in_range,
     max_null_ratio,
+    measured_while_written,
     min_row_count,
     not_null,
     run_checks,
@@ -29,6 +32,13 @@ from lakekit.plans.views import gold_views, register_views
 from lakekit.schema import COMMENT, EVENT_KEYS, EVENT_SCHEMA, POST, TOPIC_TERMS_SCHEMA
 from lakekit.session import checkpointed, staged
 from lakekit.sources import versions
+from lakekit.sources.batches import (
+    common_schema,
+    landed_batches,
+    record_batch,
+    set_aside,
+    write_audit,
+)
 from lakekit.sources.bronze import BRONZE_PARTITIONS, bronze_frames, read_optional
 from lakekit.sources.tables import (
     read_parquet,
@@ -80,8 +90,17 @@ def bronze_job(
     comments_glob: str = "*comments*.parquet",
     limits: QualityLimits = QualityLimits(),
     ingested_at: dt.datetime | None = None,
+    quarantine_path: str | None = None,
+    audit_path: str | None = None,
 ) -> dict[str, QualityReport]:
-    """Append one topic's landed files to ``posts_raw`` and ``comments_raw``."""
+    """Append one topic's landed files to ``posts_raw`` and ``comments_raw``.
+
+    A null id stops the job, unless there is a quarantine for such rows; then they are counted,
+    written there and left out. The batch is noted once its rows are there: the silver job
+    takes in noted batches, each once. ``batch_id`` names one delivery of the topic.
+    """
+    # One clock for the partition and for the note.
+    ingested_at = ingested_at or dt.datetime.now(dt.timezone.utc)
     frames = bronze_frames(
         spark,
         base_dir=base_dir,
@@ -93,8 +112,14 @@ def bronze_job(
     )
     reports = {}
     for kind, df in frames.items():
-        rules = [min_row_count(limits.min_bronze_rows), not_null(["id"])]
-        reports[kind] = gate(run_checks(df, rules), f"bronze {topic}/{kind}")
+        known_id = not_null(["id"], _severity(quarantine_path))
+        report = run_checks(df, [min_row_count(limits.min_bronze_rows), known_id])
+        if audit_path:
+            write_audit(spark, report, audit_path, job=f"bronze {topic}/{kind}", batch=batch_id)
+        reports[kind] = gate(report, f"bronze {topic}/{kind}")
+        if quarantine_path:
+            batch = spark.createDataFrame([(topic, batch_id)], "topic string, batch_id string")
+            df = set_aside(df, [known_id], quarantine_path, kind=kind, batches=batch)
         # One topic and one date per batch: nothing to gather, so no shuffle.
         write_path(
             df,
@@ -103,9 +128,38 @@ def bronze_job(
             partition_by=BRONZE_PARTITIONS,
             rebalance=False,
         )
+        record_batch(
+            df,
+            bronze_dir,
+            kind=kind,
+            topic=topic,
+            batch_id=batch_id,
+            ingested_at=ingested_at,
+        )
     return reports
 
 
+def _severity(quarantine_path: str | None) -> Severity:
+    """A null id is critical where there is no place to put its row."""
+    return Severity.CRITICAL if quarantine_path is None else Severity.WARNING
+
+
+def _bronze_batches(spark: SparkSession, bronze_dir: str, kind: str, batches: DataFrame) -> DataFrame | None:
+    """The rows of the given batches, by their noted columns.
+
+    Topics and ingest dates prune folders; the batch itself is a column within them.
+    """
+    own = batches.filter(F.col("kind") == kind)
+    schema = common_schema(spark, own)
+    if not schema.names:
+        return None
+    df = read_parquet(spark, f"{bronze_dir}/{kind}_raw", schema)
+    for column, name in (("_topic", "topic"), ("_ingest_date", "ingest_date")):
+        df = df.filter(F.col(column).isin([r[0] for r in own.select(name).distinct().collect()]))
+    wanted = own.select(F.col("topic").alias("_topic"), F.col("batch_id").alias("_batch_id")).distinct()
+    return spread_small(join_lookup(df, wanted, ["_topic", "_batch_id"], "left_semi"))
+
+
 def _bronze_kind(
     spark: SparkSession,
     bronze_dir: str,
@@ -153,36 +207,85 @@ def silver_job(
     community: str = "channel",
     limits: QualityLimits = QualityLimits(),
     as_of: dt.date | None = None,
+    again: bool = False,
+    quarantine_path: str | None = None,
+    audit_path: str | None = None,
+    run_id: str | None = None,
 ) -> QualityReport:
     """Clean all topics in one pass, gate them, upsert them on (topic, event_id).
 
-    The events are staged once; the gate and the upsert read the staged files.
-    By default all of bronze is processed again. ``since`` takes only batches
-    ingested from that day on; as newer batches win over older ones in both
-    cases, daily runs over new batches build the same table. ``merge_schema``
-    opens every bronze file for its columns; a lake whose batches all have the
-    same columns can do without.
+    Only batches that the event table has not taken in are read, by their noted columns; without any the
+    job ends at once. Rows and the names of their batches come into the table in one
+    commit, so a run that stopped is simply run again. ``again`` takes in all batches
+    once more; ``topics`` and ``since`` (the day of ingest) narrow what is looked at.
+    As newer batches win over older ones, daily runs build the same table as one over all. A bronze
+    folder without noted batches is read whole; ``merge_schema`` then opens every file for its columns.
+
+    The events are staged once, and measured for the gate while they are written; the
+    upsert reads the staged files. A null id stops the job, unless there is a quarantine
+    for such rows (a table of its own, not the bronze job's). ``run_id`` names the run in the audit table; by default the name follows from its batches.
     """
-    posts = _bronze_kind(spark, bronze_dir, "posts", topics, since, merge_schema)
-    comments = _bronze_kind(spark, bronze_dir, "comments", topics, since, merge_schema)
-    if posts is None and comments is None:
+    batches = landed_batches(spark, bronze_dir)
+    if batches is None:
+        frames = {
+            kind: _bronze_kind(spark, bronze_dir, kind, topics, since, merge_schema)
+            for kind in ("posts", "comments")
+        }
+    else:
+        if topics is not None:
+            batches = batches.filter(F.col("topic").isin(list(topics)))
+        if since is not None:
+            batches = batches.filter(F.col("ingest_date") >= since)
+        if not again:
+            batches = batches.join(versions.taken_names(spark, events_path), "taken", "left_anti")
+        # One short row a batch.
+        batches = checkpointed(batches)
+        if batches.isEmpty() and versions.latest_version(spark, events_path) is not None:
+            return QualityReport([])
+        frames = {
+            kind: _bronze_batches(spark, bronze_dir, kind, batches)
+            for kind in ("posts", "comments")
+        }
+    frames = {kind: df for kind, df in frames.items() if df is not None}
+    if not frames:
         raise RuntimeError("no bronze rows to build events from")
-    for kind, df in (("posts", posts), ("comments", comments)):
-        if df is not None:
-            gate(run_checks(df, [not_null(["id"])]), f"silver input {kind}")
-    events = to_events(posts, comments, topic=F.col("_topic"), community=community)
+    for kind, df in frames.items():
+        known_id = not_null(["id"], _severity(quarantine_path))
+        gate(run_checks(df, [known_id]), f"silver input {kind}")
+        if quarantine_path:
+            named = df.select(F.col("_topic").alias("topic"), F.col("_batch_id").alias("batch_id"))
+            own = named if batches is None else batches.filter(F.col("kind") == kind)
+            # Their ids are null: the transform leaves them out.
+            set_aside(df, [known_id], quarantine_path, kind=kind, batches=own)
+    events = to_events(
+        frames.get("posts"), frames.get("comments"), topic=F.col("_topic"), community=community
+    )
+    events, measured = measured_while_written(events, silver_rules(limits, as_of))
     with staged(events, "silver_events") as source:
-        report = gate(run_checks(source, silver_rules(limits, as_of)), "silver")
+        report = measured(source)
+        if audit_path:
+            write_audit(spark, report, audit_path, job="silver", batch=run_id or _run_name(batches))
+        gate(report, "silver")
         upsert(
             source,
             events_path,
             EVENT_KEYS,
             partition_by=EVENT_PARTITIONS,
             cluster_by=EVENT_CLUSTERING,
+            taken=() if batches is None else batches.select("taken"),
+            # The gate has just proved it.
+            keys_checked=True,
         )
     return report
 
 
+def _run_name(batches: DataFrame | None) -> str:
+    """The same for the same batches, so that a repeated run replaces its audit rows."""
+    if batches is None:
+        return "all"
+    return batches.agg(F.hex(F.bit_xor(F.xxhash64("taken")))).first()[0]
+
+
 def read_events(spark: SparkSession, events_path: str) -> DataFrame:
     """The latest version of the event table."""
     return versions.read_version(spark, events_path, EVENT_SCHEMA)

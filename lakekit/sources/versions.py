@@ -17,6 +17,7 @@ import re
 import uuid
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -148,13 +149,15 @@ def commit(
     partition_by: Sequence[str],
     touched: DataFrame | None,
     taken: Iterable[str] | DataFrame = (),
+    independent: bool = False,
 ) -> int:
     """Put ``rows`` in place of all partitions in ``touched`` (``None``: of the whole table) and
     return the new version's number.
 
     ``rows`` is written as it comes, so spread it for the write before. ``touched`` has the
     partition columns and holds at least the partitions of ``rows``. ``taken`` is added to the
-    names taken in by earlier versions.
+    names taken in by earlier versions. ``independent`` says that the rows do not follow from what the
+    table held; then a version that another writer has taken meanwhile is no conflict.
     """
     spark, parts = rows.sparkSession, list(partition_by)
     last = latest_version(spark, path)
@@ -167,23 +170,33 @@ def commit(
     written = written.select(
         _folder_of_file().alias("folder"), F.struct(*parts).alias("part")
     ).distinct()
-    listed = written.withColumn("taken", F.lit(None).cast("string"))
+    added = written.withColumn("taken", F.lit(None).cast("string"))
     if not isinstance(taken, DataFrame):
         taken = spark.createDataFrame([(name,) for name in taken], "taken string")
-    if last is not None:
-        before = listing(spark, path, last)
-        if touched is not None:
-            listed = listed.union(_matching(before, touched.select(*parts), "left_anti"))
-        taken = taken.union(before.filter("taken IS NOT NULL").select("taken"))
-    named = taken.distinct().withColumns(
-        {"folder": F.lit(None).cast("string"), "part": F.lit(None).cast(shape["part"].dataType)}
-    )
-    number = (last or 0) + 1
-    # One narrow row a partition, in one file: its move into place is the commit.
-    listed.unionByName(named).coalesce(1).write.mode("errorifexists").parquet(
-        f"{_versions(path)}/{VERSION}={number}"
-    )
-    return number
+    while True:
+        listed, names = added, taken
+        if last is not None:
+            before = listing(spark, path, last)
+            if touched is not None:
+                listed = listed.union(_matching(before, touched.select(*parts), "left_anti"))
+            names = names.union(before.filter("taken IS NOT NULL").select("taken"))
+        named = names.distinct().withColumns(
+            {"folder": F.lit(None).cast("string"), "part": F.lit(None).cast(shape["part"].dataType)}
+        )
+        number = (last or 0) + 1
+        try:
+            # One narrow row a partition, in one file: its move into place is the commit.
+            listed.unionByName(named).coalesce(1).write.mode("errorifexists").parquet(
+                f"{_versions(path)}/{VERSION}={number}"
+            )
+            return number
+        except AnalysisException as error:
+            if not independent or error.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+        newer = latest_version(spark, path)
+        if newer == last:
+            raise RuntimeError(f"version {number} of {path} is taken but not there")
+        last = newer
 
 
 def forget_versions(spark: SparkSession, path: str, *, keep: int = 3, uncommitted: bool = False) -> int:

@@ -364,6 +364,26 @@ _GATE = "\nUNION ALL".join([
     _fresh(5, 3650, "silver"),
 ])
 
+
+
+def _audited(job: str, batch: str, verdicts: str) -> str:
+    return f"""
+SELECT '{job}' AS job, '{batch}' AS batch, CAST(position AS INTEGER) AS position,
+       * EXCLUDE (position) FROM ({verdicts})"""
+
+
+def _bronze_verdicts(source: str, severity: str) -> str:
+    enough = _rule(0, "min_row_count(1)", "critical", "count(*) >= 1", "greatest(0, 1 - count(*))",
+                   "count(*)", source)
+    return enough + "\nUNION ALL" + _none(1, "not_null(id)", severity, "id IS NULL", source)
+
+
+_AUDITED = "\nUNION ALL".join([
+    _audited("bronze docs/posts", "b1", _bronze_verdicts("landed", "warning")),
+    _audited("bronze chat/comments", "b1", _bronze_verdicts("raw_comments", "warning")),
+    _audited("silver", "r1", _GATE),
+])
+
 # A second delivery of the labelled posts, one point higher.
 REDELIVERED = """
 again AS (
@@ -549,6 +569,11 @@ FROM kept WHERE doc_freq >= 5""",
         "scaled_features": f"""WITH {_FLAGGED}, s AS (SELECT {_MOMENTS} FROM flagged)
 SELECT f.topic, f.event_id, {_SCALED} FROM flagged f CROSS JOIN s""",
         "job_silver": f"WITH {LAKE} SELECT * FROM silver",
+        "job_audit": f"""WITH {LAKE},
+landed AS (SELECT id FROM raw_posts UNION ALL SELECT NULL FROM raw_posts WHERE channel_nsfw){_AUDITED}""",
+        "job_quarantine": f"""WITH {RAW_POSTS}
+SELECT 'posts' AS kind, 'docs' AS topic, 'b1' AS batch_id, 'not_null(id)' AS failed_rules, permalink,
+       selftext, created_utc FROM raw_posts WHERE channel_nsfw""",
         "job_gold": f"WITH {LAKE},{daily('silver')} SELECT * FROM daily",
         "job_gold_summary": f"WITH {LAKE},{summary('silver')} SELECT * FROM summary",
         "job_gold_hourly": f"""WITH {LAKE}

@@ -16,7 +16,7 @@ from lakekit.operators import gold, labels, profile, quality, silver
 from lakekit.plans import jobs, tiles, views
 from lakekit.schema import EVENT_KEYS, TOPIC_TERMS_SCHEMA
 from lakekit.session import configure, shared_folder, stage, staged
-from lakekit.sources import bronze, tables
+from lakekit.sources import batches, bronze, tables
 from lakekit.workload import frames
 from lakekit.workload.frames import AS_OF, FIRST_INGEST, SECOND_INGEST
 
@@ -447,16 +447,22 @@ def scaled_features(spark, sf_dir):
 
 
 def _landed_lake(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Run bronze and silver over both tables; two topics, one landing folder each."""
+    """Run bronze and silver over both tables; two topics, one landing folder each. Posts that
+    moderators removed are landed again without their ids."""
     root = _run_folder(spark, "lake")
-    frames.raw_posts(spark, sf_dir).write.parquet(f"{root}/landing/docs/posts.parquet")
+    posts = frames.raw_posts(spark, sf_dir)
+    lost = posts.filter("`channel.nsfw`").withColumn("id", F.lit(None).cast("string"))
+    posts.unionByName(lost).write.parquet(f"{root}/landing/docs/posts.parquet")
     frames.raw_comments(spark, sf_dir).write.parquet(f"{root}/landing/chat/comments.parquet")
     paths = {
         "bronze_dir": f"{root}/bronze",
         "events_path": f"{root}/silver/events",
         "gold_dir": f"{root}/gold",
         "model_dir": f"{root}/models",
+        "audit_path": f"{root}/audit",
+        "quarantine_path": f"{root}/quarantine",
     }
+    kept = {"audit_path": paths["audit_path"], "quarantine_path": paths["quarantine_path"]}
     for topic in ("docs", "chat"):
         jobs.bronze_job(
             spark,
@@ -465,9 +471,15 @@ def _landed_lake(spark: SparkSession, sf_dir: str) -> dict[str, str]:
             batch_id="b1",
             bronze_dir=paths["bronze_dir"],
             ingested_at=FIRST_INGEST,
+            **kept,
         )
     jobs.silver_job(
-        spark, bronze_dir=paths["bronze_dir"], events_path=paths["events_path"], as_of=AS_OF
+        spark,
+        bronze_dir=paths["bronze_dir"],
+        events_path=paths["events_path"],
+        as_of=AS_OF,
+        audit_path=paths["audit_path"],
+        run_id="r1",
     )
     return paths
 
@@ -477,6 +489,27 @@ def job_silver(spark, sf_dir):
     return jobs.read_events(spark, _landed_lake(spark, sf_dir)["events_path"])
 
 
+@query
+def job_audit(spark, sf_dir):
+    """Verdicts of the bronze and silver gates, as the jobs have stored them."""
+    return batches.read_audit(spark, _landed_lake(spark, sf_dir)["audit_path"])
+
+
+@query
+def job_quarantine(spark, sf_dir):
+    """Rows set aside by the bronze job."""
+    rows = batches.read_quarantine(spark, _landed_lake(spark, sf_dir)["quarantine_path"])
+    return rows.select(
+        "kind",
+        "topic",
+        "batch_id",
+        F.array_join("failed_rules", "; ").alias("failed_rules"),
+        F.get_json_object("row", "$.permalink").alias("permalink"),
+        F.get_json_object("row", "$.selftext").alias("selftext"),
+        F.get_json_object("row", "$.created_utc").cast("long").alias("created_utc"),
+    )
+
+
 def _gold_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     paths = _landed_lake(spark, sf_dir)
     jobs.gold_job(spark, events_path=paths["events_path"], gold_dir=paths["gold_dir"])
@@ -516,8 +549,8 @@ def job_gold_batches(spark, sf_dir):
 def job_train_score(spark, sf_dir):
     """Training, model registry, one-pass scoring and the aggregates over scores."""
     paths = _landed_lake(spark, sf_dir)
-    del paths["bronze_dir"]
-    jobs.train_job(spark, settings=SETTINGS, **paths)
+    wanted = {name: paths[name] for name in ("events_path", "gold_dir", "model_dir")}
+    jobs.train_job(spark, settings=SETTINGS, **wanted)
     return spark.read.parquet(f"{paths['gold_dir']}/sentiment_daily")
 
 

@@ -3,10 +3,19 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from lakekit.operators.quality import DataQualityError
+from lakekit.operators.quality import (
+    DataQualityError,
+    measured_while_written,
+    min_row_count,
+    run_checks,
+    unique,
+)
+from lakekit.operators.silver import to_events
 from lakekit.plans import jobs
 from lakekit.schema import EVENT_KEYS
-from lakekit.sources import versions
+from lakekit.session import staged
+from lakekit.sources import batches, versions
+from lakekit.sources.bronze import add_lineage
 from lakekit.sources.tables import upsert
 
 SETTINGS = jobs.ModelSettings(
@@ -109,6 +118,135 @@ def test_jobs_end_to_end(spark, lake):
     assert mix.agg(F.sum("event_count")).first()[0] == 98
 
 
+def _land(spark, folder, rows):
+    schema = "id string, `channel.name` string, created_utc long, title string, selftext string, score long"
+    spark.createDataFrame(rows, schema).write.parquet(f"{folder}/posts.parquet")
+    return folder
+
+
+def _posts(ids, text="a", at=1704067200):
+    return [(i, "c", at, f"title {i}", text, 1) for i in ids]
+
+
+def test_each_batch_is_taken_in_once(spark, tmp_path, monkeypatch):
+    """No text is read without a new batch; a run that stops anywhere is run again."""
+    bronze, path = str(tmp_path / "bronze"), str(tmp_path / "events")
+    run = lambda **o: jobs.silver_job(spark, bronze_dir=bronze, events_path=path, **o)
+
+    def land(n, rows, **options):
+        folder = _land(spark, str(tmp_path / f"in{n}"), rows)
+        jobs.bronze_job(spark, base_dir=folder, topic="t", batch_id=f"b{n}", bronze_dir=bronze,
+                        ingested_at=dt.datetime(2024, 2, n), **options)
+
+    ids = lambda: {r["event_id"]: r["text"] for r in jobs.read_events(spark, path).collect()}
+    land(1, _posts(["1", "2"]))
+    assert run().passed and set(ids()) == {"post_1", "post_2"}
+    first = versions.known_versions(spark, path)
+
+    def forbidden(*args, **kwargs):
+        raise AssertionError("bronze was read")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(jobs, "read_parquet", forbidden)
+        assert run().results == [] and versions.known_versions(spark, path) == first
+
+    land(2, _posts(["2", "3"], text="new"))
+    # The gate has passed, the upsert does not finish: nothing is taken in.
+    with monkeypatch.context() as patched:
+        patched.setattr(versions, "commit", forbidden)
+        with pytest.raises(AssertionError):
+            run()
+    assert set(ids()) == {"post_1", "post_2"}
+    run()
+    assert ids() == {"post_1": "title 1 a", "post_2": "title 2 new", "post_3": "title 3 new"}
+    taken = {r["taken"] for r in versions.taken_names(spark, path).collect()}
+    assert taken == {"posts/t/b1", "posts/t/b2"}
+    before = sorted(map(str, jobs.read_events(spark, path).collect()))
+    run(again=True)
+    assert sorted(map(str, jobs.read_events(spark, path).collect())) == before
+    # Other topics and earlier days are left for later.
+    land(3, _posts(["4"]))
+    assert run(topics=["other"]).results == [] and run(since=dt.date(2024, 2, 4)).results == []
+    assert run().passed and "post_4" in ids()
+
+
+def test_batches_with_other_columns(spark, tmp_path):
+    bronze, path = str(tmp_path / "bronze"), str(tmp_path / "events")
+    plain = spark.createDataFrame([("1", "c", 1704067200, "one", 1)], "id string, `channel.name` string, created_utc long, title string, score long")
+    for n, df in enumerate([plain, plain.withColumn("url", F.lit("u")).withColumn("id", F.lit("2"))], start=1):
+        df.write.parquet(str(tmp_path / f"in{n}" / "posts.parquet"))
+        jobs.bronze_job(spark, base_dir=str(tmp_path / f"in{n}"), topic="t", batch_id=f"b{n}", bronze_dir=bronze)
+    jobs.silver_job(spark, bronze_dir=bronze, events_path=path)
+    assert {r["event_id"]: r["url"] for r in jobs.read_events(spark, path).collect()} == {"post_1": None, "post_2": "u"}
+    other = plain.withColumn("score", F.lit("many"))
+    other.write.parquet(str(tmp_path / "in3" / "posts.parquet"))
+    jobs.bronze_job(spark, base_dir=str(tmp_path / "in3"), topic="t", batch_id="b3", bronze_dir=bronze)
+    with pytest.raises(ValueError, match="column score"):
+        jobs.silver_job(spark, bronze_dir=bronze, events_path=path, again=True)
+
+
+def test_a_bronze_folder_without_notes_is_read_whole(spark, tmp_path, raw_posts):
+    at = dt.datetime(2024, 2, 1)
+    raw = add_lineage(raw_posts, topic="007", batch_id="b", ingested_at=at)
+    raw.write.partitionBy("_topic", "_ingest_date").parquet(str(tmp_path / "bronze" / "posts_raw"))
+    for _ in range(2):
+        jobs.silver_job(spark, bronze_dir=str(tmp_path / "bronze"), events_path=str(tmp_path / "events"))
+    got = jobs.read_events(spark, str(tmp_path / "events"))
+    assert got.count() == 50 and got.select("topic").distinct().collect()[0]["topic"] == "007"
+
+
+def test_null_ids_are_set_aside_and_audited(spark, tmp_path):
+    bronze, path, audit, aside = (str(tmp_path / n) for n in ("bronze", "events", "audit", "aside"))
+    rows = [*_posts(["1", "2"]), *_posts([None, None])]
+
+    def land(n, rows):
+        folder = _land(spark, str(tmp_path / f"in{n}"), rows)
+        return jobs.bronze_job(spark, base_dir=folder, topic="t", batch_id="b1", bronze_dir=bronze,
+                               quarantine_path=aside, audit_path=audit)["posts"]
+
+    report = land(1, rows)
+    assert not report.passed and [r.violating_rows for r in report.results] == [0, 2]
+    set_aside = batches.read_quarantine(spark, aside)
+    assert [r["failed_rules"] for r in set_aside.collect()] == [["not_null(id)"]] * 2
+    assert '"title":"title None"' in set_aside.first()["row"] and "channel.name" in set_aside.first()["row"]
+    jobs.silver_job(spark, bronze_dir=bronze, events_path=path, audit_path=audit, run_id="r")
+    assert jobs.read_events(spark, path).count() == 2
+    stored = {(r["job"], r["batch"]): r["n"] for r in batches.read_audit(spark, audit).groupBy("job", "batch").agg(F.count("*").alias("n")).collect()}
+    assert stored == {("bronze t/posts", "b1"): 2, ("silver", "r"): 6}
+    # The same batch again, mended: its rows in both tables are replaced.
+    assert land(2, _posts(["1", "2"])).passed
+    assert batches.read_quarantine(spark, aside).isEmpty()
+    bronze_rows = batches.read_audit(spark, audit).filter("job = 'bronze t/posts'")
+    assert [r["violating_rows"] for r in bronze_rows.orderBy("position").collect()] == [0, 0]
+
+
+def test_silver_sets_null_ids_aside_too(spark, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    raw = spark.createDataFrame([("1", "one", 1), (None, "two", 1)], "id string, title string, score long")
+    raw = add_lineage(raw, topic="t", batch_id="b", ingested_at=dt.datetime(2024, 2, 1))
+    raw.write.partitionBy("_topic", "_ingest_date").parquet(f"{bronze}/posts_raw")
+    with pytest.raises(DataQualityError):
+        jobs.silver_job(spark, bronze_dir=bronze, events_path=str(tmp_path / "events"))
+    # The time of the event is unknown here, which the silver gate does not let pass.
+    with pytest.raises(DataQualityError, match="created_ts"):
+        jobs.silver_job(spark, bronze_dir=bronze, events_path=str(tmp_path / "events"), quarantine_path=str(tmp_path / "aside"))
+    rows = batches.read_quarantine(spark, str(tmp_path / "aside")).collect()
+    assert [(r["kind"], r["topic"], r["batch_id"]) for r in rows] == [("posts", "t", "b")]
+
+
+def test_silver_gate_measures_while_events_are_staged(spark, raw_posts, monkeypatch):
+    """The same verdicts as from a scan of their own."""
+    events = to_events(raw_posts.unionByName(raw_posts), topic="t")
+    rules = [*jobs.silver_rules(jobs.QualityLimits(min_score=0), as_of=dt.date(2024, 1, 31)), min_row_count(60)]
+    watched, measured = measured_while_written(events, rules)
+    with staged(watched, "gate") as written:
+        report = measured(written)
+        assert report == run_checks(written, rules)
+    assert [r.passed for r in report.results] == [True, True, True, False, True, True, False]
+    only_keys, measured = measured_while_written(events, [unique(["channel"])])
+    assert only_keys is events and measured(events).results[0].violating_rows == 48
+
+
 def test_incremental_silver_builds_the_same_table(spark, tmp_path):
     schema = "id string, `channel.name` string, created_utc long, title string, selftext string, score long"
     days = [
