@@ -119,7 +119,10 @@ def bronze_job(
         reports[kind] = gate(report, f"bronze {topic}/{kind}")
         if quarantine_path:
             batch = spark.createDataFrame([(topic, batch_id)], "topic string, batch_id string")
-            df = set_aside(df, [known_id], quarantine_path, kind=kind, batches=batch)
+            lost = report.results[1].violating_rows
+            df = set_aside(
+                df, [known_id], quarantine_path, kind=kind, batches=batch, broken=lost
+            )
         # One topic and one date per batch: nothing to gather, so no shuffle.
         write_path(
             df,
@@ -251,12 +254,13 @@ def silver_job(
         raise RuntimeError("no bronze rows to build events from")
     for kind, df in frames.items():
         known_id = not_null(["id"], _severity(quarantine_path))
-        gate(run_checks(df, [known_id]), f"silver input {kind}")
+        report = gate(run_checks(df, [known_id]), f"silver input {kind}")
         if quarantine_path:
             named = df.select(F.col("_topic").alias("topic"), F.col("_batch_id").alias("batch_id"))
             own = named if batches is None else batches.filter(F.col("kind") == kind)
             # Their ids are null: the transform leaves them out.
-            set_aside(df, [known_id], quarantine_path, kind=kind, batches=own)
+            lost = report.results[0].violating_rows
+            set_aside(df, [known_id], quarantine_path, kind=kind, batches=own, broken=lost)
     events = to_events(
         frames.get("posts"), frames.get("comments"), topic=F.col("_topic"), community=community
     )

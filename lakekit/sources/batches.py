@@ -1,7 +1,7 @@
 """What a lake keeps about its batches: which have been landed, what failed, what was set aside.
 
-Audit rows and quarantined rows are versioned tables with a partition for each batch, so a
-batch that is run again replaces its own rows, also by none.
+Audit rows and quarantined rows have a partition for each batch, so a batch that is run again
+replaces its own rows. Quarantine is a versioned table, in which they can be replaced by none.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakekit.operators.quality import QualityReport, Rule, quarantine
+from lakekit.schema import quoted
 from lakekit.sources import versions
 from lakekit.sources.bronze import read_optional
 
@@ -58,43 +59,47 @@ def common_schema(spark: SparkSession, batches: DataFrame) -> StructType:
     return merged
 
 
-def _put(rows: DataFrame, path: str, parts: list[str], touched: DataFrame) -> None:
-    spread = rows.hint("rebalance", *parts)
-    versions.commit(spread, path, partition_by=parts, touched=touched, independent=True)
-
-
 def write_audit(spark: SparkSession, report: QualityReport, path: str, *, job: str, batch: str) -> None:
     """Put a report's rows in place of those of the same job and batch."""
     numbered = [
         (job, batch, i, r.name, r.severity.value, r.passed, r.violating_rows, r.metric, r.detail)
         for i, r in enumerate(report.results)
     ]
-    rows = spark.createDataFrame(numbered, _AUDIT)
-    touched = spark.createDataFrame([(job, batch)], "job string, batch string")
-    _put(rows, path, ["job", "batch"], touched)
+    # A report has rows, so its partition is always replaced.
+    rows = spark.createDataFrame(numbered, _AUDIT).coalesce(1)
+    dynamic = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    dynamic.partitionBy("job", "batch").parquet(path)
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    return versions.read_version(spark, path, spark.createDataFrame([], _AUDIT).schema)
+    return spark.read.schema(_AUDIT).parquet(path)
 
 
-def set_aside(df: DataFrame, rules: list[Rule], path: str, *, kind: str, batches: DataFrame) -> DataFrame:
+def set_aside(
+    df: DataFrame, rules: list[Rule], path: str, *, kind: str, batches: DataFrame, broken: int
+) -> DataFrame:
     """Write the rows that break a rule to the quarantine table, and return the others.
 
     ``df`` has lineage columns; ``batches`` (topic, batch_id) names the batches that it is read from, whose rows
-    in quarantine are replaced. A row is kept as JSON, so that batches may have any columns.
+    in quarantine are replaced. ``broken`` is the number of rows that break a rule, as a report
+    has it: without any, and none there from before, there is nothing to write. A row is kept as JSON, so that
+    batches may have any columns.
     """
     good, bad = quarantine(df, rules)
+    touched = batches.select(F.lit(kind).alias("kind"), "topic", "batch_id").distinct()
+    if not broken and not versions.holds_any(df.sparkSession, path, touched):
+        return good
     data = [c for c in df.columns if c != "failed_rules"]
     rows = bad.select(
         F.lit(kind).alias("kind"),
         F.col("_topic").alias("topic"),
         F.col("_batch_id").alias("batch_id"),
         "failed_rules",
-        F.to_json(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in data])).alias("row"),
+        F.to_json(F.struct(*[F.col(quoted(c)) for c in data])).alias("row"),
     )
-    touched = batches.select(F.lit(kind).alias("kind"), "topic", "batch_id").distinct()
-    _put(rows, path, ["kind", "topic", "batch_id"], touched)
+    parts = ["kind", "topic", "batch_id"]
+    spread = rows.hint("rebalance", *parts)
+    versions.commit(spread, path, partition_by=parts, touched=touched, independent=True)
     return good
 
 

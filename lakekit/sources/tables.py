@@ -149,7 +149,7 @@ def upsert(
     else:
         in_key = [c for c in parts if c in keys]
         target = (
-            versions.read_partitions(spark, path, schema, source.select(*in_key))
+            versions.read_partitions(spark, path, schema, source.select(*in_key).distinct())
             if in_key
             else versions.read_version(spark, path, schema)
         )

@@ -113,11 +113,17 @@ def read_partitions(
 
 def _matching(listed: DataFrame, values: DataFrame, how: str) -> DataFrame:
     """Partitions of a listing that have, or have not, the given values; nulls match each other."""
-    named = values.select(F.struct(*values.columns).alias("_values")).distinct()
+    named = values.select(F.struct(*values.columns).alias("_values"))
     same = F.struct(*[F.col(f"part.`{c}`").alias(c) for c in values.columns]).eqNullSafe(F.col("_values"))
     return listed.filter("folder IS NOT NULL").join(named, same, how)
 
 
+def holds_any(spark: SparkSession, path: str, values: DataFrame) -> bool:
+    """Whether the latest version has one of the partitions."""
+    listed = listing(spark, path)
+    return listed is not None and not _matching(listed, values, "left_semi").isEmpty()
+
+
 def changed_partitions(
     spark: SparkSession, path: str, since: int | None
 ) -> tuple[DataFrame, int] | None:
@@ -142,6 +148,19 @@ def _folder_of_file() -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
+def _all_names(
+    spark: SparkSession, taken: Iterable[str] | DataFrame, before: DataFrame | None
+) -> DataFrame | None:
+    """The given names and those of a listing, each once; ``None`` if there are none at all."""
+    if not isinstance(taken, DataFrame):
+        fixed = F.array(*[F.lit(name) for name in taken])
+        taken = spark.range(1).select(F.explode(fixed).alias("taken")) if list(taken) else None
+    earlier = None if before is None else before.filter("taken IS NOT NULL").select("taken")
+    if taken is None or earlier is None:
+        return earlier if taken is None else taken.distinct()
+    return taken.union(earlier).distinct()
+
+
 def commit(
     rows: DataFrame,
     path: str,
@@ -171,22 +190,21 @@ def commit(
         _folder_of_file().alias("folder"), F.struct(*parts).alias("part")
     ).distinct()
     added = written.withColumn("taken", F.lit(None).cast("string"))
-    if not isinstance(taken, DataFrame):
-        taken = spark.createDataFrame([(name,) for name in taken], "taken string")
     while True:
-        listed, names = added, taken
-        if last is not None:
-            before = listing(spark, path, last)
-            if touched is not None:
-                listed = listed.union(_matching(before, touched.select(*parts), "left_anti"))
-            names = names.union(before.filter("taken IS NOT NULL").select("taken"))
-        named = names.distinct().withColumns(
-            {"folder": F.lit(None).cast("string"), "part": F.lit(None).cast(shape["part"].dataType)}
-        )
+        before = None if last is None else listing(spark, path, last)
+        listed = added
+        if before is not None and touched is not None:
+            listed = listed.union(_matching(before, touched.select(*parts), "left_anti"))
+        names = _all_names(spark, taken, before)
+        if names is not None:
+            of_part = F.lit(None).cast(shape["part"].dataType)
+            listed = listed.unionByName(
+                names.withColumns({"folder": F.lit(None).cast("string"), "part": of_part})
+            )
         number = (last or 0) + 1
         try:
             # One narrow row a partition, in one file: its move into place is the commit.
-            listed.unionByName(named).coalesce(1).write.mode("errorifexists").parquet(
+            listed.coalesce(1).write.mode("errorifexists").parquet(
                 f"{_versions(path)}/{VERSION}={number}"
             )
             return number
