@@ -90,6 +90,12 @@ def _ranked_in_buckets(dealt: DataFrame, buckets: DataFrame, keys: Sequence[str]
     return rows.withColumn("_upto", F.col("_before") + F.sum("_rows").over(upto))
 
 
+def ranked_in_order(counts: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """``counts`` (``n`` rows per key and distinct value) with ``_upto``, the rows up to a value, and
+    ``_of``, the rows of its group. Groups may be of any size."""
+    return _ranked_in_buckets(*_in_buckets(counts, keys, column), keys, column)
+
+
 def counted_percentiles(
     counts: DataFrame, keys: Sequence[str], column: str, points: dict[str, float]
 ) -> DataFrame:
@@ -125,6 +131,6 @@ def value_ranks(df: DataFrame, keys: Sequence[str], column: str, name: str) -> D
     """Each distinct value of a group with its rank from the greatest down, nulls last: one
     more than the number of rows with a greater value. Groups may be of any size."""
     counts = df.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("n"))
-    ranked = _ranked_in_buckets(*_in_buckets(counts, keys, column), keys, column)
+    ranked = ranked_in_order(counts, keys, column)
     greater = F.when(F.col(column).isNull(), F.col("_of")).otherwise(F.col("_of") - F.col("_upto"))
     return ranked.select(*keys, column, (greater + 1).cast("int").alias(name))

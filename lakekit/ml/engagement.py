@@ -5,19 +5,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 
+from lakekit.ml import metrics
 from lakekit.ml.features import (
-    MODEL_INPUTS,
+    FLAG_INPUTS,
+    INPUT,
+    NUMERIC_INPUTS,
     hash_bucket,
-    supervised_feature_pipeline,
+    input_stages,
+    term_counter,
     train_test_split,
+    with_terms,
 )
 from lakekit.operators.labels import derived_flags, label_by_threshold, score_thresholds
 from lakekit.session import checkpointed, staged
@@ -26,13 +30,12 @@ from lakekit.session import checkpointed, staged
 GRID_DEPTHS = (4, 6)
 GRID_ITERATIONS = (20, 40)
 
+NEEDED = [*NUMERIC_INPUTS, *FLAG_INPUTS, "score"]
 
-def train_engagement(
-    events: DataFrame,
+
+def fit_engagement(
+    terms: DataFrame,
     *,
-    vocab_size: int,
-    min_doc_freq: int,
-    min_token_length: int = 3,
     percentile: float = 0.90,
     cv_folds: int = 3,
     depths: Sequence[int] = GRID_DEPTHS,
@@ -40,65 +43,67 @@ def train_engagement(
     parallelism: int = 2,
     seed: int = 42,
 ) -> tuple[PipelineModel, dict[str, float]]:
-    """Choose the grid point by cross-validated AUC, refit on all training rows.
+    """Choose the grid point by cross-validated area under the curve, refit on all training rows.
 
-    The score thresholds behind the labels come from training rows only.
-    Features are fitted once per fold, since the grid only touches the trees.
+    ``terms`` is a term-vector table with the inputs and the score; the model starts from it. The score
+    thresholds behind the labels come from training rows only. Inputs are weighted and
+    scaled once per fold, since the grid only touches the trees.
     """
-    flagged = derived_flags(events).select(*MODEL_INPUTS, "score")
-    train_events, test_events = train_test_split(flagged, seed=seed)
-    thresholds = checkpointed(score_thresholds(train_events, percentile))
-    train = label_by_threshold(train_events, thresholds)
-    test = label_by_threshold(test_events, thresholds)
-
-    features = supervised_feature_pipeline(
-        vocab_size=vocab_size, min_doc_freq=min_doc_freq, min_token_length=min_token_length
-    )
-    trees = GBTClassifier(featuresCol="features", labelCol="label", seed=seed)
-    grid = (
-        ParamGridBuilder()
-        .addGrid(trees.maxDepth, list(depths))
-        .addGrid(trees.maxIter, list(iterations))
-        .build()
-    )
-    area = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
+    learn, judge = train_test_split(terms, seed=seed)
+    thresholds = checkpointed(score_thresholds(learn, percentile))
+    learn, judge = label_by_threshold(learn, thresholds), label_by_threshold(judge, thresholds)
+    inputs = Pipeline(stages=input_stages())
+    trees = GBTClassifier(featuresCol=INPUT, labelCol="label", seed=seed)
+    grid = ParamGridBuilder().addGrid(trees.maxDepth, list(depths)).addGrid(trees.maxIter, list(iterations)).build()
 
     totals = [0.0] * len(grid)
     fold = hash_bucket(cv_folds, seed + 1)
     for i in range(cv_folds):
-        fit_rows, held_out = train.filter(fold != i), train.filter(fold == i)
-        fitted = features.fit(fit_rows)
-        # Every grid point reads these several times; files spare the text work.
+        fit_rows, held_out = learn.filter(fold != i), learn.filter(fold == i)
+        fitted = inputs.fit(fit_rows)
+        # Every grid point reads these several times.
         with (
-            staged(fitted.transform(fit_rows).select("features", "label"), f"cv{i}_fit") as fit_set,
-            staged(fitted.transform(held_out).select("features", "label"), f"cv{i}_held") as held_set,
+            staged(fitted.transform(fit_rows).select(INPUT, "label"), f"cv{i}_fit") as fit_set,
+            staged(fitted.transform(held_out).select(INPUT, "label"), f"cv{i}_held") as held_set,
             ThreadPoolExecutor(max_workers=parallelism) as pool,
         ):
 
             def measure(params, fit_set=fit_set, held_set=held_set):
-                return area.evaluate(trees.fit(fit_set, params).transform(held_set))
+                return _area(trees.fit(fit_set, params).transform(held_set))
 
             totals = [t + m for t, m in zip(totals, pool.map(measure, grid), strict=True)]
     averages = [t / cv_folds for t in totals]
     best = max(range(len(grid)), key=averages.__getitem__)
 
-    fitted = features.fit(train)
-    with staged(fitted.transform(train).select("features", "label"), "engagement_fit") as train_set:
-        model = PipelineModel([*fitted.stages, trees.fit(train_set, grid[best])])
-    return model, {**area_metrics(model.transform(test)), "best_avg_metric": averages[best]}
+    fitted = inputs.fit(learn)
+    with staged(fitted.transform(learn).select(INPUT, "label"), "engagement_fit") as fit_set:
+        model = PipelineModel([*fitted.stages, trees.fit(fit_set, grid[best])])
+    return model, {**area_metrics(model.transform(judge)), "best_avg_metric": averages[best]}
+
+
+def train_engagement(
+    events: DataFrame, *, vocab_size: int, min_doc_freq: int, min_token_length: int = 3, **settings
+) -> tuple[PipelineModel, dict[str, float]]:
+    """:func:`fit_engagement` on events of its own; the model scores events."""
+    counter = term_counter(
+        events, vocab_size=vocab_size, min_doc_freq=min_doc_freq, min_token_length=min_token_length
+    )
+    with staged(with_terms(counter, derived_flags(events), *NEEDED), "engagement_terms") as terms:
+        model, measured = fit_engagement(terms, **settings)
+    return PipelineModel([*counter.stages, *model.stages]), measured
+
+
+def _area(predictions: DataFrame) -> float:
+    """The exact area under the ROC curve; 0 where a fold lacks one of the labels, so that it favours no grid point."""
+    scored = predictions.select(vector_to_array("rawPrediction")[1].alias("score"), "label")
+    return metrics.area_under_roc(scored).first()[0] or 0.0
 
 
 def area_metrics(predictions: DataFrame) -> dict[str, float]:
     """Areas under the ROC and the precision-recall curve."""
-    narrow = predictions.select("rawPrediction", "label").persist(StorageLevel.MEMORY_AND_DISK)
-    evaluator = BinaryClassificationEvaluator(labelCol="label")
-    try:
-        return {
-            name: float(evaluator.setMetricName(name).evaluate(narrow))
-            for name in ("areaUnderROC", "areaUnderPR")
-        }
-    finally:
-        narrow.unpersist()
+    with staged(predictions.select("rawPrediction", "label"), "predictions") as narrow:
+        precision = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderPR")
+        return {"areaUnderROC": _area(narrow), "areaUnderPR": float(precision.evaluate(narrow))}
 
 
 PREDICTION_COLUMNS = [

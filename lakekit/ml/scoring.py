@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakekit.ml.engagement import PREDICTION_COLUMNS, with_engagement
-from lakekit.ml.features import MODEL_INPUTS
+from lakekit.ml.features import FLAG_INPUTS, NUMERIC_INPUTS, TERMS, with_terms
 from lakekit.ml.sentiment import with_sentiment
 from lakekit.ml.topics import ASSIGNMENT_COLUMNS, with_topics
 from lakekit.operators.labels import derived_flags
+from lakekit.schema import EVENT_KEYS
 
+TERM_COUNTER = "term_counter"
 TOPIC_MODEL = "topic_lda"
 SENTIMENT_MODEL = "sentiment_classifier"
 ENGAGEMENT_MODEL = "engagement_classifier"
@@ -24,6 +26,35 @@ _SCORES = {
 }
 
 
+def _with_scores(rows: DataFrame, inputs: list[str], models: dict[str, PipelineModel]) -> DataFrame:
+    """One narrow row per event with the results of all models.
+
+    Models share names of inner columns, so each step keeps only what later steps read.
+    """
+    kept = [*EVENT_KEYS, *inputs, *_EVENT_COLUMNS]
+    results = []
+    for add, name, found in (
+        (with_topics, TOPIC_MODEL, ["dominant_topic", "topic_confidence"]),
+        (with_sentiment, SENTIMENT_MODEL, ["sentiment_label"]),
+        (with_engagement, ENGAGEMENT_MODEL, ["is_high_engagement", "engagement_probability"]),
+    ):
+        results += found
+        rows = add(models[name], rows.select(*kept)).select(*kept, *found)
+        kept = [*kept, *found]
+    return rows.select(*EVENT_KEYS, *_EVENT_COLUMNS, *results)
+
+
+def score_terms(terms: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
+    """Scores of a term-vector table by the three models that start from term vectors."""
+    return _with_scores(terms, [TERMS, *NUMERIC_INPUTS, *FLAG_INPUTS], models)
+
+
+def term_table(counter: PipelineModel, events: DataFrame) -> DataFrame:
+    """The term-vector table that all fits and scores stand on: the one place where text is read."""
+    columns = [*NUMERIC_INPUTS, *FLAG_INPUTS, "sentiment_source", *_EVENT_COLUMNS]
+    return with_terms(counter, derived_flags(events), *columns)
+
+
 def score_once(
     events: DataFrame,
     *,
@@ -31,22 +62,13 @@ def score_once(
     sentiment_model: PipelineModel,
     engagement_model: PipelineModel,
 ) -> DataFrame:
-    """One narrow row per event with the results of all models.
-
-    The models use the same names for their inner columns, so each step keeps
-    only what later steps read.
-    """
-    kept = [*MODEL_INPUTS, *_EVENT_COLUMNS]
-    scored = derived_flags(events).select(*kept)
-    for add, model, results in (
-        (with_topics, topic_model, ["dominant_topic", "topic_confidence"]),
-        (with_sentiment, sentiment_model, ["sentiment_label"]),
-        (with_engagement, engagement_model, ["is_high_engagement", "engagement_probability"]),
-    ):
-        kept = [*kept, *results]
-        scored = add(model, scored).select(*kept)
-    results = [c for c in kept if c not in MODEL_INPUTS or c in ("topic", "event_id")]
-    return scored.select(*results)
+    """Scores of events by models that start from text, each fitted on its own."""
+    models = {
+        TOPIC_MODEL: topic_model,
+        SENTIMENT_MODEL: sentiment_model,
+        ENGAGEMENT_MODEL: engagement_model,
+    }
+    return _with_scores(derived_flags(events), ["text", *NUMERIC_INPUTS, *FLAG_INPUTS], models)
 
 
 def split_scores(scored: DataFrame) -> dict[str, DataFrame]:

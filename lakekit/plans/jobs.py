@@ -6,11 +6,12 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from lakekit.ml import engagement, models, scoring, sentiment, topics
+from lakekit.ml import engagement, features, models, scoring, sentiment, topics
 from lakekit.operators import gold
 from lakekit.operators.lookup import join_lookup
 from lakekit.operators.quality import (
@@ -29,7 +30,7 @@ from lakekit.operators.quality import (
 )
 from lakekit.operators.silver import to_events
 from lakekit.plans.views import gold_views, register_views
-from lakekit.schema import COMMENT, EVENT_KEYS, EVENT_SCHEMA, POST, TOPIC_TERMS_SCHEMA
+from lakekit.schema import COMMENT, EVENT_KEYS, EVENT_SCHEMA, POST
 from lakekit.session import checkpointed, staged
 from lakekit.sources import versions
 from lakekit.sources.batches import (
@@ -354,70 +355,70 @@ def train_job(
     model_dir: str,
     settings: ModelSettings = ModelSettings(),
 ) -> dict[str, dict]:
-    """Fit and save the three models, then score the events with them."""
+    """Fit and save the three models, then score the events with them.
+
+    The text is split into words for the vocabulary and for the table of term vectors, each once; the fits
+    and the scores read the stored vectors.
+    """
     events = read_events(spark, events_path)
-    topic_model, terms = topics.train_topic_model(
-        events,
-        k=settings.topic_count,
-        vocab_size=settings.vocab_size,
-        min_token_length=settings.min_token_length,
-        min_doc_freq=settings.min_doc_freq,
-        max_iter=settings.topic_max_iterations,
-        seed=settings.seed,
-    )
-    sentiment_model, sentiment_metrics = sentiment.train_sentiment(
+    counter = features.term_counter(
         events,
         vocab_size=settings.vocab_size,
-        min_doc_freq=settings.min_doc_freq,
         min_token_length=settings.min_token_length,
-        seed=settings.seed,
-    )
-    engagement_model, engagement_metrics = engagement.train_engagement(
-        events,
-        vocab_size=settings.vocab_size,
         min_doc_freq=settings.min_doc_freq,
-        min_token_length=settings.min_token_length,
-        percentile=settings.engagement_percentile,
-        cv_folds=settings.cv_folds,
-        depths=settings.tree_depths,
-        iterations=settings.tree_iterations,
-        seed=settings.seed,
     )
-    fitted = {
-        scoring.TOPIC_MODEL: topic_model,
-        scoring.SENTIMENT_MODEL: sentiment_model,
-        scoring.ENGAGEMENT_MODEL: engagement_model,
-    }
-    for name, model in fitted.items():
-        version = models.save_model(model, model_dir, name)
-        models.set_alias(spark, model_dir, name, models.CHAMPION, version)
-    # k rows of a few terms each.
-    terms_frame = spark.createDataFrame(terms, TOPIC_TERMS_SCHEMA)
-    write_path(terms_frame, f"{gold_dir}/topic_terms")
-    score_job(spark, events_path=events_path, gold_dir=gold_dir, model_dir=model_dir)
+    with staged(scoring.term_table(counter, events), "terms") as terms:
+        lda = topics.fit_topics(
+            terms, k=settings.topic_count, max_iter=settings.topic_max_iterations, seed=settings.seed
+        )
+        sentiment_model, sentiment_metrics = sentiment.fit_sentiment(terms, seed=settings.seed)
+        engagement_model, engagement_metrics = engagement.fit_engagement(
+            terms,
+            percentile=settings.engagement_percentile,
+            cv_folds=settings.cv_folds,
+            depths=settings.tree_depths,
+            iterations=settings.tree_iterations,
+            seed=settings.seed,
+        )
+        fitted = {
+            scoring.TERM_COUNTER: counter,
+            scoring.TOPIC_MODEL: PipelineModel([lda]),
+            scoring.SENTIMENT_MODEL: sentiment_model,
+            scoring.ENGAGEMENT_MODEL: engagement_model,
+        }
+        for name, model in fitted.items():
+            version = models.save_model(model, model_dir, name)
+            models.set_alias(spark, model_dir, name, models.CHAMPION, version)
+        write_path(topics.topic_terms(counter, lda), f"{gold_dir}/topic_terms")
+        _write_scores(spark, terms, fitted, gold_dir)
     return {"sentiment": sentiment_metrics, "engagement": engagement_metrics}
 
 
+def _write_scores(
+    spark: SparkSession, terms: DataFrame, fitted: dict[str, PipelineModel], gold_dir: str
+) -> None:
+    """All scores go to one narrow staged table, from which the gold tables are cut."""
+    with staged(scoring.score_terms(terms, fitted), "scores") as narrow:
+        for name, df in scoring.split_scores(narrow).items():
+            write_path(df, f"{gold_dir}/{name}")
+    _model_gold(spark, gold_dir)
+
+
 def score_job(spark: SparkSession, *, events_path: str, gold_dir: str, model_dir: str) -> None:
     """Score the events with the models named champion and refresh the gold tables.
 
-    The text is read once: all scores go to one narrow staged table, from which
-    the gold tables are cut.
+    The three models were fitted on the vectors of one counting model, which is named champion with them.
     """
-    loaded = {
-        name: models.load_model(spark, model_dir, name)
-        for name in (scoring.TOPIC_MODEL, scoring.SENTIMENT_MODEL, scoring.ENGAGEMENT_MODEL)
-    }
-    scored = scoring.score_once(
-        read_events(spark, events_path),
-        topic_model=loaded[scoring.TOPIC_MODEL],
-        sentiment_model=loaded[scoring.SENTIMENT_MODEL],
-        engagement_model=loaded[scoring.ENGAGEMENT_MODEL],
+    names = (
+        scoring.TERM_COUNTER,
+        scoring.TOPIC_MODEL,
+        scoring.SENTIMENT_MODEL,
+        scoring.ENGAGEMENT_MODEL,
     )
-    with staged(scored, "scores") as narrow:
-        for name, df in scoring.split_scores(narrow).items():
-            write_path(df, f"{gold_dir}/{name}")
-    _model_gold(spark, gold_dir)
+    loaded = {name: models.load_model(spark, model_dir, name) for name in names}
+    table = scoring.term_table(loaded[scoring.TERM_COUNTER], read_events(spark, events_path))
+    with staged(table, "terms") as terms:
+        _write_scores(spark, terms, loaded, gold_dir)
 
 
 GOLD_TABLES = [

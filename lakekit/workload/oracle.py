@@ -430,6 +430,13 @@ _STOPPED = "', '".join(w.replace("'", "''") for w in STOP_WORDS.split())
 _TOKENS = "list_distinct(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda t: length(t) >= 3))"
 
 
+_ALL_TOKENS = "list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda t: length(t) >= 3)"
+
+
+def _bucket(buckets: int, seed: int) -> str:
+    return f"CAST(concat('0x', substr(md5(concat_ws('|', topic, event_id, '{seed}')), 1, 8)) AS BIGINT) % {buckets}"
+
+
 def _pct(column: str, points: list[float]) -> str:
     return ", ".join(f"quantile_disc({column}, {p}) AS p{round(p * 100):02d}" for p in points)
 
@@ -566,6 +573,42 @@ kept AS (SELECT token, count(*) AS doc_freq FROM words WHERE token NOT IN ('{_ST
 SELECT token, doc_freq,
        round(ln(((SELECT count(*) FROM documents) + 1.0::DOUBLE) / (doc_freq + 1.0::DOUBLE)), 9) AS idf
 FROM kept WHERE doc_freq >= 5""",
+        "class_metrics": f"""WITH {SENTIMENT},
+judged AS (
+  SELECT sentiment_label AS label, CASE WHEN score > 20 THEN 'positive' WHEN score < 0 THEN 'negative'
+         ELSE 'neutral' END AS prediction FROM post_sentiment
+),
+classes AS (
+  SELECT c.label, count(*) FILTER (j.label = c.label) AS has, count(*) FILTER (j.prediction = c.label) AS given,
+         count(*) FILTER (j.label = c.label AND j.prediction = c.label) AS hit
+  FROM (SELECT unnest(['positive', 'neutral', 'negative']) AS label) c CROSS JOIN judged j GROUP BY c.label
+)
+SELECT round(sum(2.0::DOUBLE * hit / (has + given) * has) / sum(has), 9) AS f1,
+       round(CAST(sum(hit) AS DOUBLE) / sum(has), 9) AS accuracy FROM classes""",
+        "ranking_metrics": f"""WITH {ENGAGEMENT},
+judged AS (SELECT l.label, s.text_length AS x FROM labelled l JOIN silver s USING (topic, event_id)),
+ranked AS (SELECT label, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0::DOUBLE AS r FROM judged)
+SELECT round((sum(r) FILTER (label = 1) - count(*) FILTER (label = 1) * (count(*) FILTER (label = 1) + 1) / 2.0::DOUBLE)
+  / (count(*) FILTER (label = 1) * count(*) FILTER (label = 0)), 9) AS area_under_roc FROM ranked""",
+        "split_rows": f"""WITH {SILVER}
+SELECT topic, event_id, {_bucket(100, 42)} < 80 AS learns, {_bucket(3, 43)} AS fold FROM silver""",
+        "vocabulary": f"""WITH words AS (SELECT rowid AS doc, unnest({_ALL_TOKENS}) AS token FROM
+  (SELECT text, row_number() OVER () AS rowid FROM documents))
+SELECT token, count(DISTINCT doc) AS doc_freq, count(*) AS total FROM words
+WHERE token NOT IN ('{_STOPPED}') GROUP BY token HAVING count(DISTINCT doc) >= 5""",
+        "term_vectors": f"""WITH {SILVER},
+words AS (SELECT topic, event_id, unnest({_ALL_TOKENS}) AS token FROM silver),
+kept AS (SELECT * FROM words WHERE token NOT IN ('{_STOPPED}')),
+known AS (
+  SELECT token FROM (SELECT token, count(*) AS n, count(DISTINCT (topic, event_id)) AS d FROM kept GROUP BY token)
+  WHERE d >= 5 ORDER BY n DESC, token LIMIT 20000
+),
+counts AS (
+  SELECT topic, event_id, count(DISTINCT token) AS d, count(*) AS n FROM kept
+  WHERE token IN (SELECT token FROM known) GROUP BY topic, event_id
+)
+SELECT topic, event_id, CAST(coalesce(d, 0) AS INTEGER) AS n_distinct, coalesce(n, 0) AS n_words
+FROM silver LEFT JOIN counts USING (topic, event_id)""",
         "scaled_features": f"""WITH {_FLAGGED}, s AS (SELECT {_MOMENTS} FROM flagged)
 SELECT f.topic, f.event_id, {_SCALED} FROM flagged f CROSS JOIN s""",
         "job_silver": f"WITH {LAKE} SELECT * FROM silver",

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakekit.functions.text import clean_text, tokens, word_count
-from lakekit.ml import engagement, features, models, scoring, sentiment, topics
+from lakekit.ml import engagement, features, metrics, models, scoring, sentiment, topics
 from lakekit.operators import gold, labels, profile, quality, silver
 from lakekit.plans import jobs, tiles, views
-from lakekit.schema import EVENT_KEYS, TOPIC_TERMS_SCHEMA
+from lakekit.schema import EVENT_KEYS
 from lakekit.session import configure, shared_folder, stage, staged
 from lakekit.sources import batches, bronze, tables
 from lakekit.workload import frames
@@ -436,13 +436,59 @@ def scaled_features(spark, sf_dir):
     """Structured features after centring and scaling, one column each."""
     events = labels.derived_flags(frames.silver_events(spark, sf_dir))
     inputs = events.select(*EVENT_KEYS, *features.NUMERIC_INPUTS, *features.FLAG_INPUTS)
-    model = Pipeline(stages=features.structured_feature_stages()).fit(inputs)
-    scaled = model.transform(inputs).withColumn("v", vector_to_array("structured_features"))
+    model = Pipeline(stages=features.number_stages()).fit(inputs)
+    scaled = model.transform(inputs).withColumn("v", vector_to_array("scaled_numbers"))
     names = features.NUMERIC_INPUTS + features.FLAG_INPUTS
     columns = [F.round(F.col("v")[i], 6).alias(name) for i, name in enumerate(names)]
     return scaled.select(*EVENT_KEYS, *columns)
 
 
+@query
+def class_metrics(spark, sf_dir):
+    """f1 and accuracy of a rule that goes by the score alone, against the weak labels."""
+    labelled = labels.weak_sentiment(frames.silver_events(spark, sf_dir)).select("score", "sentiment_label")
+    by_score = "CASE WHEN score > 20 THEN 'positive' WHEN score < 0 THEN 'negative' ELSE 'neutral' END"
+    judged = labelled.select(F.col("sentiment_label").alias("label"), F.expr(by_score).alias("prediction"))
+    return _rounded(_rounded(metrics.class_metrics(judged), "f1"), "accuracy")
+
+
+@query
+def ranking_metrics(spark, sf_dir):
+    """How well the length of a text tells the top of its topic's scores."""
+    labelled = engagement_label(spark, sf_dir).join(
+        frames.narrow_events(spark, sf_dir).select(*EVENT_KEYS, "text_length"), EVENT_KEYS
+    )
+    return _rounded(metrics.area_under_roc(labelled, "text_length"), "area_under_roc")
+
+
+@query
+def split_rows(spark, sf_dir):
+    """On which side of the split, and in which fold, each event is."""
+    events = frames.silver_events(spark, sf_dir)
+    bucket, fold = features.hash_bucket(100, SETTINGS.seed), features.hash_bucket(SETTINGS.cv_folds, SETTINGS.seed + 1)
+    return events.select(*EVENT_KEYS, (bucket < 80).alias("learns"), fold.alias("fold"))
+
+
+@query
+def vocabulary(spark, sf_dir):
+    """The table behind the term vectors: words, texts that hold them, occurrences."""
+    docs = frames.texts(spark, sf_dir, "documents", "text")
+    return features.vocabulary(docs, min_doc_freq=SETTINGS.min_doc_freq)
+
+
+@query
+def term_vectors(spark, sf_dir):
+    """Term vectors as the models see them: how many known words an event has, distinct and in all."""
+    events = frames.silver_events(spark, sf_dir)
+    settings = {"min_token_length": SETTINGS.min_token_length, "min_doc_freq": SETTINGS.min_doc_freq}
+    events = stage(events.select(*EVENT_KEYS, "text"), "texts")
+    counter = features.term_counter(events, vocab_size=SETTINGS.vocab_size, **settings)
+    counts = F.filter(vector_to_array(features.TERMS), lambda n: n > 0)
+    counted = features.with_terms(counter, events).withColumn("counts", counts)
+    total = F.aggregate("counts", F.lit(0.0), lambda a, n: a + n)
+    return counted.select(*EVENT_KEYS, F.size("counts").alias("n_distinct"), total.cast("long").alias("n_words"))
+
+
 # --- jobs --------------------------------------------------------------------
 
 
@@ -567,7 +613,7 @@ def _topic_model(spark, sf_dir):
 @query
 def lda_terms(spark, sf_dir):
     _, _, terms = _topic_model(spark, sf_dir)
-    return spark.createDataFrame(terms, TOPIC_TERMS_SCHEMA)
+    return terms
 
 
 @query

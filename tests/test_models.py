@@ -1,39 +1,49 @@
+import random
+
 import pytest
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import StopWordsRemover
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from lakekit.ml import engagement, features, models, scoring, sentiment, topics
+from lakekit.ml import engagement, features, metrics, models, scoring, sentiment, topics
 from lakekit.ml.features import hash_bucket, train_test_split
 from lakekit.operators.labels import derived_flags
+from lakekit.plans import jobs
+from lakekit.schema import EVENT_KEYS
+from lakekit.sources.tables import upsert
 
 
-def test_text_stages_drop_stop_words(spark):
-    df = spark.createDataFrame([("the model and the data",), ("data about models",)], "text string")
-    stages = features.text_feature_stages(vocab_size=50, min_doc_freq=1)
-    out = Pipeline(stages=stages).fit(df).transform(df).select("filtered_tokens", "tf_idf")
-    words = [r["filtered_tokens"] for r in out.collect()]
-    assert words == [["model", "data"], ["data", "models"]]
-    assert not set(sum(words, [])) & set(StopWordsRemover.loadDefaultStopWords("english"))
-
-
-def test_structured_features_are_centred(events):
+def test_term_counter_drops_stop_words_and_breaks_ties_by_name(spark):
+    df = spark.createDataFrame(
+        [("t", "1", "the model and the data"), ("t", "2", "Data, about models; model's data"), ("t", "3", None)],
+        "topic string, event_id string, text string",
+    )
+    counter = features.term_counter(df, vocab_size=50, min_doc_freq=1)
+    assert counter.stages[-1].vocabulary == ["data", "model", "models"]
+    rows = features.with_terms(counter, df).orderBy("event_id").collect()
+    assert [r[features.TERMS].toArray().tolist() for r in rows] == [[1, 1, 0], [2, 1, 1], [0, 0, 0]]
+    assert features.term_counter(df, vocab_size=1, min_doc_freq=1).stages[-1].vocabulary == ["data"]
+    nothing = features.term_counter(df, vocab_size=5, min_doc_freq=9)
+    assert features.with_terms(nothing, df).first()[features.TERMS].size == 1
+    known = {r["token"]: (r["doc_freq"], r["total"]) for r in features.vocabulary(df, min_doc_freq=1).collect()}
+    assert known == {"data": (2, 3), "model": (2, 2), "models": (1, 1)}
+    assert not set(known) & set(features.stop_words())
+
+
+def test_numbers_are_centred(events):
     inputs = derived_flags(events)
-    fitted = Pipeline(stages=features.structured_feature_stages()).fit(inputs)
-    arrays = fitted.transform(inputs).select(vector_to_array("structured_features").alias("v"))
+    fitted = Pipeline(stages=features.number_stages()).fit(inputs)
+    arrays = fitted.transform(inputs).select(vector_to_array("scaled_numbers").alias("v"))
     means = arrays.select(*[F.avg(F.col("v")[i]) for i in range(7)]).first()
     assert all(abs(m) < 1e-9 for m in means)
 
 
-def test_supervised_pipeline_indexes_a_label(events):
-    labelled = derived_flags(events).withColumn("kind", F.col("event_type"))
-    pipeline = features.supervised_feature_pipeline(
-        vocab_size=50, min_doc_freq=1, label_index_input="kind"
-    )
-    out = pipeline.fit(labelled).transform(labelled)
-    assert out.select("label").distinct().count() == 2
-    assert out.first()["features"].size > 7
+def test_input_holds_words_and_numbers(events):
+    counter = features.term_counter(events, vocab_size=50, min_doc_freq=1)
+    terms = features.with_terms(counter, derived_flags(events), *features.NUMERIC_INPUTS, *features.FLAG_INPUTS)
+    out = Pipeline(stages=features.input_stages()).fit(terms).transform(terms)
+    assert "text" not in out.columns and out.first()[features.INPUT].size == len(counter.stages[-1].vocabulary) + 7
 
 
 def test_split_does_not_depend_on_layout(events):
@@ -61,9 +71,15 @@ def topic_model(events):
 
 
 def test_topics(spark, events, topic_model):
-    model, terms = topic_model
+    model, frame = topic_model
+    terms = sorted(map(tuple, frame.collect()))
+    assert frame.columns == ["topic_id", "terms", "term_weights", "label"]
     assert [t[0] for t in terms] == [0, 1, 2]
     assert all(len(t[1]) == len(t[2]) == 10 and t[3] == ", ".join(t[1][:4]) for t in terms)
+    assert all(t[2] == sorted(t[2], reverse=True) for t in terms)
+    described = {r["topic"]: r["termIndices"] for r in model.stages[-1].describeTopics(10).collect()}
+    words = model.stages[-2].vocabulary
+    assert {t[0]: t[1] for t in terms} == {k: [words[i] for i in v] for k, v in described.items()}
     assigned = topics.assign_topics(model, events)
     assert assigned.count() == events.count()
     assert assigned.filter("dominant_topic NOT BETWEEN 0 AND 2").isEmpty()
@@ -97,12 +113,51 @@ def test_sentiment(events):
 
 
 def test_class_metrics(spark):
-    pairs = [(0.0, 0.0)] * 3 + [(1.0, 0.0)] + [(1.0, 1.0)] * 4
+    pairs = [(0.0, 0.0)] * 3 + [(1.0, 0.0)] + [(1.0, 1.0)] * 4 + [(0.0, 2.0)] + [(None, 1.0)]
     df = spark.createDataFrame(pairs, "label double, prediction double")
-    got = sentiment.class_metrics(df)
-    assert got["accuracy"] == pytest.approx(7 / 8)
-    f1_zero, f1_one = 2 * 3 / (2 * 3 + 1), 2 * 4 / (2 * 4 + 1)
-    assert got["f1"] == pytest.approx((3 * f1_zero + 5 * f1_one) / 8)
+    got = metrics.class_metrics(df).first().asDict()
+    known = df.filter("label IS NOT NULL")
+    for name in ("f1", "accuracy"):
+        own = MulticlassClassificationEvaluator(metricName=name).evaluate(known)
+        assert got[name] == pytest.approx(own)
+    assert metrics.class_metrics(df.limit(0)).first()["f1"] is None
+
+
+def test_area_under_roc(spark):
+    draw = random.Random(7)
+    rows = [(round(draw.gauss(i % 4 == 0, 1), 1), float(i % 4 == 0)) for i in range(3000)] + [(None, 1.0), (0.5, None)]
+    df = spark.createDataFrame(rows, "score double, label double")
+    ones = [s for s, y in rows if y == 1 and s is not None]
+    zeros = [s for s, y in rows if y == 0]
+    want = sum((a > b) + (a == b) / 2 for a in ones for b in zeros) / len(ones) / len(zeros)
+    assert metrics.area_under_roc(df).first()[0] == pytest.approx(want)
+    raw = df.filter("score IS NOT NULL AND label IS NOT NULL").withColumnRenamed("score", "rawPrediction")
+    own = BinaryClassificationEvaluator(numBins=0).evaluate(raw)
+    assert metrics.area_under_roc(df).first()[0] == pytest.approx(own, abs=1e-4)
+    assert metrics.area_under_roc(df.filter("label = 1")).first()[0] is None
+
+
+def test_text_is_split_once_for_fits_and_scores(spark, events, tmp_path, monkeypatch):
+    """One counting model; all fits and all scores read its vectors."""
+    seen = []
+    split = features.RegexTokenizer._transform
+    monkeypatch.setattr(features.RegexTokenizer, "_transform", lambda s, df: seen.append(1) or split(s, df))
+    path, gold_dir, model_dir = (str(tmp_path / n) for n in ("events", "gold", "models"))
+    upsert(events, path, EVENT_KEYS, partition_by=jobs.EVENT_PARTITIONS)
+    settings = jobs.ModelSettings(topic_count=2, topic_max_iterations=2, vocab_size=40, min_doc_freq=1,
+                                  cv_folds=2, tree_depths=(2,), tree_iterations=(2,))
+    jobs.train_job(spark, events_path=path, gold_dir=gold_dir, model_dir=model_dir, settings=settings)
+    assert len(seen) == 1
+    trained = {n: sorted(map(str, spark.read.parquet(f"{gold_dir}/{n}").collect())) for n in scoring._SCORES}
+    jobs.score_job(spark, events_path=path, gold_dir=gold_dir, model_dir=model_dir)
+    assert {n: sorted(map(str, spark.read.parquet(f"{gold_dir}/{n}").collect())) for n in scoring._SCORES} == trained
+    counter = models.load_model(spark, model_dir, scoring.TERM_COUNTER)
+    table = scoring.term_table(counter, events)
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("UDF(UDF(UDF(coalesce(text") == plan.count("UDF(UDF(") == 1
+    fitted = {n: models.load_model(spark, model_dir, n) for n in (scoring.TOPIC_MODEL, scoring.SENTIMENT_MODEL, scoring.ENGAGEMENT_MODEL)}
+    narrow = scoring.score_terms(spark.createDataFrame(table.collect(), table.schema), fitted)
+    assert "text#" not in narrow._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_one_pass_scores_equal_separate_scores(events, topic_model):

@@ -42,7 +42,7 @@ def test_fits_use_the_defaults(spark, monkeypatch, name, module, function, want)
 
     monkeypatch.setattr(getattr(queries, module), function, caught)
     monkeypatch.setattr(queries, "stage", lambda df, _: df)
-    monkeypatch.setattr(queries, "_landed_lake", lambda *_: {"bronze_dir": "", "gold_dir": ""})
+    monkeypatch.setattr(queries, "_landed_lake", lambda *_: dict.fromkeys(["events_path", "gold_dir", "model_dir"], ""))
     monkeypatch.setattr(queries.frames, "post_events", lambda *_: None)
     monkeypatch.setattr(queries.frames, "silver_events", lambda *_: None)
     with pytest.raises(Stopped):

@@ -62,10 +62,10 @@ def test_clean_text_law(spark, values):
 
 
 def test_tokens_match_the_tokenizer_stage(spark):
-    from lakekit.ml.features import bag_of_words_stages
+    from lakekit.ml.features import term_counter
 
     df = spark.createDataFrame([("The café's 3 big-Queries, ok?",), ("",), ("x yy zzz",)], "text string")
-    tokenizer = bag_of_words_stages()[0]
-    rows = tokenizer.transform(df).select("tokens", tokens(F.col("text")).alias("mine")).collect()
-    assert [r["tokens"] for r in rows] == [r["mine"] for r in rows]
+    tokenizer = term_counter(df, vocab_size=5, min_doc_freq=1).stages[0]
+    rows = tokenizer.transform(df).select("words", tokens(F.col("text")).alias("mine")).collect()
+    assert [r["words"] for r in rows] == [r["mine"] for r in rows]
     assert rows[0]["mine"] == ["the", "caf", "big", "queries"]
