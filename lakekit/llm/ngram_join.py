@@ -16,7 +16,8 @@ mostly stand among others in their groups and what is left are the common keys.
 
 **Bounding.** In a bucket every class is a point: its counts of shingles in ``DIMENSIONS``
 groups. An R-tree holds the points; the overlap of two sets is at most the sum of the
-smaller counts, and for a node the sum over its greatest counts, so whole subtrees fall away.
+smaller counts, and for a node the sum over its greatest counts, so whole subtrees fall away. For
+pairs that the tree leaves the same sum over the parts of the groups, each split further, is a closer bound.
 
 **Verifying.** Pairs that survive are verified with their sets.
 
@@ -45,6 +46,8 @@ SHINGLE_WORDS = 5
 # The limit as a fraction: linked when LIMIT[1] * intersection >= LIMIT[0] * union.
 LIMIT = (4, 5)
 DIMENSIONS = 64
+# Each of these groups is split so often for a closer bound on the pairs that the tree leaves.
+SPLIT = 4
 NODE_ROWS = 16
 # Classes of a bucket that one task holds; larger buckets are searched in pairs of blocks.
 BLOCK_CLASSES = 2048
@@ -132,10 +135,16 @@ def set_ids(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def count_vectors(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The points: how many shingles of each set fall into each of the groups."""
+    """The points: how many shingles of each set fall into each part of the groups."""
     owner = np.repeat(np.arange(len(counts)), counts)
-    cell = owner * DIMENSIONS + (hashes >> np.uint64(58)).astype(np.int64)
-    return np.bincount(cell, minlength=len(counts) * DIMENSIONS).reshape(-1, DIMENSIONS)
+    cells = DIMENSIONS * SPLIT
+    cell = owner * cells + (hashes >> np.uint64(56)).astype(np.int64)
+    return np.bincount(cell, minlength=len(counts) * cells).reshape(-1, cells)
+
+
+def coarse(points: np.ndarray) -> np.ndarray:
+    """The counts in ``DIMENSIONS`` groups, which the tree goes by."""
+    return points.reshape(len(points), DIMENSIONS, SPLIT).sum(axis=2)
 
 
 # --- the R-tree ---------------------------------------------------------------
@@ -200,16 +209,17 @@ def _described(docs: DataFrame) -> DataFrame:
 
 
 def _packed_points(points: np.ndarray) -> list[bytes]:
-    """Two bytes a count where that is enough."""
-    narrow = points.max(axis=1, initial=0) < 1 << 16
-    return [p.astype("<u2" if ok else "<u4").tobytes() for p, ok in zip(points, narrow, strict=True)]
+    """As few bytes a count as are enough."""
+    most = points.max(axis=1, initial=0)
+    kinds = np.where(most < 1 << 8, "<u1", np.where(most < 1 << 16, "<u2", "<u4")).tolist()
+    return [p.astype(kind).tobytes() for p, kind in zip(points, kinds, strict=True)]
 
 
 def _points(packed: list[bytes]) -> np.ndarray:
-    width = 2 * DIMENSIONS
-    if all(len(p) == width for p in packed):
-        return np.frombuffer(b"".join(packed), "<u2").reshape(-1, DIMENSIONS).astype(np.int32)
-    rows = [np.frombuffer(p, "<u2" if len(p) == width else "<u4") for p in packed]
+    cells = DIMENSIONS * SPLIT
+    if all(len(p) == cells for p in packed):
+        return np.frombuffer(b"".join(packed), "<u1").reshape(-1, cells).astype(np.int32)
+    rows = [np.frombuffer(p, f"<u{len(p) // cells}") for p in packed]
     return np.stack(rows).astype(np.int64)
 
 
@@ -424,15 +434,20 @@ def _searched(meetings: DataFrame, classes: DataFrame) -> DataFrame:
         size, comp, cls = (rows[c].to_numpy() for c in ("size", "comp", "cls"))
         own = rows["_own"].to_numpy()
         across = rows["_i"].iat[0] != rows["_j"].iat[0]
-        tree = CountTree(points, size)
-        pairs = []
+        tops = coarse(points)
+        tree = CountTree(tops, size)
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i in range(len(rows)):
-            near = tree.within(points[i], size[i])
+            near = tree.within(tops[i], size[i])
             near = near[(cls[near] > cls[i]) & (comp[near] != comp[i])]
             if across:
                 near = near[own[near] != own[i]]
-            pairs += [(cls[i], c) for c in cls[near]]
-        return pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
+            # The closer bound, over all parts of the groups.
+            bound = np.minimum(points[near], points[i]).sum(axis=1)
+            near = near[bound * (LIMIT[0] + LIMIT[1]) >= LIMIT[0] * (size[i] + size[near])]
+            a.append(np.full(len(near), cls[i]))
+            b.append(cls[near])
+        return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
 
     found = rows.groupBy("bucket", "_i", "_j").applyInPandas(search, "a long, b long")
     return pairs.union(found)
