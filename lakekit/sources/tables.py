@@ -6,6 +6,7 @@ Tables are partitioned parquet, named by path or by catalog name.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,19 +77,43 @@ def write_path(
     spread.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """A table kept in ``number`` parts by a hash of ``columns`` and sorted by them within each."""
+
+    number: int
+    columns: tuple[str, ...]
+
+
 def write_table(
     df: DataFrame,
     name: str,
     *,
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
+    buckets: Buckets | None = None,
+    path: str | None = None,
     comment: str | None = None,
     rebalance: bool = True,
 ) -> None:
-    """A managed parquet table, with an optional comment."""
-    writer = _spread(df, partition_by, rebalance).write.mode(mode).format("parquet")
+    """A parquet table in the catalog, with an optional comment; managed, unless it has a ``path``.
+
+    A join on the columns of ``buckets`` reads the table without a shuffle or a sort of its own.
+    """
+    if buckets is None:
+        spread = _spread(df, partition_by, rebalance, cluster_by)
+    else:
+        # One file a bucket and partition.
+        spread = df.repartition(buckets.number, *buckets.columns)
+    writer = spread.write.mode(mode).format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if buckets is not None:
+        first, *rest = buckets.columns
+        writer = writer.bucketBy(buckets.number, first, *rest).sortBy(first, *rest)
+    if path is not None:
+        writer = writer.option("path", path)
     writer.saveAsTable(name)
     if comment:
         quoted = comment.replace("\\", "\\\\").replace("'", "\\'")

@@ -624,6 +624,15 @@ SELECT topic, created_dow, created_hour, count(*) AS event_count, avg(score) AS
 FROM silver GROUP BY topic, created_dow, created_hour""",
         "job_gold_batches": f"""WITH silver AS ({UPSERT}),{summary('silver')} SELECT * FROM summary""",
     }
+    # The same results by other ways.
+    for name, same in {
+        "upsert_named": "upsert",
+        "sql_volume_trend": "tile_02",
+        "sql_activity_heatmap": "tile_04",
+        "sql_sentiment_trend": "tile_07",
+        "sql_sentiment_mix": "tile_08",
+    }.items():
+        sql[name] = sql[same]
     for name, rule in zip(_DQ_NAMES, _dq(True), strict=True):
         sql[name] = f"WITH {TIMED}{rule}"
     return sql

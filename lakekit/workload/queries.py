@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lakekit.functions.text import clean_text, tokens, word_count
 from lakekit.ml import engagement, features, metrics, models, scoring, sentiment, topics
 from lakekit.operators import gold, labels, profile, quality, silver
-from lakekit.plans import jobs, tiles, views
+from lakekit.plans import jobs, sql, tiles, views
 from lakekit.schema import EVENT_KEYS
 from lakekit.session import configure, shared_folder, stage, staged
 from lakekit.sources import batches, bronze, tables
@@ -90,6 +90,23 @@ def _upsert_sides(spark, sf_dir):
     return frames.post_events(spark, sf_dir), source
 
 
+def _named_table(spark, df: DataFrame, name: str, **layout) -> str:
+    """A catalog table of its own, with its files in the shared folder."""
+    full = f"{name}_{uuid.uuid4().hex}"
+    path = _run_folder(spark, name)
+    tables.write_table(df, full, path=path, comment=f"{name} of one run", **layout)
+    return full
+
+
+@query
+def upsert_named(spark, sf_dir):
+    """The upsert against a table that is kept in buckets by the event key."""
+    stored, source = _upsert_sides(spark, sf_dir)
+    layout = tables.Buckets(int(spark.conf.get("spark.sql.shuffle.partitions")), tuple(EVENT_KEYS))
+    name = _named_table(spark, stored, "events", buckets=layout)
+    return tables.merge_rows(tables.read_table(spark, name), stage(source, "source"), EVENT_KEYS)
+
+
 @query
 def layout_rewrite(spark, sf_dir):
     path = _run_folder(spark, "layout")
@@ -299,6 +316,27 @@ def tile_10(spark, sf_dir):
     return tiles.probability_vs_score(view_engagement_summary(spark, sf_dir))
 
 
+def _sql_tile(name: str, table: str, frame: Callable, columns: tuple = (), **parameters) -> Query:
+    """A tile by SQL text alone: gold in a named table, the view stored over it."""
+
+    def run(spark, sf_dir):
+        named = {table: _named_table(spark, frame(spark, sf_dir), table)}
+        stored = sql.create_views(spark, named, prefix=f"v_{uuid.uuid4().hex}_")
+        df = sql.tile(spark, name, stored, **parameters)
+        for column in columns:
+            df = _rounded(df, column)
+        return df
+
+    run.__name__ = f"sql_{name}"
+    return query(run)
+
+
+_sql_tile("volume_trend", "daily_activity", lambda *a: daily_activity(*a), as_of=AS_OF)
+_sql_tile("activity_heatmap", "hourly_activity", lambda *a: hourly_activity(*a))
+_sql_tile("sentiment_trend", "post_sentiment", frames.post_sentiment, ("net_sentiment",), as_of=AS_OF)
+_sql_tile("sentiment_mix", "post_sentiment", frames.post_sentiment)
+
+
 # --- data quality ------------------------------------------------------------
 
 

@@ -11,7 +11,9 @@ from pyspark.sql.types import StructType
 
 from lakekit.session import shared_folder, stage, staged
 from lakekit.sources.bronze import add_lineage, bronze_frames, read_optional
+from lakekit.plans import sql, views
 from lakekit.sources.tables import (
+    Buckets,
     clustered,
     merge_rows,
     read_parquet,
@@ -153,6 +155,44 @@ def test_tables_by_name(spark):
     spark.sql("DROP TABLE lakekit_t")
 
 
+def test_bucketed_table_joins_without_a_shuffle_of_its_own(spark, tmp_path):
+    df = spark.range(2000).selectExpr("id % 7 AS t", "id AS k", "id * 2 AS v")
+    spark.sql("DROP TABLE IF EXISTS lakekit_b")
+    write_table(df, "lakekit_b", buckets=Buckets(4, ("t", "k")), path=str(tmp_path / "b"))
+    source = spark.range(1990, 2010).selectExpr("id % 7 AS t", "id AS k", "-id AS v")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        merged = merge_rows(read_table(spark, "lakekit_b"), source, ["t", "k"])
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+        got = {r["k"]: r["v"] for r in merged.collect()}
+        assert len(got) == 2010 and got[1989] == 3978 and got[1995] == -1995
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.sql("DROP TABLE lakekit_b")
+
+
+def test_stored_views_and_tiles_with_parameters(spark, tmp_path):
+    daily = spark.createDataFrame(
+        [("t'x", "c", dt.date(2024, 1, d), d, 1, 1, 1.0, 1, 1, 1.0) for d in range(1, 11)],
+        "topic string, channel string, created_date date, event_count long, post_count long, comment_count long, "
+        "avg_score double, median_score long, total_score long, avg_word_count double",
+    )
+    write_table(daily, "lakekit_daily", path=str(tmp_path / "d"))
+    stored = sql.create_views(spark, {"daily_activity": "lakekit_daily", "hourly_activity": "not_there"}, "own_")
+    assert stored == {"vw_channel_daily_trend": "own_vw_channel_daily_trend"}
+    rows = sql.tile(spark, "volume_trend", stored, as_of=dt.date(2024, 1, 10), days=2).collect()
+    assert [(r["topic"], r["events_rolling_7d"]) for r in rows] == [("t'x", 35), ("t'x", 42), ("t'x", 49)]
+    frame = views.daily_trend(daily)
+    view = spark.table("own_vw_channel_daily_trend")
+    assert view.columns == frame.columns and view.exceptAll(frame).isEmpty()
+    # A stored view shows what its table holds later.
+    write_table(daily.limit(1), "lakekit_daily", mode="append")
+    assert spark.table("own_vw_channel_daily_trend").count() == 11
+    spark.sql("DROP VIEW own_vw_channel_daily_trend")
+    spark.sql("DROP TABLE lakekit_daily")
+
+
 def test_append_and_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([(1, "a", D1, "x"), (2, "b", D1, "x")], SCHEMA)
