@@ -95,12 +95,17 @@ def _narrow(x: np.ndarray) -> np.ndarray:
 
 
 def _shut(kind: str, value: tuple) -> bytes:
-    """What travels between stages, compressed more than shuffle files would be."""
-    return zstandard.compress(pickle.dumps((kind, value), 5), 3)
+    """What travels between stages, compressed more than shuffle files would be. The kind's
+    first letter stands in front."""
+    return kind[:1].encode() + zstandard.compress(pickle.dumps((kind, value), 5), 3)
 
 
 def _opened(packed: bytes) -> tuple:
-    return pickle.loads(zstandard.decompress(packed))
+    return pickle.loads(zstandard.decompress(packed[1:]))
+
+
+def _is(kind: str, packed: bytes) -> bool:
+    return packed[:1] == kind[:1].encode()
 
 
 # --- packed pairs ---------------------------------------------------------------
@@ -346,12 +351,10 @@ def score(docs: DataFrame) -> DataFrame:
     def weights(rows: Iterator) -> Iterator:
         tables, asked = [], []
         for _, packed in rows:
-            kind, value = _opened(packed)
-            if kind == "contexts":
+            if _is("contexts", packed):
+                _, value = _opened(packed)
                 tables.append(value[:3])
                 asked.append(value[3:])
-            else:
-                yield int(value[0]) % parts, packed
         if not asked:
             return
         context, who = (np.concatenate(x) for x in zip(*asked, strict=True))
@@ -400,8 +403,14 @@ def score(docs: DataFrame) -> DataFrame:
                 )
 
     starts = split[int(END)]
-    placed = summed.mapPartitions(weights).partitionBy(parts, int).mapPartitions(results)
-    return spark.createDataFrame(placed, RESULT)
+    # What is known of documents stays where it is: only the weights are dealt once more.
+    known = summed.mapPartitions(
+        lambda rows: (row for row in rows if not _is("contexts", row[1])), preservesPartitioning=True
+    )
+    placed = known.union(summed.mapPartitions(weights).partitionBy(parts, int))
+    if placed.getNumPartitions() != parts:
+        placed = placed.partitionBy(parts, int)
+    return spark.createDataFrame(placed.mapPartitions(results), RESULT)
 
 
 def _deal(words: np.ndarray, parts: int) -> np.ndarray:
