@@ -98,29 +98,19 @@ def mix(
     placed = ordered.join(aims, "_key")
     epochs = F.floor(F.col("target") / F.greatest("source_size", F.lit(1)))
     rest = F.round("target").cast("long") - epochs * F.col("source_size")
-    extra = F.least(F.greatest(rest - F.col("_before"), F.lit(0)), F.col("size"))
+    # The document at the edge is taken if that brings the source nearer to its target. If it is
+    # left, it stands before all that follow, so none of these is taken for it.
+    once_more = 2 * (rest - F.col("_before")) > F.col("size")
+    extra = F.when(once_more, F.col("size")).otherwise(0)
     taken = placed.withColumn("taken", (epochs * F.col("size") + extra).cast("long"))
     return taken.drop("_key", "_order", "_step", "_before")
 
 
-def first_words(text: Column, count: Column) -> Column:
-    """The text up to and with its ``count``-th word."""
-    led = F.when(text.rlike(r"^[\x20\x09-\x0D]"), 1).otherwise(0)
-    tail = F.element_at(F.split(text, GAP, (count + led + 1).cast("int")), -1)
-    return F.rtrim(F.left(text, F.length(text) - F.length(tail)))
-
-
 def materialize(mixed: DataFrame) -> DataFrame:
-    """The mixture as documents: each row of :func:`mix` once per whole copy taken, and at
-    the edge of a budget the words taken of it. ``n_chars``, if there, follows the text."""
-    size = F.greatest(F.col("size"), F.lit(1))
-    whole = F.floor(F.col("taken") / size)
-    rest = F.col("taken") - whole * F.col("size")
-    copies = F.concat(
-        F.array_repeat(F.lit(-1).cast("long"), whole.cast("int")),
-        F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<long>")),
-    )
-    rows = mixed.withColumn("_copy", F.explode(copies))
-    text = F.when(F.col("_copy") < 0, F.col("text")).otherwise(first_words(F.col("text"), F.col("_copy")))
-    out = rows.withColumn("text", text).drop("_copy", "size", "source_size", "target", "taken")
-    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in out.columns else out
+    """The mixture as documents: each row of :func:`mix` once per copy taken, with its whole text.
+
+    Rows of which nothing is taken, as those without words, are not in it. No rows give none.
+    """
+    copies = F.floor(F.col("taken") / F.greatest(F.col("size"), F.lit(1)))
+    rows = mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies.cast("int"))))
+    return rows.drop("_copy", "size", "source_size", "target", "taken")

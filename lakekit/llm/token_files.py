@@ -191,13 +191,20 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return placed.withColumn("start", F.col("_base") + F.col("first")).drop("_base")
 
 
-def read_segments(spark: SparkSession, path: str, block_ids: int = BLOCK_IDS) -> DataFrame:
+def _block_ids(spark: SparkSession, path: str) -> int:
+    """The ids of a full block, as the chunk index has it. Where no shard has two blocks the
+    longest one will do, as every shard's documents lie in its first."""
+    return _read(spark, path, "block").agg(F.max("n_ids")).first()[0] or 1
+
+
+def read_segments(spark: SparkSession, path: str) -> DataFrame:
     """Read the files back: ``shard, row, block, length, crc`` for each part of a document
     that lies in one block, with the crc32 of its ids as unsigned 32-bit integers.
 
     Each block is decoded once, with the list of the documents in it; a document may
     cover any number of blocks.
     """
+    block_ids = _block_ids(spark, path)
     docs = _read(spark, path, "doc")
     last = F.col("first") + F.col("n_tokens") - 1
     spans = F.sequence(F.floor(F.col("first") / block_ids), F.floor(last / block_ids))
@@ -233,9 +240,9 @@ def read_segments(spark: SparkSession, path: str, block_ids: int = BLOCK_IDS) ->
     return joined.select("shard", "block", "payload", "parts").mapInArrow(digests, shape)
 
 
-def read_checksums(spark: SparkSession, path: str, block_ids: int = BLOCK_IDS) -> DataFrame:
+def read_checksums(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document, from the files."""
-    found = read_segments(spark, path, block_ids)
+    found = read_segments(spark, path)
     ordered = F.sort_array(F.collect_list(F.struct("block", "length", "crc")))
     lists = found.groupBy("shard", "row").agg(ordered.alias("parts"))
     docs = read_documents(spark, path).join(lists, ["shard", "row"])
