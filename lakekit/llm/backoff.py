@@ -379,6 +379,8 @@ def score(docs: DataFrame) -> DataFrame:
     def results(rows: Iterator) -> Iterator:
         about, parts_ = {}, {}
         for _, packed in rows:
+            if _is("contexts", packed):
+                continue
             kind, value = _opened(packed)
             if kind == "docs":
                 about[value[0]] = value[1:]
@@ -404,10 +406,8 @@ def score(docs: DataFrame) -> DataFrame:
 
     starts = split[int(END)]
     # What is known of documents stays where it is: only the weights are dealt once more.
-    known = summed.mapPartitions(
-        lambda rows: (row for row in rows if not _is("contexts", row[1])), preservesPartitioning=True
-    )
-    placed = known.union(summed.mapPartitions(weights).partitionBy(parts, int))
+    # The rest is passed over there: a filter would take another Python worker to every task.
+    placed = summed.union(summed.mapPartitions(weights).partitionBy(parts, int))
     if placed.getNumPartitions() != parts:
         placed = placed.partitionBy(parts, int)
     return spark.createDataFrame(placed.mapPartitions(results), RESULT)
