@@ -21,26 +21,29 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules, as the labels set them."""
+    """Documents that pass the rules, as the labels set them.
+
+    Null and short texts do not. Repeated rows are judged alike."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     judged = quality_rules.judge_labelled(docs.select("doc_id", "text", *_others(docs)), labels)
     return judged.filter("kept").select(*_columns(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies and near copies."""
+    """One document of each group of copies and near copies, the one with the smallest id.
+
+    Texts without words stay, as do those of a group without any id; of repeated rows one stays."""
     return ngram_join.deduplicated(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture as documents: a row for each time one is taken."""
+    """The mixture as documents: a row, with its whole text, for each time one is taken.
+
+    Null texts and texts without words are not taken; a null source is a source of its own."""
     mixed = mixing.mix(docs.select("doc_id", "source", "text", *_others(docs)))
     taken = mixing.materialize(mixed)
     own = {"doc_id", "source", "text"}
     columns = [F.col(c) if c in own else F.col("_others")[c].alias(c) for c in docs.columns]
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        columns[docs.columns.index("n_chars")] = F.length("text").cast(kind).alias("n_chars")
     return taken.select(*columns)
 
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakekit.functions.text import clean_text, is_placeholder, joined_text, word_count
+from lakekit.operators.lookup import join_lookup
 from lakekit.schema import COMMENT, EVENT_KEYS, POST, as_events, col_or_null, quoted
+from lakekit.session import checkpointed
 
 INGESTED_AT = "_ingested_at"
 VALID = "_valid"
@@ -85,6 +87,12 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.withColumn("_rank", F.expr(rank)).filter("_rank = 1").drop("_rank")
 
 
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of more than one row; null is a value like others."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.filter("_rows > 1").select(*keys)
+
+
 def newest_first(columns: Sequence[str]) -> list[str]:
     """Survivor order of duplicates: valid content, newest ingest, newest event, highest score.
 
@@ -149,7 +157,10 @@ def to_events(
     community: str = "channel",
     scrub_placeholders: bool = False,
 ) -> DataFrame:
-    """The silver transform: normalize, union, clean, filter, enrich, de-duplicate."""
+    """The silver transform: normalize, union, clean, filter, enrich, de-duplicate.
+
+    The sources' keys are read when this is called, to find those that repeat: pass stored frames.
+    """
     frames = [
         normalize_raw(frame, event_type=kind, topic=topic, community=community)
         for frame, kind in ((posts, POST), (comments, COMMENT))
@@ -160,5 +171,17 @@ def to_events(
     unified = frames[0]
     for frame in frames[1:]:
         unified = unified.unionByName(frame, allowMissingColumns=True)
-    cleaned = clean_events(unified, scrub_placeholders=scrub_placeholders)
-    return as_events(dedup_events(cleaned).filter(VALID))
+    unified = unified.filter("score IS NOT NULL")
+    # Keys are counted first, without texts. Rows whose key is not repeated, mostly all, are then
+    # neither shuffled nor sorted; the others meet by key.
+    repeated = checkpointed(repeated_keys(unified, EVENT_KEYS))
+    if repeated.isEmpty():
+        return as_events(clean_events(unified, scrub_placeholders=scrub_placeholders).filter(VALID))
+    marked = join_lookup(
+        unified, repeated.withColumn("_again", F.lit(True)), EVENT_KEYS, null_safe=True
+    )
+    once, again = (
+        clean_events(rows.drop("_again"), scrub_placeholders=scrub_placeholders)
+        for rows in (marked.filter("_again IS NULL"), marked.filter("_again"))
+    )
+    return as_events(once.filter(VALID).unionByName(dedup_events(again).filter(VALID)))

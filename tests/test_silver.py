@@ -4,8 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakekit.operators.labels import derived_flags, engagement_label, weak_sentiment
-from lakekit.operators.silver import flatten_community, normalize_raw, to_events
-from lakekit.schema import EVENT_SCHEMA
+from lakekit.operators.silver import (
+    clean_events,
+    dedup_events,
+    flatten_community,
+    normalize_raw,
+    to_events,
+)
+from lakekit.schema import EVENT_SCHEMA, as_events
 
 
 def test_golden_counts(events, raw_posts):
@@ -107,7 +113,8 @@ def test_placeholder_handling(spark):
 
 
 def test_dedup_prunes_copies_before_the_shuffle(spark, raw_posts):
-    plan = to_events(raw_posts, topic="t")._jdf.queryExecution().executedPlan().toString()
+    twice = to_events(raw_posts.union(raw_posts), topic="t")
+    plan = twice._jdf.queryExecution().executedPlan().toString()
     before, after = plan.split("Exchange hashpartitioning", 1)
     assert "WindowGroupLimit" in before and "WindowGroupLimit" in after
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
@@ -120,3 +127,22 @@ def test_engagement_label_is_per_topic_and_counts_ties(spark):
         F.max("score_threshold"), F.sum("label")
     )
     assert {r[0]: (r[1], r[2]) for r in got.collect()} == {"a": (8, 2.0), "b": (5, 4.0)}
+
+
+def test_only_rows_of_repeated_keys_are_sorted(spark, raw_posts):
+    """Without repeated keys there is nothing to shuffle; with some, the others pass by."""
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    once = to_events(raw_posts, topic="ds")
+    assert "Window" not in plan(once) and "Sort" not in plan(once) and "Join" not in plan(once)
+    few = raw_posts.filter("id = 'p00007'").withColumn("score", F.lit(99).cast("long"))
+    both = to_events(raw_posts.unionByName(few), topic="ds")
+    assert plan(both).count("Window [") == 1
+    rows = {r["event_id"]: r["score"] for r in both.collect()}
+    assert len(rows) == both.count() == 50 and rows["post_p00007"] == 99
+    # The same rows as from one window over all.
+    unified = normalize_raw(raw_posts.unionByName(few), event_type="post", topic="ds")
+    whole = as_events(dedup_events(clean_events(unified)).filter("_valid"))
+    assert sorted(map(str, whole.collect())) == sorted(map(str, both.collect()))
+    unknown = spark.createDataFrame([("a", "one", 1), ("a", "two", 2)], "id string, title string, score long")
+    kept = to_events(unknown, topic=F.lit(None).cast("string")).collect()
+    assert [r["title"] for r in kept] == ["two"]
