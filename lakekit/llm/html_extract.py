@@ -19,12 +19,12 @@ the trees learn to go by density and place where marks are missing.
 from __future__ import annotations
 
 import html
-import math
 import random
 import re
 import string
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,8 @@ TRAINING_PAGES = 300
 ALTERED_COPIES = 3
 TREES, DEPTH, STEP = 16, 4, 0.3
 MOST_LOG_ODDS = 4.0
+# Characters of pages that are labelled together; a longer page on its own.
+HELD_LETTERS = 500_000
 
 # How elements nest, and what their names and tokens say.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -71,10 +73,16 @@ OTHER_TOKENS = (
     "comment comments reply replies respond disqus"
 ).split()
 
-TAG = re.compile(
-    r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S
-)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
+# A quote opens a value only after an equals sign, and one without a partner is a character
+# like any other. No part gives back what it took, so a page is read in one go.
+_VALUE = r"""\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+"""
+_OTHERS = r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(?=/?[a-zA-Z])"
+TAG = re.compile(rf"<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:{_VALUE})?+)*+)>|{_OTHERS}", re.S)
+# After a tag that quotes keep open to the end of the page, tags end at the next bracket.
+TAG_WITHOUT_QUOTES = re.compile(rf"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|{_OTHERS}", re.S)
+ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+))?+""")
+RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*+(?:>|\Z)", re.I) for tag in RAW}
+LONG_NUMBER = re.compile(r"&#0*+(\d{8,})?;?")
 TOKEN = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 GROUPS = {
@@ -96,27 +104,87 @@ SHOWN = [
 FEATURES = SHOWN + [f"tag_{name}" for name in GROUPS]
 
 
+# What a node's tag and tokens say, as bits.
+MAIN_TOKEN, OTHER_TOKEN, MAIN_TAG, OTHER_TAG = 1, 2, 4, 8
+
+
 class Node:
-    """An element, or with ``text`` a block of its parent."""
+    """An element, or with ``text`` a block of its parent. ``says`` is of its own tag and tokens,
+    ``above_says`` of those over it."""
 
-    __slots__ = ("above", "below", "boiler", "links", "main", "parts", "tag", "text", "tokens")
+    __slots__ = ("above", "above_says", "below", "boiler", "depth", "links", "main", "parts", "says", "tag", "text")
 
-    def __init__(self, tag: str, above: Node | None, tokens=frozenset(), main=False, boiler=False):
-        self.tag, self.above, self.tokens = tag, above, tokens
+    def __init__(self, tag: str, above: Node | None, says=0, main=False, boiler=False):
+        self.tag, self.above, self.says = tag, above, says
         self.below: list[Node] = []
         self.text: str | None = None
         self.parts: list[str] = []
         self.links = 0
         self.main, self.boiler = main, boiler
+        self.depth = above.depth + 1 if above is not None else 0
+        self.above_says = above.above_says | above.says if above is not None else 0
+
+
+def unescaped(raw: str) -> str:
+    try:
+        return html.unescape(raw)
+    except ValueError:
+        # A number of thousands of digits; no character has more than seven.
+        return html.unescape(LONG_NUMBER.sub(lambda m: "\ufffd" if m[1] else m[0].replace("0" * 9, ""), raw))
+
+
+class _Open:
+    """The open elements of a page: a stack of block-level ones, and the inline ones in the
+    last of these. Every step takes time for what it opens or closes only."""
+
+    def __init__(self, root: Node):
+        self.stack = [root]
+        self.inline: list[str] = []
+        self.at: dict[str, list[int]] = {}
+        self.inline_counts: Counter = Counter()
+        self.hidden = 0
+
+    def last(self, tags) -> int:
+        """The place of the innermost block-level element with one of the tags, or 0."""
+        found = [places[-1] for places in map(self.at.get, tags) if places]
+        return max(found) if found else 0
+
+    def push(self, node: Node) -> None:
+        self.at.setdefault(node.tag, []).append(len(self.stack))
+        self.stack.append(node)
+        self.hidden += node.tag in UNSHOWN
+
+    def pop_to(self, place: int) -> None:
+        while len(self.stack) > place:
+            tag = self.stack.pop().tag
+            self.at[tag].pop()
+            self.hidden -= tag in UNSHOWN
+        self.leave_inline()
+
+    def push_inline(self, tag: str) -> None:
+        self.inline.append(tag)
+        self.inline_counts[tag] += 1
+        self.hidden += tag in UNSHOWN
+
+    def pop_inline(self) -> str:
+        tag = self.inline.pop()
+        self.inline_counts[tag] -= 1
+        self.hidden -= tag in UNSHOWN
+        return tag
+
+    def leave_inline(self) -> None:
+        while self.inline:
+            self.pop_inline()
 
 
 def parse(page: str) -> Node:
-    """The tree of a page. Broken markup gives a tree as well: what is not closed ends with
-    its parent, and an end without a beginning is passed over."""
+    """The tree of a page, in time linear in its length. Broken markup gives a tree as well: what
+    is not closed ends with its parent, an end without a beginning is passed over, and a
+    tag that never ends is text."""
     root = Node("html", None)
-    stack, inline = [root], []
+    open_ = _Open(root)
     block: Node | None = None
-    at = 0
+    at, tags = 0, TAG
 
     def flush() -> None:
         nonlocal block
@@ -127,44 +195,44 @@ def parse(page: str) -> Node:
                 block.above.below.append(block)
             block = None
 
-    def shown() -> bool:
-        return not any(n.tag in UNSHOWN for n in stack) and not any(t in UNSHOWN for t in inline)
-
     def add(raw: str) -> None:
         nonlocal block
-        if not raw or not shown():
+        if not raw or open_.hidden:
             return
         if block is None:
-            block = Node("#text", stack[-1])
-        text = html.unescape(raw)
+            block = Node("#text", open_.stack[-1])
+        text = unescaped(raw)
         block.parts.append(text)
-        if "a" in inline:
+        if open_.inline_counts["a"]:
             block.links += len(text.strip())
 
-    def pop_to(depth: int) -> None:
-        flush()
-        del stack[depth:]
-        inline.clear()
-
     while at < len(page):
-        found = TAG.search(page, at)
+        found = tags.search(page, at)
         if found is None:
             add(page[at:])
             break
         add(page[at : found.start()])
         at = found.end()
         if found[2] is None:
+            if found[0] == "<":
+                at = found.start()
+                if page.find(">", at) < 0:
+                    add(page[at:])
+                    break
+                tags = TAG_WITHOUT_QUOTES
             continue
-        tag, closing = found[2].lower(), bool(found[1])
-        if closing:
+        tag = found[2].lower()
+        if found[1]:
             if tag in BLOCK:
-                depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), None)
-                if depth is not None:
-                    pop_to(depth)
+                place = open_.last((tag,))
+                if place:
+                    flush()
+                    open_.pop_to(place)
                 elif tag == "p":
                     flush()
-            elif tag in inline:
-                del inline[len(inline) - 1 - inline[::-1].index(tag) :]
+            elif open_.inline_counts[tag]:
+                while open_.pop_inline() != tag:
+                    pass
             continue
         if tag == "br":
             add(" ")
@@ -174,37 +242,41 @@ def parse(page: str) -> Node:
             continue
         if tag in RAW:
             # A raw element's text ends at its own end tag, whatever it holds.
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            end = RAW_END[tag].search(page, at)
             at = end.end() if end else len(page)
             continue
         if tag in BLOCK:
             if tag == "html":
                 continue
-            if tag != "p" or any(n.tag == "p" for n in stack):
-                depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"), None)
-                if depth is not None:
-                    pop_to(depth)
-            shut, scope = CLOSES.get(tag, ()), SCOPES.get(tag, {"table"})
-            while len(stack) > 1 and shut and stack[-1].tag not in scope:
-                depth = len(stack) - 1
-                while depth > 0 and stack[depth].tag not in shut and stack[depth].tag not in scope:
-                    depth -= 1
-                if depth > 0 and stack[depth].tag in shut:
-                    pop_to(depth)
-                else:
-                    break
             flush()
-            names, marks = _tokens(found[3])
-            node = Node(tag, stack[-1], names, "data-main" in marks, "data-other" in marks)
-            stack[-1].below.append(node)
-            stack.append(node)
-            inline.clear()
+            # A head ends where the body begins, said or not; a paragraph before any block.
+            place = open_.last(("p",)) or open_.last(("head",))
+            if place:
+                open_.pop_to(place)
+            shut, scope = CLOSES.get(tag, ()), SCOPES.get(tag, ("table",))
+            while (place := open_.last(shut)) > open_.last(scope):
+                open_.pop_to(place)
+            says, main, boiler = _said(tag, found[3])
+            node = Node(tag, open_.stack[-1], says, main, boiler)
+            open_.stack[-1].below.append(node)
+            open_.leave_inline()
+            open_.push(node)
         elif not found[3].rstrip().endswith("/"):
-            inline.append(tag)
+            open_.push_inline(tag)
     flush()
     return root
 
 
+def _said(tag: str, attributes: str) -> tuple[int, bool, bool]:
+    """What tag and tokens say, and whether a copy was marked for training."""
+    says = (tag in MAIN_TAGS) * MAIN_TAG | (tag in OTHER_TAGS) * OTHER_TAG
+    if "=" not in attributes:
+        return says, False, False
+    names, marks = _tokens_of_short(attributes) if len(attributes) <= 200 else _tokens(attributes)
+    says |= (not names.isdisjoint(MAIN_TOKENS)) * MAIN_TOKEN | (not names.isdisjoint(_OTHER)) * OTHER_TOKEN
+    return says, "data-main" in marks, "data-other" in marks
+
+
 def _tokens(attributes: str) -> tuple[frozenset[str], frozenset[str]]:
     """Words of class, id, role and the like, and the names of data marks."""
     if not attributes or "=" not in attributes:
@@ -219,6 +291,7 @@ def _tokens(attributes: str) -> tuple[frozenset[str], frozenset[str]]:
     return frozenset(names), frozenset(marks)
 
 
+_tokens_of_short = lru_cache(maxsize=20_000)(_tokens)
 _OTHER = frozenset(OTHER_TOKENS)
 _ASCII = bytes(range(128))
 _CAPITALS, _DIGITS = string.ascii_uppercase.encode(), string.digits.encode()
@@ -236,74 +309,112 @@ def _capitals_and_digits(text: str) -> tuple[int, int]:
     return capitals, digits
 
 
-def describe(root: Node) -> tuple[list[Node], list[int], np.ndarray]:
-    """Nodes in page order, the place of each one's parent, and their features."""
-    nodes, above = [], []
-    waiting = [(root, -1)]
-    while waiting:
-        node, parent = waiting.pop()
-        nodes.append(node)
-        above.append(parent)
-        at = len(nodes) - 1
-        waiting += [(child, at) for child in reversed(node.below)]
+GROUP_BITS = {
+    tag: sum(1 << k for k, group in enumerate(GROUPS.values()) if tag in group) for group in GROUPS.values() for tag in group
+}
+
+
+def describe(*roots: Node) -> tuple[list[Node], list[int], np.ndarray]:
+    """Nodes of some pages in page order, the place of each one's parent (-1 for a page's
+    first), and their features. All pages share the array work."""
+    nodes: list[Node] = []
+    above: list[int] = []
+    firsts, first_h1 = [], []
+    for root in roots:
+        firsts.append(len(nodes))
+        first_h1.append(-1)
+        waiting = [(root, -1)]
+        while waiting:
+            node, parent = waiting.pop()
+            at = len(nodes)
+            nodes.append(node)
+            above.append(parent)
+            if node.tag == "h1" and first_h1[-1] < 0:
+                first_h1[-1] = at
+            waiting += [(child, at) for child in reversed(node.below)]
     n = len(nodes)
-    # Sums over subtrees: letters, link letters, blocks, elements, marks, stops, capitals, digits,
-    # words, paragraphs, tags and tokens of main text.
-    sums = np.zeros((n, 12))
+    features = np.zeros((n, len(FEATURES)))
+    if not n:
+        return nodes, above, features
+    ends = list(range(1, n + 1))
+    for i in range(n - 1, 0, -1):
+        if above[i] >= 0 and ends[i] > ends[above[i]]:
+            ends[above[i]] = ends[i]
+    # Own counts: letters, link letters, blocks, elements, marks, stops, capitals, digits, words,
+    # paragraphs, tags and tokens of main text.
+    own = np.zeros((n, 11))
     for i, node in enumerate(nodes):
-        if node.text is not None:
-            t = node.text
+        t = node.text
+        if t is not None:
             letters = len(t)
-            sums[i] = (
+            own[i] = (
                 letters, min(node.links, letters), 1, 0,
                 sum(map(t.count, "|#*$%&<>»·©")), sum(map(t.count, ".!?,;")),
-                *_capitals_and_digits(t), t.count(" ") + 1, 0, 0, 0,
+                *_capitals_and_digits(t), t.count(" ") + 1, 0, 0,
             )
-        else:
-            sums[i, 3] = 1
-            sums[i, 9] = node.tag == "p"
-            sums[i, 10] = node.tag in MAIN_TAGS or bool(node.tokens & MAIN_TOKENS)
-    own = sums.copy()
-    for i in range(n - 1, 0, -1):
-        sums[above[i]] += sums[i]
-    features = np.zeros((n, len(FEATURES)))
-    total = max(sums[0, 0], 1.0)
-    flags = np.zeros((n, 4), dtype=bool)
-    depth = np.zeros(n)
-    place = np.cumsum(own[:, 0]) - own[:, 0]
-    first_h1 = next((i for i, node in enumerate(nodes) if node.tag == "h1"), -1)
-    columns = {name: k for k, name in enumerate(FEATURES)}
-    for i, node in enumerate(nodes):
-        p = above[i]
-        main_tag, other_tag = node.tag in MAIN_TAGS, node.tag in OTHER_TAGS
-        main, other = bool(node.tokens & MAIN_TOKENS), bool(node.tokens & _OTHER)
-        up = flags[p] if p >= 0 else np.zeros(4, dtype=bool)
-        if p >= 0:
-            depth[i] = depth[p] + 1
-        letters, links, blocks, elements, marks, stops, capitals, digits, words, paragraphs, mains, _ = sums[i]
-        size = max(letters, 1.0)
-        parent = max(sums[p, 0], 1.0) if p >= 0 else total
-        features[i, : len(SHOWN)] = (
-            node.text is not None, depth[i], math.log1p(letters), letters / total, links / size,
-            0, elements / (size / 100 + 1), words / max(blocks, 1), math.log1p(blocks), marks / size,
-            stops / size, capitals / size, digits / size, place[i] / total, 0, 0, 0, letters / parent,
-            math.log1p(paragraphs), main, other, up[0], up[1], mains - own[i, 10] > 0, up[2], up[3],
-            i < first_h1, sums[p, 1] / parent if p >= 0 else 0,
-        )
-        flags[i] = (up[0] | main, up[1] | other, up[2] | main_tag, up[3] | other_tag)
-        tag = nodes[p].tag if node.text is not None and p >= 0 else node.tag
-        for k, group in enumerate(GROUPS.values()):
-            features[i, len(SHOWN) + k] = tag in group
-    siblings: dict[int, list[int]] = {}
-    for i in range(1, n):
-        siblings.setdefault(above[i], []).append(i)
-    for rows in siblings.values():
-        times = Counter(nodes[i].tag for i in rows)
-        for k, i in enumerate(rows):
-            features[i, columns["siblings"]] = math.log1p(len(rows))
-            features[i, columns["sibling_place"]] = k / len(rows)
-            features[i, columns["like_siblings"]] = times[nodes[i].tag] / len(rows)
-    features[:, columns["links"]] = np.log1p(sums[:, 1])
+    text = own[:, 2] > 0
+    tag_of = [node.above.tag if node.text is not None else node.tag for node in nodes]
+    says = np.array([node.says for node in nodes])
+    over = np.array([node.above_says for node in nodes])
+    own[:, 3] = ~text
+    own[:, 9] = [node.tag == "p" for node in nodes]
+    own[:, 10] = (says & (MAIN_TAG | MAIN_TOKEN)) > 0
+    # Whole numbers, so sums over subtrees are exact differences of running sums.
+    running = np.concatenate([np.zeros((1, own.shape[1])), np.cumsum(own, axis=0)])
+    sums = running[ends] - running[:-1]
+    letters, links, blocks, elements, marks, stops, capitals, digits, words, paragraphs, mains = sums.T
+    above_at = np.array(above)
+    child = above_at >= 0
+    parent_at = np.where(child, above_at, np.arange(n))
+    page = np.repeat(np.array(firsts), np.diff([*firsts, n]))
+    total, size = np.maximum(letters[page], 1.0), np.maximum(letters, 1.0)
+    parent = size[parent_at]
+    columns = {
+        "block": text,
+        "depth": [node.depth for node in nodes],
+        "letters": np.log1p(letters),
+        "page_share": letters / total,
+        "link_share": links / size,
+        "links": np.log1p(links),
+        "elements_per_letter": elements / (size / 100 + 1),
+        "words_per_block": words / np.maximum(blocks, 1),
+        "blocks": np.log1p(blocks),
+        "marks": marks / size,
+        "stops": stops / size,
+        "capitals": capitals / size,
+        "digits": digits / size,
+        "place": (running[:-1, 0] - running[page, 0]) / total,
+        "parent_share": letters / np.where(child, parent, total),
+        "paragraphs": np.log1p(paragraphs),
+        "main_token": says & MAIN_TOKEN > 0,
+        "other_token": says & OTHER_TOKEN > 0,
+        "above_main": over & MAIN_TOKEN > 0,
+        "above_other": over & OTHER_TOKEN > 0,
+        "below_main": mains - own[:, 10] > 0,
+        "above_main_tag": over & MAIN_TAG > 0,
+        "above_other_tag": over & OTHER_TAG > 0,
+        "before_h1": np.arange(n) < np.repeat(np.array(first_h1), np.diff([*firsts, n])),
+        "parent_link_share": np.where(child, links[parent_at] / parent, 0),
+    }
+    # Siblings: rows with one parent, in page order.
+    rows = np.flatnonzero(child)
+    rows = rows[np.argsort(above_at[rows], kind="stable")]
+    numbers: dict[str, int] = {}
+    tags = np.array([numbers.setdefault(node.tag, len(numbers)) for node in nodes])
+    _, starts, times = np.unique(above_at[rows], return_index=True, return_counts=True)
+    alike = np.unique(above_at[rows] * len(numbers) + tags[rows], return_inverse=True, return_counts=True)
+    count = np.repeat(times, times)
+    for name, values in (
+        ("siblings", np.log1p(count)),
+        ("sibling_place", (np.arange(len(rows)) - np.repeat(starts, times)) / count),
+        ("like_siblings", alike[2][alike[1]] / count),
+    ):
+        columns[name] = np.zeros(n)
+        columns[name][rows] = values
+    for k, name in enumerate(SHOWN):
+        features[:, k] = columns[name]
+    bits = np.array([GROUP_BITS.get(tag, 0) for tag in tag_of])
+    features[:, len(SHOWN) :] = bits[:, None] >> np.arange(len(GROUPS)) & 1
     return nodes, above, features
 
 
@@ -315,9 +426,9 @@ def taught(nodes: list[Node], above: list[int]) -> np.ndarray:
     label = np.zeros(n)
     for i, node in enumerate(nodes):
         p = above[i]
-        inside[i] = (p >= 0 and inside[p]) or node.main or node.tag in MAIN_TAGS
-        says = node.tag in OTHER_TAGS or bool(node.tokens & _OTHER) or (node.tag == "header" and not inside[i])
-        other[i] = (p >= 0 and other[p]) or node.boiler or (says and not node.main and node.tag not in MAIN_TAGS)
+        inside[i] = (p >= 0 and inside[p]) or node.main or node.says & MAIN_TAG
+        says = node.says & (OTHER_TAG | OTHER_TOKEN) or (node.tag == "header" and not inside[i])
+        other[i] = (p >= 0 and other[p]) or node.boiler or (says and not node.main and not node.says & MAIN_TAG)
         label[i] = node.text is not None and inside[i] and not other[i]
     for i in range(n - 1, 0, -1):
         label[above[i]] = max(label[above[i]], label[i])
@@ -327,14 +438,17 @@ def taught(nodes: list[Node], above: list[int]) -> np.ndarray:
 def decode(above: list[int], log_odds: np.ndarray) -> np.ndarray:
     """The best labels without a kept node below a dropped one."""
     n = len(above)
-    keep, drop = log_odds.astype(float).copy(), -log_odds.astype(float)
+    keep = np.asarray(log_odds, dtype=float).tolist()
+    drop = [-x for x in keep]
     for i in range(n - 1, 0, -1):
-        keep[above[i]] += max(keep[i], drop[i])
-        drop[above[i]] += drop[i]
-    kept = np.zeros(n, dtype=bool)
-    for i in range(n):
-        kept[i] = keep[i] > drop[i] and (above[i] < 0 or kept[above[i]])
-    return kept
+        p = above[i]
+        if p >= 0:
+            keep[p] += max(keep[i], drop[i])
+            drop[p] += drop[i]
+    kept = [False] * n
+    for i, p in enumerate(above):
+        kept[i] = keep[i] > drop[i] and (p < 0 or kept[p])
+    return np.array(kept, dtype=bool)
 
 
 # --- training -------------------------------------------------------------------
@@ -398,13 +512,16 @@ class Trees:
 
     def log_odds(self, x: np.ndarray) -> np.ndarray:
         total = np.zeros(len(x))
-        rows = np.arange(len(x))
+        flat, base = x.ravel(), np.arange(len(x)) * x.shape[1]
         for (feature, limit, left, right, value), weight in zip(self._trees, self._weights, strict=True):
+            # A leaf leads to itself.
+            leaf = feature < 0
+            ways = np.column_stack([left, right])
+            ways[leaf] = np.flatnonzero(leaf)[:, None]
+            ways, column = ways.ravel(), np.where(leaf, 0, feature).astype(np.int64)
             at = np.zeros(len(x), dtype=np.int64)
-            for _ in range(DEPTH + 1):
-                inner = feature[at] >= 0
-                low = x[rows, np.maximum(feature[at], 0)] <= limit[at]
-                at = np.where(inner, np.where(low, left[at], right[at]), at)
+            for _ in range(DEPTH):
+                at = ways[2 * at + (flat[base + column[at]] > limit[at])]
             total += weight * value[at]
         return np.clip(2 * total, -MOST_LOG_ODDS, MOST_LOG_ODDS)
 
@@ -452,10 +569,30 @@ def train(pages: DataFrame, most: int = TRAINING_PAGES) -> Trees:
 # --- extraction -------------------------------------------------------------------
 
 
-def extract_page(page: str, trees: Trees) -> str:
-    nodes, above, x = describe(parse(page))
+def extract_pages(pages: Iterable[str], trees: Trees) -> list[str]:
+    """The main text of each page. Pages are described and labelled some thousand nodes at a time."""
+    texts: list[str] = []
+    held: list[Node] = []
+    length = 0
+    for page in pages:
+        held.append(parse(page))
+        length += len(page)
+        if length >= HELD_LETTERS:
+            texts += _labelled(held, trees)
+            held, length = [], 0
+    return texts + _labelled(held, trees)
+
+
+def _labelled(roots: list[Node], trees: Trees) -> list[str]:
+    nodes, above, x = describe(*roots)
     kept = decode(above, trees.log_odds(x))
-    return "\n".join(n.text for n, k in zip(nodes, kept, strict=True) if k and n.text is not None)
+    texts: list[list[str]] = []
+    for node, parent, k in zip(nodes, above, kept, strict=True):
+        if parent < 0:
+            texts.append([])
+        if k and node.text is not None:
+            texts[-1].append(node.text)
+    return ["\n".join(t) for t in texts]
 
 
 def extract(pages: DataFrame, trees: Trees | None = None) -> DataFrame:
@@ -467,7 +604,7 @@ def extract(pages: DataFrame, trees: Trees | None = None) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, "html")):
-            texts = [extract_page(page or "", trees) for page in batch.column("html").to_pylist()]
+            texts = extract_pages((page or "" for page in batch.column("html").to_pylist()), trees)
             text = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), text, pc.utf8_length(text).cast(pa.int64())],
