@@ -1,8 +1,10 @@
 """The corpus operators against plain versions, on a table with every kind of odd row."""
 
+import html
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -188,6 +190,59 @@ def test_features_of_long_pages_are_whole():
         assert at[name][rows["p"]] == sum(map(count, text)) / len(text)
 
 
+def _shown(page):
+    return [n.text for n in html_extract.describe(html_extract.parse(page))[0] if n.text is not None]
+
+
+def test_broken_markup_loses_no_text():
+    assert _shown("<article><p title=it's>Hello world</p><p>don't stop</p></article>") == ["Hello world", "don't stop"]
+    assert _shown('<p title="a > b" x=\'>\'>one</p><p y="two>three') == ["one", "three"]
+    assert _shown("<head><title>t</title><p>in the body</p>") == ["in the body"]
+    assert _shown("1 < 2 <p>cut <a href") == ["1 < 2", "cut <a href"]
+    # Numbers with thousands of digits are one character, or the one behind leading zeros.
+    assert _shown(f"<p>x&#{'9' * 6000};y&#{'0' * 6000}65;&#65;") == ["x\ufffdyAA"]
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<div>" * 50_000 + "x", '<a "' * 100_000, "<a x='" * 100_001 + ">x", "<b>" * 50_000 + "</i>" * 50_000 + "x",
+     "<ul><li>" + "<div>" * 20_000 + "<li>x" * 20_000, "<a " + "x" * 300_000 + ">x", "<!x" * 100_000, "<p x='\">x" * 30_000],
+)
+def test_hostile_pages_take_linear_time(page):
+    start = time.process_time()
+    html_extract.describe(html_extract.parse(page))
+    assert time.process_time() - start < 5
+
+
+def test_pages_share_the_array_work():
+    pages = [PAGE, "", "<p>x", PAGE.replace("nav", "div"), "<h1>late</h1>"]
+    nodes, above, x = html_extract.describe(*map(html_extract.parse, pages))
+    at = 0
+    for page in pages:
+        own, own_above, own_x = html_extract.describe(html_extract.parse(page))
+        assert [n.text for n in own] == [n.text for n in nodes[at : at + len(own)]]
+        assert [a + at if a >= 0 else -1 for a in own_above] == above[at : at + len(own)]
+        assert np.array_equal(own_x, x[at : at + len(own)])
+        at += len(own)
+    assert at == len(nodes)
+
+
+def test_extract_of_pages_held_out_of_training(spark):
+    """Trees from pages of one table, texts of another one's pages that are not among them."""
+    taught, asked = (spark.read.parquet(f"/root/testdata/{sf}/pages.parquet") for sf in ("sf0.001", "sf0.01"))
+    asked = asked.join(taught.select("html"), "html", "left_anti")
+    pages = {r["page_id"]: r["html"] for r in asked.collect()}
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(asked, html_extract.train(taught)).collect()}
+    assert len(pages) > 100 and pages.keys() == got.keys()
+    right = 0
+    for i, page in pages.items():
+        article = page[page.index("<article>") : page.index("</article>")]
+        blocks = re.split(r"</?(?:p|h\d|ul|ol|li|blockquote|pre|div|table|tr|td)\b[^>]*>", article)
+        plain = [" ".join(html.unescape(re.sub(r"<br>", " ", b)).split()) for b in (re.sub(r"<(?!br)[^>]*>", "", b) for b in blocks)]
+        right += got[i] == "\n".join(b for b in plain if b)
+    assert right >= 0.97 * len(pages)
+
+
 def test_decoding_keeps_nothing_below_what_it_drops():
     draw = np.random.default_rng(4)
     for _ in range(50):
