@@ -40,6 +40,7 @@ FLUSHED_TOKENS = 3_000_000
 # Words of more than this share of a partition in a sample of texts are split.
 SPLIT_SHARE = 0.25
 SAMPLED_DOCS = 4000
+FIXED_ONE = 2.0**32
 START, END = np.uint64(0x5DEECE66D1234567), np.uint64(0x2545F4914F6CDD1D)
 RESULT = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
@@ -94,13 +95,39 @@ def _narrow(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32)
 
 
+def _planes(x):
+    """An array for compression: steps in place of sorted numbers, and the first bytes of all
+    entries, then the second ones and so on, as the high bytes are mostly alike."""
+    if not isinstance(x, np.ndarray) or x.dtype.itemsize == 1:
+        return x
+    rising = x.dtype.kind in "iu" and len(x) > 1 and bool((x[1:] >= x[:-1]).all())
+    steps = np.diff(x, prepend=x.dtype.type(0)) if rising else x
+    return _Planes((x.dtype.str, rising, steps.view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes()))
+
+
+class _Planes(tuple):
+    """What stands for an array: its type, whether it holds steps, its bytes."""
+
+    def array(self) -> np.ndarray:
+        dtype, rising, raw = np.dtype(self[0]), self[1], np.frombuffer(self[2], np.uint8)
+        x = np.ascontiguousarray(raw.reshape(dtype.itemsize, -1).T).view(dtype).ravel()
+        return np.cumsum(x, dtype=dtype) if rising else x
+
+
 def _shut(kind: str, value: tuple) -> bytes:
     """What travels between stages, compressed more than shuffle files would be."""
-    return zstandard.compress(pickle.dumps((kind, value), 5), 3)
+    return zstandard.compress(pickle.dumps((kind, tuple(map(_planes, value))), 5), 3)
 
 
 def _opened(packed: bytes) -> tuple:
-    return pickle.loads(zstandard.decompress(packed))
+    kind, value = pickle.loads(zstandard.decompress(packed))
+    return kind, tuple(x.array() if isinstance(x, _Planes) else x for x in value)
+
+
+def _fixed(x: np.ndarray) -> np.ndarray:
+    """Sums of logarithms as whole numbers of ``2**-32``: they travel in five bytes, and add up to
+    the same in any order."""
+    return np.rint(x * FIXED_ONE).astype(np.int64)
 
 
 # --- packed pairs ---------------------------------------------------------------
@@ -323,6 +350,7 @@ def score(docs: DataFrame) -> DataFrame:
         at, doc_of = np.unique(doc, return_inverse=True)
         weights = (np.repeat(x, per_type) for x in (value, base, (word_count > 0).astype(float)))
         by_doc = [np.bincount(doc_of, x, minlength=len(at)) for x in weights]
+        by_doc = [_fixed(by_doc[0]), _fixed(by_doc[1]), _narrow(by_doc[2])]
         tasks = at >> 32
         for task in np.unique(tasks).tolist():
             rows_ = tasks == task
@@ -335,6 +363,8 @@ def score(docs: DataFrame) -> DataFrame:
         rest, share = (np.bincount(of, x, minlength=len(contexts)) for x in (left, p1[seen]))
         backed = np.repeat(~seen, per_type)
         asked, who = first[backed], doc[backed]
+        order = np.lexsort((who, asked))
+        asked, who = asked[order], who[order]
         to = _deal(contexts, parts)
         asked_to = _deal(asked, parts)
         for p in np.unique(np.concatenate([to, asked_to])).tolist():
@@ -370,8 +400,8 @@ def score(docs: DataFrame) -> DataFrame:
         for task in np.unique(tasks).tolist():
             mine = tasks == task
             number = (docs_[mine] & 0xFFFFFFFF).astype(np.uint32)
-            zeros = np.zeros(mine.sum())
-            yield task % parts, _shut("sums", (task, number, total[mine], zeros, zeros))
+            zeros = np.zeros(mine.sum(), dtype=np.uint8)
+            yield task % parts, _shut("sums", (task, number, _fixed(total[mine]), zeros, zeros))
 
     def results(rows: Iterator) -> Iterator:
         about, parts_ = {}, {}
@@ -382,21 +412,21 @@ def score(docs: DataFrame) -> DataFrame:
             else:
                 parts_.setdefault(value[0], []).append(value[1:])
         for task, (ids, sizes) in about.items():
-            total = np.zeros((3, len(ids)))
+            total = np.zeros((3, len(ids)), dtype=np.int64)
             for number, *columns in parts_.get(task, []):
                 for row, column in zip(total, columns, strict=True):
-                    np.add.at(row, number >> 1, column)
+                    np.add.at(row, number >> 1, column.astype(np.int64))
             start = np.log10(starts + 1.0)
-            base = total[1] - sizes * np.log10(tokens + vocabulary + 1.0)
+            base = total[1] / FIXED_ONE - sizes * np.log10(tokens + vocabulary + 1.0)
             for i, doc_id in enumerate(ids):
                 yield (
                     doc_id,
                     held_out(doc_id),
                     int(sizes[i]),
-                    int(round(total[2, i])),
+                    int(total[2, i]),
                     tokens,
                     float(base[i]),
-                    float(total[0, i] - start),
+                    float(total[0, i] / FIXED_ONE - start),
                 )
 
     starts = split[int(END)]
