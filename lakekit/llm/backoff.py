@@ -152,16 +152,19 @@ def _pack_pairs(task: int, first: np.ndarray, second: np.ndarray, doc: np.ndarra
 
 
 def _unpack_pairs(packed: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``first, second, doc`` of all pairs of a partition, sorted by second and first."""
+    """``first, second, doc`` of all pairs of a partition, sorted by second and first. The
+    packed ones are given up on the way."""
     parts = []
     for task, words, per_word, firsts, at, per_type, doc in packed:
         per_type = per_type.astype(np.int64)
         second = np.repeat(np.repeat(words, per_word.astype(np.int64)), per_type)
         parts.append((np.repeat(firsts[at], per_type), second, doc.astype(np.int64) + (task << 32)))
+    packed.clear()
     first, second, doc = (np.concatenate(x) for x in zip(*parts, strict=True))
     del parts
     order = np.lexsort((first, second))
-    return first[order], second[order], doc[order]
+    first, second = first[order], second[order]
+    return first, second, doc[order]
 
 
 def _texts_to_pairs(docs: DataFrame, parts: int, split: np.ndarray) -> RDD:
@@ -178,6 +181,7 @@ def _texts_to_pairs(docs: DataFrame, parts: int, split: np.ndarray) -> RDD:
 
         def rows() -> Iterator[pa.RecordBatch]:
             first, second, doc = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
             part = _part(first, second, parts, split)
             order = np.argsort(part, kind="stable")
             cuts = np.searchsorted(part[order], np.arange(parts + 1))
@@ -194,6 +198,7 @@ def _texts_to_pairs(docs: DataFrame, parts: int, split: np.ndarray) -> RDD:
             words, counts = word_hashes(batch.column("text"))
             doc_ids = batch.column("doc_id").to_pylist()
             number = 2 * (numbered + np.arange(len(counts))) + [held_out(i) for i in doc_ids]
+            number = number.astype(np.uint32)
             # An end after each text's words; the word before, or a start.
             ends = np.cumsum(counts)
             second = np.insert(words, ends, END)
@@ -206,7 +211,7 @@ def _texts_to_pairs(docs: DataFrame, parts: int, split: np.ndarray) -> RDD:
             waiting += len(second)
             if waiting >= FLUSHED_TOKENS:
                 yield from rows()
-                held, waiting = [], 0
+                waiting = 0
         if held:
             yield from rows()
         if ids:
@@ -220,8 +225,11 @@ def _texts_to_pairs(docs: DataFrame, parts: int, split: np.ndarray) -> RDD:
 
 
 def _part(first: np.ndarray, second: np.ndarray, parts: int, split: np.ndarray) -> np.ndarray:
-    key = np.where(np.isin(second, split), second ^ (first >> np.uint64(7)) ^ first, second)
-    return ((key >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
+    key = second >> np.uint64(20)
+    hot = np.flatnonzero(np.isin(second, split))
+    key[hot] = (second[hot] ^ (first[hot] >> np.uint64(7)) ^ first[hot]) >> np.uint64(20)
+    key %= np.uint64(parts)
+    return key.astype(np.int32)
 
 
 def _partition(rows: Iterator) -> tuple[list, list]:
@@ -351,6 +359,7 @@ def score(docs: DataFrame) -> DataFrame:
         weights = (np.repeat(x, per_type) for x in (value, base, (word_count > 0).astype(float)))
         by_doc = [np.bincount(doc_of, x, minlength=len(at)) for x in weights]
         by_doc = [_fixed(by_doc[0]), _fixed(by_doc[1]), _narrow(by_doc[2])]
+        del value, base, weights, doc_of
         tasks = at >> 32
         for task in np.unique(tasks).tolist():
             rows_ = tasks == task
