@@ -3,28 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lakekit.ml import metrics
+from lakekit.ml.boosting import Fit, as_model, find_cells, fit_trees, held_out_scores, pack_blocks
 from lakekit.ml.features import (
     FLAG_INPUTS,
-    INPUT,
     NUMERIC_INPUTS,
+    TERMS,
     hash_bucket,
-    input_stages,
+    sparse_schema,
     term_counter,
     train_test_split,
     with_terms,
 )
 from lakekit.operators.labels import derived_flags, label_by_threshold, score_thresholds
 from lakekit.session import checkpointed, staged
+from lakekit.sources.tables import spread_small
 
 # The searched grid.
 GRID_DEPTHS = (4, 6)
@@ -40,44 +39,41 @@ def fit_engagement(
     cv_folds: int = 3,
     depths: Sequence[int] = GRID_DEPTHS,
     iterations: Sequence[int] = GRID_ITERATIONS,
-    parallelism: int = 2,
     seed: int = 42,
 ) -> tuple[PipelineModel, dict[str, float]]:
-    """Choose the grid point by cross-validated area under the curve, refit on all training rows.
+    """Choose the grid point by cross-validated area under the curve, fitted on all training rows.
 
     ``terms`` is a term-vector table with the inputs and the score; the model starts from it. The score
-    thresholds behind the labels come from training rows only. Inputs are weighted and
-    scaled once per fold, since the grid only touches the trees.
+    thresholds behind the labels come from training rows only. Weights of words and scales of numbers do not
+    change the order of values, so trees are grown on counts and numbers as they are. All folds and
+    depths grow side by side, and fewer iterations are the first trees of more.
     """
     learn, judge = train_test_split(terms, seed=seed)
     thresholds = checkpointed(score_thresholds(learn, percentile))
     learn, judge = label_by_threshold(learn, thresholds), label_by_threshold(judge, thresholds)
-    inputs = Pipeline(stages=input_stages())
-    trees = GBTClassifier(featuresCol=INPUT, labelCol="label", seed=seed)
-    grid = ParamGridBuilder().addGrid(trees.maxDepth, list(depths)).addGrid(trees.maxIter, list(iterations)).build()
-
-    totals = [0.0] * len(grid)
-    fold = hash_bucket(cv_folds, seed + 1)
-    for i in range(cv_folds):
-        fit_rows, held_out = learn.filter(fold != i), learn.filter(fold == i)
-        fitted = inputs.fit(fit_rows)
-        # Every grid point reads these several times.
-        with (
-            staged(fitted.transform(fit_rows).select(INPUT, "label"), f"cv{i}_fit") as fit_set,
-            staged(fitted.transform(held_out).select(INPUT, "label"), f"cv{i}_held") as held_set,
-            ThreadPoolExecutor(max_workers=parallelism) as pool,
-        ):
-
-            def measure(params, fit_set=fit_set, held_set=held_set):
-                return _area(trees.fit(fit_set, params).transform(held_set))
-
-            totals = [t + m for t, m in zip(totals, pool.map(measure, grid), strict=True)]
-    averages = [t / cv_folds for t in totals]
+    numbers = [*NUMERIC_INPUTS, *FLAG_INPUTS]
+    learn = learn.select(TERMS, *numbers, "label", hash_bucket(cv_folds, seed + 1).alias("fold"))
+    grid = [(depth, trees) for depth in depths for trees in iterations]
+    fits = [Fit(fold, depth) for depth in depths for fold in (-1, *range(cv_folds))]
+
+    with staged(learn, "engagement_learn", sparse_schema(learn.schema)) as stored:
+        rows = stored.select(f"{TERMS}.*", *numbers, "label", "fold")
+        words = rows.agg(F.max("size")).first()[0] or 0
+        cells = find_cells(rows, numbers, words)
+        with staged(pack_blocks(spread_small(rows), numbers, cells), "engagement_blocks") as blocks:
+            fit_trees(blocks, cells, fits, max(iterations))
+            with staged(held_out_scores(blocks, cells, fits, iterations), "held_out") as scores:
+                areas = metrics.area_under_roc(scores, by=["fit", "trees"]).collect()
+    # A fold that lacks one of the labels counts 0, so that it favours no grid point.
+    found = {(r["fit"], r["trees"]): r["area_under_roc"] or 0.0 for r in areas}
+    averages = [
+        sum(found.get((e, trees), 0.0) for e, fit in enumerate(fits) if fit.depth == depth and fit.fold >= 0) / cv_folds
+        for depth, trees in grid
+    ]
     best = max(range(len(grid)), key=averages.__getitem__)
-
-    fitted = inputs.fit(learn)
-    with staged(fitted.transform(learn).select(INPUT, "label"), "engagement_fit") as fit_set:
-        model = PipelineModel([*fitted.stages, trees.fit(fit_set, grid[best])])
+    depth, trees = grid[best]
+    whole = next(fit for fit in fits if fit.depth == depth and fit.fold < 0)
+    model = PipelineModel([as_model(whole, cells, trees, terms=TERMS, numbers=numbers)])
     return model, {**area_metrics(model.transform(judge)), "best_avg_metric": averages[best]}
 
 
@@ -94,9 +90,8 @@ def train_engagement(
 
 
 def _area(predictions: DataFrame) -> float:
-    """The exact area under the ROC curve; 0 where a fold lacks one of the labels, so that it favours no grid point."""
-    scored = predictions.select(vector_to_array("rawPrediction")[1].alias("score"), "label")
-    return metrics.area_under_roc(scored).first()[0] or 0.0
+    """The exact area under the ROC curve; 0 if one of the labels is missing."""
+    return metrics.area_under_roc(predictions, "rawPrediction").first()[0] or 0.0
 
 
 def area_metrics(predictions: DataFrame) -> dict[str, float]:
@@ -122,7 +117,7 @@ def with_engagement(model: PipelineModel, flagged: DataFrame) -> DataFrame:
     return (
         model.transform(flagged)
         .withColumnRenamed("prediction", "is_high_engagement")
-        .withColumn("engagement_probability", vector_to_array("probability")[1])
+        .withColumnRenamed("probability", "engagement_probability")
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,18 +32,20 @@ def class_metrics(predictions: DataFrame) -> DataFrame:
     )
 
 
-def area_under_roc(predictions: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """One row with ``area_under_roc``: the probability that a row of label 1 scores above one of
+def area_under_roc(
+    predictions: DataFrame, score: str = "score", label: str = "label", by: Sequence[str] = ()
+) -> DataFrame:
+    """One row (for each value of ``by``) with ``area_under_roc``: the probability that a row of label 1 scores above one of
     label 0, ties counting half. Null if there is no row of either label.
 
     It is a sum over distinct scores of the ranks that their rows of label 1 take among those of label 0.
     """
     is_one = F.col(label) == 1
-    counts = predictions.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(score).agg(
+    counts = predictions.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(*by, score).agg(
         F.count_if(~is_one).alias("n"), F.count_if(is_one).alias("ones")
     )
-    ranked = ranked_in_order(counts, [], score)
+    ranked = ranked_in_order(counts, list(by), score)
     # Rows of label 0 with a lower score, and half of those with the same one, in halves.
     above = F.sum(F.col("ones") * (2 * F.col("_upto") - F.col("n")))
     pairs = F.sum("ones") * F.sum("n")
-    return ranked.agg(ratio(above, 2 * pairs).alias("area_under_roc"))
+    return ranked.groupBy(*by).agg(ratio(above, 2 * pairs).alias("area_under_roc"))

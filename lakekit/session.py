@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _local_folders: dict[str, str] = {}
 
@@ -68,12 +69,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
-    """:func:`stage` for the length of a block; the files are freed at its end."""
+def staged(df: DataFrame, name: str, schema: StructType | None = None) -> Iterator[DataFrame]:
+    """:func:`stage` for the length of a block; the files are freed at its end. They are read by
+    ``schema``, if it is given."""
     spark = df.sparkSession
     path = _write_staged(df, name)
     try:
-        yield spark.read.schema(df.schema).parquet(path)
+        yield spark.read.schema(schema or df.schema).parquet(path)
     finally:
         # Overwriting with no rows drops the files by means of Spark alone.
         spark.range(0).coalesce(1).write.mode("overwrite").parquet(path)
