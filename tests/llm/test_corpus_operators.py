@@ -376,6 +376,25 @@ def test_quality_rules_keep_unseen_good_documents_and_drop_toxic_ones(spark):
     assert quality_rules.judge_labelled(frame.limit(0), labels).count() == 0
 
 
+def test_quality_rules_learn_from_all_trusted_documents(spark):
+    """The fit takes every one of them, and the threshold the lowest score of all, each unseen."""
+    draw = random.Random(9)
+    names = [f"w{i}" for i in range(30)]
+    rows = [(i, " ".join(draw.choice(names) for _ in range(80))) for i in range(40)]
+    rows += [(100 + i, " ".join(f"odd{i}x{j}" for j in range(60))) for i in range(10)]
+    rows += [(200 + i, " ".join(f"j{draw.randrange(30)}" for _ in range(300))) for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], 1, 0) for r in rows if r[0] < 200], "doc_id long, quality int, toxic int")
+    found = quality_rules.log_ratios(frame, labels.select("doc_id"), parts=3, buckets=64).first()
+    parts = {r[0]: r[1] for r in frame.select("doc_id", quality_rules._part(3)).collect()}
+    for p, got in enumerate([found["ratios"], *found["without"]], -1):
+        ids = spark.createDataFrame([(i,) for i in parts if i < 200 and parts[i] != p], "doc_id long")
+        assert got == pytest.approx(quality_rules.log_ratios(frame, ids, buckets=64).first()["ratios"])
+    # Each odd text has words of its own, so only its own score can keep it.
+    kept = {r["doc_id"] for r in quality_rules.judge_labelled(frame, labels).filter("kept").collect()}
+    assert kept >= {r[0] for r in rows if r[0] < 200}
+
+
 def test_backoff(spark, docs, empty):
     rows = _rows()
     texts = [[*WORD.findall(_low(r[1])), "</s>"] for r in rows]
