@@ -39,7 +39,10 @@ def joined_text(title: Column, body: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """Words of an already cleaned text; the empty text has none."""
-    return F.when(text == "", F.lit(0)).otherwise(F.size(F.split(text, WHITESPACE))).cast("long")
+    spaces = F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
+    # Cleaned text has single spaces, unless a control character stood between two: then words are split.
+    runs = F.when(F.contains(text, F.lit("  ")), F.size(F.split(text, WHITESPACE))).otherwise(spaces + 1)
+    return F.when(text == "", F.lit(0)).otherwise(runs).cast("long")
 
 
 def tokens(text: Column, min_length: int = 3) -> Column:

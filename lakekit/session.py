@@ -59,19 +59,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, schema: StructType | None = None) -> DataFrame:
     """Write ``df`` once under the shared folder and read it back.
 
     Used where several actions need the same expensive frame: files outlive a
-    lost executor, a cache block does not.
+    lost executor, a cache block does not. They are read by ``schema``, if it is given.
     """
-    return df.sparkSession.read.schema(df.schema).parquet(_write_staged(df, name))
+    return df.sparkSession.read.schema(schema or df.schema).parquet(_write_staged(df, name))
 
 
 @contextmanager
 def staged(df: DataFrame, name: str, schema: StructType | None = None) -> Iterator[DataFrame]:
-    """:func:`stage` for the length of a block; the files are freed at its end. They are read by
-    ``schema``, if it is given."""
+    """:func:`stage` for the length of a block; the files are freed at its end."""
     spark = df.sparkSession
     path = _write_staged(df, name)
     try:

@@ -521,10 +521,12 @@ def term_vectors(spark, sf_dir):
     settings = {"min_token_length": SETTINGS.min_token_length, "min_doc_freq": SETTINGS.min_doc_freq}
     events = stage(events.select(*EVENT_KEYS, "text"), "texts")
     counter = features.term_counter(events, vocab_size=SETTINGS.vocab_size, **settings)
-    counts = F.filter(vector_to_array(features.TERMS), lambda n: n > 0)
-    counted = features.with_terms(counter, events).withColumn("counts", counts)
-    total = F.aggregate("counts", F.lit(0.0), lambda a, n: a + n)
-    return counted.select(*EVENT_KEYS, F.size("counts").alias("n_distinct"), total.cast("long").alias("n_words"))
+    vectors = features.with_terms(counter, events)
+    # Read as what each text holds: a number for each word of the vocabulary would be far more.
+    counted = stage(vectors, "term_vectors", features.sparse_schema(vectors.schema))
+    counts = F.col(f"{features.TERMS}.values")
+    total = F.aggregate(counts, F.lit(0.0), lambda a, n: a + n)
+    return counted.select(*EVENT_KEYS, F.size(counts).alias("n_distinct"), total.cast("long").alias("n_words"))
 
 
 # --- jobs --------------------------------------------------------------------

@@ -11,6 +11,7 @@ from lakekit.ml.features import hash_bucket, train_test_split
 from lakekit.operators.labels import derived_flags
 from lakekit.plans import jobs
 from lakekit.schema import EVENT_KEYS
+from lakekit.session import stage
 from lakekit.sources.tables import upsert
 
 
@@ -194,3 +195,13 @@ def test_engagement(events):
     assert scored.count() == events.count()
     assert scored.filter("engagement_probability NOT BETWEEN 0 AND 1").isEmpty()
     assert scored.filter("is_high_engagement NOT IN (0.0, 1.0)").isEmpty()
+
+
+def test_vectors_are_read_as_what_texts_hold(spark):
+    """No frame of the words' counts is as wide as the vocabulary."""
+    df = spark.createDataFrame([("t", "1", "one two two")], "topic string, event_id string, text string")
+    counter = features.term_counter(df, vocab_size=50, min_doc_freq=1)
+    assert len(counter.stages) == 2
+    vectors = features.with_terms(counter, df)
+    plain = stage(vectors, "plain", features.sparse_schema(vectors.schema)).first()[features.TERMS]
+    assert (plain["size"], plain["indices"], plain["values"]) == (2, [0, 1], [2.0, 1.0])
