@@ -21,14 +21,19 @@ pairs that the tree leaves the same sum over the parts of the groups, each split
 
 **Verifying.** Pairs that survive are verified with their sets.
 
+Near copies meet in hundreds of buckets of nearly the same classes. Buckets with the same least
+class are searched as one where that is less work, so a pair is found a few times, not in each.
+
 For the groups alone, first every class is verified with one class of its buckets, the
-one it shares most with; then the trees search only for pairs of classes not yet
-connected. A group of thousands of near copies costs its size, not its square.
+one it shares most with, and again with another while that connects classes; then the trees
+search only for pairs of classes not yet connected. A group of thousands of near copies costs
+its size, not its square.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -52,6 +57,10 @@ NODE_ROWS = 16
 # Classes of a bucket that one task holds; larger buckets are searched in pairs of blocks.
 BLOCK_CLASSES = 2048
 FLUSHED_KEYS = 2_000_000
+# Classes are verified with one other of their buckets at most so many times before the search.
+ROUNDS = 2
+# So many of its cells a class names, the first by number: pairs it shares in none of them are given again.
+NAMED_CELLS = 32
 _CLASS_GROWTH = 1.5
 _A, _B = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 
@@ -410,30 +419,53 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFram
     return stage(joined.mapInArrow(check, "a long, b long"), "links")
 
 
+def _cells(meetings: DataFrame, buckets: DataFrame) -> DataFrame:
+    """What the trees search: ``whole, cell, _n, cls, comp``. A cell is a bucket, or all buckets of
+    one least class (``whole``), if the pairs of their classes are no more than those of the buckets.
+
+    ``buckets`` has bucket, ``_n`` and ``least``."""
+    rows = meetings.join(buckets, "bucket")
+    merged = rows.groupBy("least", "cls").agg(F.min("comp").alias("comp"))
+    work = buckets.groupBy("least").agg(F.sum(F.col("_n") * F.col("_n")).alias("_work"))
+    fewer = merged.groupBy("least").agg(F.count("*").alias("_n")).join(work, "least")
+    fewer = stage(fewer.filter("_n * _n <= _work").select("least", "_n"), "merged_buckets")
+    whole = merged.join(fewer, "least").selectExpr("true AS whole", "least AS cell", "_n", "cls", "comp")
+    apart = rows.join(fewer.select("least"), "least", "left_anti")
+    return whole.union(apart.selectExpr("false AS whole", "bucket AS cell", "_n", "cls", "comp"))
+
+
 def _searched(meetings: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of classes of different components that share a bucket and pass the bounds.
-    ``meetings`` has bucket, cls and comp; it is read twice."""
+    """Pairs of classes of different components that share a bucket and pass the bounds, and
+    others that pass them. ``meetings`` has bucket, cls and comp; it is read several times."""
     counts = meetings.groupBy("bucket").agg(
         F.count("*").alias("_n"), F.min("cls").alias("a"), F.max("cls").alias("b")
     )
     # Two classes are a pair as they are; more are searched with a tree.
     pairs = _bounded(counts.filter("_n = 2").select("a", "b").distinct(), classes)
-    rows = meetings.join(counts.filter("_n > 2").select("bucket", "_n"), "bucket")
+    rows = _cells(meetings, counts.filter("_n > 2").select("bucket", "_n", F.col("a").alias("least")))
+    rows = rows.withColumn("place", F.xxhash64("whole", "cell"))
+    places = F.slice(F.array_sort(F.collect_list("place")), 1, NAMED_CELLS)
+    rows = rows.join(rows.groupBy("cls").agg(places.alias("places")), "cls")
     rows = rows.join(classes.select("cls", "size", "point"), "cls")
     blocks = F.ceil(F.col("_n") / BLOCK_CLASSES)
     rows = rows.withColumn("_blocks", blocks)
     rows = rows.withColumn("_own", F.pmod(F.xxhash64("cls"), F.col("_blocks")))
-    # A row meets every block of its bucket, as the smaller or the larger one.
+    # A row meets every block of its cell, as the smaller or the larger one.
     rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
     rows = rows.withColumns(
         {"_i": F.least("_own", "_other"), "_j": F.greatest("_own", "_other")}
-    ).select("bucket", "_i", "_j", "_own", "cls", "comp", "size", "point")
+    ).select("whole", "cell", "_i", "_j", "_own", "cls", "comp", "size", "point", "place", "places")
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
         points = _points(rows["point"].tolist())
         size, comp, cls = (rows[c].to_numpy() for c in ("size", "comp", "cls"))
         own = rows["_own"].to_numpy()
         across = rows["_i"].iat[0] != rows["_j"].iat[0]
+        # The named cells before this one; the cell itself, which is left out, fills the rows.
+        place, named = rows["place"].iat[0], rows["places"].tolist()
+        earlier = np.full((len(rows), NAMED_CELLS), place)
+        for i, places in enumerate(named):
+            earlier[i, : len(places)] = np.minimum(places, place)
         tops = coarse(points)
         tree = CountTree(tops, size)
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -445,11 +477,14 @@ def _searched(meetings: DataFrame, classes: DataFrame) -> DataFrame:
             # The closer bound, over all parts of the groups.
             bound = np.minimum(points[near], points[i]).sum(axis=1)
             near = near[bound * (LIMIT[0] + LIMIT[1]) >= LIMIT[0] * (size[i] + size[near])]
+            before = earlier[i][earlier[i] < place]
+            if len(before) and len(near):
+                near = near[~np.isin(earlier[near], before).any(axis=1)]
             a.append(np.full(len(near), cls[i]))
             b.append(cls[near])
         return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
 
-    found = rows.groupBy("bucket", "_i", "_j").applyInPandas(search, "a long, b long")
+    found = rows.groupBy("whole", "cell", "_i", "_j").applyInPandas(search, "a long, b long")
     return pairs.union(found)
 
 
@@ -472,6 +507,27 @@ def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _verified(docs, pairs, classes), members.select("doc_id", "n", "cls")
 
 
+def _partners(meetings: DataFrame, turn: int) -> DataFrame:
+    """``a, b``: each class with one other, of another component. Every bucket names one of its
+    classes, in every turn by another order; of those that a class meets it takes the one it has most keys
+    in common with."""
+    order = F.xxhash64("cls", F.lit(turn)) if turn else F.col("cls")
+    named = meetings.groupBy("bucket").agg(F.min_by(F.struct("cls", "comp"), F.struct(order, "cls")).alias("_b"))
+    pairs = meetings.join(named, "bucket").filter("comp <> _b.comp")
+    pairs = pairs.groupBy("cls", F.col("_b.cls").alias("b")).agg(F.sum("weight").alias("_w"))
+    best = pairs.groupBy("cls").agg(F.max_by("b", F.struct("_w", "b")).alias("b"))
+    return best.select(F.least("cls", "b").alias("a"), F.greatest("cls", "b").alias("b"))
+
+
+def _open_meetings(meetings: DataFrame, links: DataFrame) -> DataFrame:
+    """``bucket, cls, weight, comp`` of the buckets that hold several components."""
+    found = components(links).select(F.col("vertex").alias("cls"), F.col("component").alias("_c"))
+    known = meetings.join(found, "cls", "left")
+    known = known.select("bucket", "cls", "weight", F.coalesce("_c", "cls").alias("comp"))
+    mixed = known.groupBy("bucket").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y"))
+    return stage(known.join(mixed.filter("_x <> _y").select("bucket"), "bucket"), "open_meetings")
+
+
 def jaccard_groups(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id``: for each document the smallest doc_id that links
     reach, itself included.
@@ -483,19 +539,14 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     stays null.
     """
     members, classes, meetings = _prepared(docs)
-    # First each class with one other of its buckets, the one with most keys in common.
-    first = meetings.groupBy("bucket").agg(F.min("cls").alias("b"))
-    pairs = meetings.join(first, "bucket").filter("cls <> b")
-    pairs = pairs.groupBy("cls", "b").agg(F.sum("weight").alias("_w"))
-    best = pairs.groupBy("cls").agg(F.max_by("b", F.struct("_w", "b")).alias("b"))
-    links = _verified(docs, _bounded(best.select(F.col("cls").alias("a"), "b"), classes), classes)
-    found = components(links).select(F.col("vertex").alias("cls"), F.col("component").alias("_c"))
+    open_, found = meetings.withColumn("comp", F.col("cls")), []
+    for turn in range(ROUNDS):
+        found.append(_verified(docs, _bounded(_partners(open_, turn), classes), classes))
+        if turn and found[-1].isEmpty():
+            break
+        links = reduce(DataFrame.union, found)
+        open_ = _open_meetings(open_.drop("comp"), links)
     # Then, in buckets that still hold several components, what lies between these.
-    known = meetings.join(found, "cls", "left")
-    known = known.select("bucket", "cls", F.coalesce("_c", "cls").alias("comp"))
-    mixed = known.groupBy("bucket").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y"))
-    mixed = mixed.filter("_x <> _y").select("bucket")
-    open_ = stage(known.join(mixed, "bucket"), "open_meetings")
     links = links.union(_verified(docs, _searched(open_, classes), classes))
     found = components(links).select(F.col("vertex").alias("cls"), F.col("component").alias("_c"))
     named = classes.join(found, "cls", "left").withColumn("_c", F.coalesce("_c", "cls"))

@@ -11,6 +11,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import public_tokenizers
 from lakekit.llm import (
@@ -80,6 +81,31 @@ def test_encoder_equals_the_library():
         assert all(np.array_equal(a, b) for a, b in zip(got, encoder.plain(texts), strict=True))
 
 
+def test_pairs_of_near_copies_are_found_once(spark, monkeypatch):
+    """Copies with a few other words each meet in many buckets; a pair comes from one of them."""
+    draw = random.Random(8)
+    base = [f"w{draw.randint(0, 10**6)}" for _ in range(400)]
+    texts = []
+    for _ in range(40):
+        own = list(base)
+        for i in draw.sample(range(400), 4):
+            own[i] = f"x{draw.randint(0, 10**6)}"
+        texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    _, classes, meetings = ngram_join._prepared(docs)
+    each = meetings.select("bucket", "cls", F.col("cls").alias("comp"))
+    pairs = [tuple(r) for r in ngram_join._searched(each, classes).collect()]
+    in_buckets = meetings.groupBy("bucket").count().selectExpr("sum(count * (count - 1) div 2)").first()[0]
+    assert in_buckets > 10 * len(pairs) and len(pairs) < 2 * len(set(pairs))
+    # All links are among them, however few cells a class names.
+    sets = [_set(t) for t in texts]
+    want = sum(5 * len(a & b) >= 4 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    assert want > 0
+    for named in (32, 1):
+        monkeypatch.setattr(ngram_join, "NAMED_CELLS", named)
+        assert ngram_join.jaccard_links(docs)[0].distinct().count() == want
+
+
 def test_jaccard_groups(spark, docs, empty):
     rows = _rows()
     sets = [_set(r[1]) for r in rows]
