@@ -117,7 +117,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = rows.withColumn("_places", _repeated_places(F.col("_packed"), words))
     counts = {
         "n_words": F.size(words),
-        "word_chars": F.length(body) - F.regexp_count(body, F.lit(r"[\x20\x09-\x0D]")),
+        "word_chars": F.length(F.array_join(words, "")),
         "n_symbols": F.regexp_count(body, F.lit(SYMBOLS)),
         "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
         "n_repeat_words": _covered(F.col("_places")),
@@ -131,15 +131,30 @@ def base_failed() -> Column:
     return few | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
 
 
+def _bucket(hashed: Column, buckets: int) -> Column:
+    """As ``pmod``; the last bits are the remainder where the buckets are a power of two."""
+    if buckets & (buckets - 1) == 0:
+        return hashed.bitwiseAND(F.lit(buckets - 1))
+    return F.pmod(hashed, F.lit(buckets))
+
+
 def hashed_ngrams(hashes: Column, buckets: int = BUCKETS) -> Column:
     """A bucket for every word and every pair of neighbours (the last has none)."""
-    singles = F.transform(hashes, lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
-    pairs = F.transform(
-        hashes, lambda h, i: F.pmod(F.xxhash64(h, F.get(hashes, i + 1)), F.lit(buckets)).cast("int")
-    )
+    singles = F.transform(hashes, lambda h: _bucket(h, buckets).cast("int"))
+    pairs = F.transform(hashes, lambda h, i: _bucket(F.xxhash64(h, F.get(hashes, i + 1)), buckets).cast("int"))
     return F.concat(singles, pairs)
 
 
+def _summed_ratios(hashes: Column, ratios: Column, buckets: int) -> Column:
+    """The sum of the ratios of :func:`hashed_ngrams`, without an array of them."""
+
+    def of(h: Column, i: Column) -> Column:
+        pair = F.xxhash64(h, F.get(hashes, i + 1))
+        return F.get(ratios, _bucket(h, buckets)) + F.get(ratios, _bucket(pair, buckets))
+
+    return F.aggregate(F.transform(hashes, of), F.lit(0.0), lambda total, x: total + x)
+
+
 def _known(ids: DataFrame) -> DataFrame:
     """All distinct ids but null."""
     return ids.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct()
@@ -205,11 +220,11 @@ def _constant(numbers: list[float]) -> Column:
 def _scored(docs: DataFrame, ratios: Column, buckets: int) -> DataFrame:
     """``docs`` with the counts, ``base_failed`` and ``score``."""
     rows = measure(docs)
-    rows = rows.withColumn("_grams", hashed_ngrams(F.col("_hashes"), buckets))
-    summed = F.aggregate("_grams", F.lit(0.0), lambda total, g: total + F.get(ratios, g))
-    score = summed / F.greatest(F.size("_grams"), F.lit(1))
+    # A word and a pair for each place.
+    summed = _summed_ratios(F.col("_hashes"), ratios, buckets)
+    score = summed / F.greatest(2 * F.size("_hashes"), F.lit(1))
     rows = rows.withColumns({"base_failed": base_failed(), "score": score})
-    return rows.drop("_words", "_hashes", "_grams")
+    return rows.drop("_words", "_hashes")
 
 
 def _lowered_threshold(

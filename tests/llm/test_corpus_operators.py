@@ -517,3 +517,18 @@ def test_pack(spark, docs, empty):
         filled[r["sequence_id"]] = r["offset"] + r["length"]
     assert all(filled[s] == 64 for s in range(max(filled))) and sorted(filled) == list(range(max(filled) + 1))
     assert packing.pack(empty, tokenizer=BYTES, end_id=1).count() == 0
+
+
+def test_summed_ratios_are_those_of_the_ngrams(spark):
+    texts = ["", " a", "a b", "a b a b c\t\x0bd\x85e \xa0f", "wörter 中文 wörter"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    for buckets in (64, 60):
+        ratios = F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda g: F.log(g + 2.0))
+        hashes = quality_rules.word_hashes(quality_rules.word_array(F.col("text")))
+        grams = quality_rules.hashed_ngrams(hashes, buckets)
+        plain = F.aggregate(grams, F.lit(0.0), lambda total, g: total + F.get(ratios, g))
+        summed = quality_rules._summed_ratios(hashes, ratios, buckets)
+        for got, want, n, words in rows.select(summed, plain, F.size(grams), F.size(hashes)).collect():
+            assert got == pytest.approx(want) and n == 2 * words
+    counted = quality_rules.measure(rows).select("word_chars").collect()
+    assert [r[0] for r in counted] == [len("".join(WORD.findall(t))) for t in texts]
