@@ -383,6 +383,30 @@ def test_quality_rules(spark, docs, empty):
     assert quality_rules.judge(empty.select("doc_id", "text"), trusted).count() == 0
 
 
+def test_quality_rules_keep_their_ratios_out_of_the_plans(spark, docs):
+    """The driver keeps the text of every plan, so numbers of all buckets in them fill its memory."""
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic")).limit(5)
+    judged = quality_rules.judge_labelled(docs.select("doc_id", "text").limit(20), labels)
+    assert len(judged._jdf.queryExecution().toString()) < 8 * quality_rules.BUCKETS
+
+
+def test_quality_rules_count_every_hashed_ngram(spark):
+    texts = ["", " a", "a b a", None, "b c\t\x0bd\x85e \xa0f", "wörter 中文 wörter"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    hashes = quality_rules.word_hashes(quality_rules.word_array(F.col("text")))
+    counts = dict.fromkeys(range(64), 0)
+    chosen = dict.fromkeys(range(64), 0)
+    for i, grams in frame.select("doc_id", quality_rules.hashed_ngrams(hashes, 64)).collect():
+        for g in grams:
+            counts[g] += 1
+            chosen[g] += i == 2
+    n, t, prior = sum(counts.values()), sum(chosen.values()), quality_rules.PRIOR * 64
+    shares = [(counts[g] + quality_rules.SMOOTHING) / (n + quality_rules.SMOOTHING * 64) for g in range(64)]
+    want = [math.log((chosen[g] + prior * s) / (t + prior)) - math.log(s) for g, s in enumerate(shares)]
+    found = quality_rules.log_ratios(frame, frame.filter("doc_id = 2"), buckets=64).first()
+    assert found["ratios"] == pytest.approx(want)
+
+
 def test_quality_rules_keep_unseen_good_documents_and_drop_toxic_ones(spark):
     draw = random.Random(8)
     names = [f"w{i}" for i in range(40)]
