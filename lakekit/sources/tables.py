@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakekit.session import checkpointed
+from lakekit.session import checkpointed, stored
 from lakekit.sources import versions
 
 
@@ -27,17 +27,18 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
 MAX_SPREAD_SPLITS = 64
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Give every core a share of a small scan.
+def spread_small(df: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """Give every core a share of a small scan, or of the ``wanted`` rows derived from it.
 
     A small file often is one row group, hence one task however many splits it
     shows, and text work on it would use one core. A scan of more splits than
     cores, or than a fixed bound, is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
+    rows = df if wanted is None else wanted
     if df.rdd.getNumPartitions() > min(cores, MAX_SPREAD_SPLITS):
-        return df
-    return df.repartition(cores)
+        return rows
+    return rows.repartition(cores)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -74,7 +75,7 @@ def write_path(
     """Parquet at ``path``. Skip ``rebalance`` when the frame holds one partition only:
     its tasks can then write where they stand, without a shuffle."""
     spread = _spread(df, partition_by, rebalance, cluster_by)
-    spread.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    stored(spread).mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 @dataclass(frozen=True)

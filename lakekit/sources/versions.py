@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from lakekit.session import stored
 from lakekit.sources.bronze import read_optional
 
 RUN = "_run"
@@ -182,7 +183,7 @@ def commit(
     last = latest_version(spark, path)
     run = uuid.uuid4().hex
     folder = f"{_data(path)}/{RUN}={run}"
-    rows.write.partitionBy(*parts).parquet(folder)
+    stored(rows).partitionBy(*parts).parquet(folder)
 
     shape = _listing_schema(rows.schema, parts)
     written = spark.read.schema(rows.schema).option("basePath", _data(path)).parquet(folder)

@@ -15,7 +15,7 @@ from lakekit.ml import engagement, features, metrics, models, scoring, sentiment
 from lakekit.operators import gold, labels, profile, quality, silver
 from lakekit.plans import jobs, sql, tiles, views
 from lakekit.schema import EVENT_KEYS
-from lakekit.session import configure, shared_folder, stage, staged
+from lakekit.session import configure, shared_folder, stage, staged, stored
 from lakekit.sources import batches, bronze, tables
 from lakekit.workload import frames
 from lakekit.workload.frames import AS_OF, FIRST_INGEST, SECOND_INGEST
@@ -537,9 +537,10 @@ def _landed_lake(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     moderators removed are landed again without their ids."""
     root = _run_folder(spark, "lake")
     posts = frames.raw_posts(spark, sf_dir)
-    lost = posts.filter("`channel.nsfw`").withColumn("id", F.lit(None).cast("string"))
-    posts.unionByName(lost).write.parquet(f"{root}/landing/docs/posts.parquet")
-    frames.raw_comments(spark, sf_dir).write.parquet(f"{root}/landing/chat/comments.parquet")
+    # Both deliveries of a post come from one reading of its text.
+    landed = posts.withColumn("id", F.explode(F.expr("IF(`channel.nsfw`, array(id, NULL), array(id))")))
+    stored(landed).parquet(f"{root}/landing/docs/posts.parquet")
+    stored(frames.raw_comments(spark, sf_dir)).parquet(f"{root}/landing/chat/comments.parquet")
     paths = {
         "bronze_dir": f"{root}/bronze",
         "events_path": f"{root}/silver/events",

@@ -2,14 +2,17 @@
 
 import datetime as dt
 import decimal
+from urllib.parse import urlparse
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from lakekit.session import staged
 from lakekit.sources import versions
-from lakekit.sources.tables import upsert
+from lakekit.sources.tables import upsert, write_path
 
 SCHEMA = StructType(
     [StructField("k", LongType()), StructField("p", StringType()), StructField("v", StringType())]
@@ -161,3 +164,14 @@ def test_forgetting_versions(spark, tmp_path):
     assert _read(spark, path) == want
     assert spark.read.parquet(f"{path}/data").filter(F.col("v") == "left").isEmpty()
     assert versions.forget_versions(spark, str(tmp_path / "none")) == 0
+
+
+def test_stored_texts_are_packed_closely(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr("id AS k", "'a' AS p", "concat_ws(' ', md5(CAST(id AS STRING)), 'words', id) AS v")
+    versions.commit(rows, f"{tmp_path}/t", partition_by=["p"], touched=None)
+    write_path(rows, f"{tmp_path}/u")
+    with staged(rows, "v") as source:
+        files = [urlparse(f).path for f in source.inputFiles()]
+        files += [*tmp_path.glob("t/data/**/*.parquet"), *tmp_path.glob("u/*.parquet")]
+        codecs = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files}
+        assert len(files) > 2 and codecs == {"ZSTD"}
