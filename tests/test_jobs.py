@@ -13,10 +13,11 @@ from lakekit.operators.quality import (
 from lakekit.operators.silver import to_events
 from lakekit.plans import jobs
 from lakekit.schema import EVENT_KEYS
-from lakekit.session import staged
+from lakekit.session import staged, stored
 from lakekit.sources import batches, versions
 from lakekit.sources.bronze import add_lineage
 from lakekit.sources.tables import upsert
+from lakekit.workload import frames, queries
 
 SETTINGS = jobs.ModelSettings(
     topic_count=3,
@@ -316,3 +317,38 @@ def test_gold_after_batches_equals_a_full_run(spark, tmp_path, events):
     assert _gold_rows(spark, step) == _gold_rows(spark, whole)
     with pytest.raises(RuntimeError, match="no events"):
         jobs.gold_job(spark, events_path=str(tmp_path / "none"), gold_dir=step)
+
+
+@pytest.fixture
+def posts_dir(spark, tmp_path):
+    text = F.concat_ws(" ", F.lit("text"), "id").alias("text")
+    documents = spark.range(40).select(F.col("id").alias("doc_id"), text, F.lit("en").alias("lang"))
+    documents.withColumns({"source": F.lit("s"), "n_chars": F.lit(90)}).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.range(0, 40, 4).selectExpr("id AS doc_id", "0 AS quality", "CAST(id % 8 = 0 AS INT) AS toxic")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    columns = "conv_id long, turn int, role string, text string"
+    spark.createDataFrame([(1, 1, "user", "x" * 80)], columns).write.parquet(f"{tmp_path}/conversations.parquet")
+    return str(tmp_path)
+
+
+def test_redelivered_posts_move_texts_with_a_label_only(spark, posts_dir):
+    again = frames.relabelled_posts(spark, posts_dir)
+    assert {r["id"] for r in again.select("id").collect()} == {str(i) for i in range(0, 40, 4)}
+    plan = again._jdf.queryExecution().optimizedPlan().toString()
+    # Deeper in the plan is earlier: the semi-join comes before the texts are spread.
+    assert plan.index("Repartition") < plan.index("LeftSemi")
+
+
+def test_landed_posts_are_read_once(spark, posts_dir, monkeypatch):
+    plans = []
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stored(df)
+
+    monkeypatch.setattr(queries, "stored", noted, raising=False)
+    paths = queries._landed_lake(spark, posts_dir)
+    assert plans[0].count("Repartition") == 1
+    landed = spark.read.parquet(paths["bronze_dir"].replace("/bronze", "/landing/docs/posts.parquet"))
+    ids = [r["id"] for r in landed.select("id").collect()]
+    assert ids.count(None) == 5 and sorted(i for i in ids if i) == sorted(map(str, range(40)))
