@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Results depend on these exact patterns and tokens.
 WHITESPACE = r"\s+"
+# The same runs but single spaces, which stay as they are: most of a text's runs cost no replacement.
+UNEVEN_SPACE = r"[\t\n\x0B\f\r]\s*| \s+"
 CONTROL_CHARS = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 PLACEHOLDERS = ["[removed]", "[deleted]", "", "n/a"]
 
@@ -20,8 +22,8 @@ def clean_text(text: Column, strip_controls_first: bool = False) -> Column:
     """
     if strip_controls_first:
         spaced = F.translate(text, "\x0b\x0c", "  ")
-        return F.trim(F.regexp_replace(F.regexp_replace(spaced, CONTROL_CHARS, ""), WHITESPACE, " "))
-    return F.trim(F.regexp_replace(F.regexp_replace(text, WHITESPACE, " "), CONTROL_CHARS, ""))
+        return F.trim(F.regexp_replace(F.regexp_replace(spaced, CONTROL_CHARS, ""), UNEVEN_SPACE, " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(text, UNEVEN_SPACE, " "), CONTROL_CHARS, ""))
 
 
 def is_placeholder(text: Column) -> Column:

@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lakekit.functions.text import clean_text, is_placeholder, tokens, word_count
+from lakekit.functions.text import UNEVEN_SPACE, clean_text, is_placeholder, tokens, word_count
 
 SAMPLES = [
     ("a\t b", "a b"),
@@ -24,6 +24,14 @@ def test_clean_text_samples(spark):
     assert [r["got"] for r in got] == [r["want"] for r in got]
 
 
+def test_single_spaces_cost_no_replacement(spark):
+    texts = [("a b  c\t d \n e\x0b\x0cf ",), (" \r\n",), ("a b",), ("",)]
+    rows = spark.createDataFrame(texts, "t string")
+    got = rows.select(F.regexp_replace("t", UNEVEN_SPACE, " "), F.regexp_count("t", F.lit(UNEVEN_SPACE))).collect()
+    assert [r[0] for r in got] == [re.sub(r"\s+", " ", t) for (t,) in texts]
+    assert [r[1] for r in got] == [4, 1, 0, 0]
+
+
 def test_strip_controls_first_leaves_single_spaces(spark):
     df = spark.createDataFrame([("a \x01 b",), ("a\x0cb",)], "raw string")
     got = [r[0] for r in df.select(clean_text(F.col("raw"), True)).collect()]
