@@ -30,13 +30,15 @@ from pyspark import RDD, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.encoding import slices, small_batches
+from lakekit.llm.encoding import HASHED_BYTES, blob_batches, slices, small_batches
 from lakekit.llm.words import word_hashes
 
 MOST_DISCOUNTED = 5
 TRAINING_MODULUS, HELD_OUT = 7, 2
 # Tokens of a task that are packed together.
 FLUSHED_TOKENS = 3_000_000
+# Pairs of a partition that are worked on at a time, at some 100 bytes each.
+WORKED_PAIRS = 500_000
 # Words of more than this share of a partition in a sample of texts are split.
 SPLIT_SHARE = 0.25
 SAMPLED_DOCS = 4000
@@ -151,15 +153,33 @@ def _pack_pairs(task: int, first: np.ndarray, second: np.ndarray, doc: np.ndarra
     )
 
 
-def _unpack_pairs(packed: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``first, second, doc`` of all pairs of a partition, sorted by second and first. The
-    packed ones are given up on the way."""
+def _slice(packed: tuple, low: int, high: int) -> tuple:
+    """The packed pairs of the words from ``low`` to before ``high``."""
+    task, words, per_word, firsts, at, per_type, doc = packed
+    a = int(np.searchsorted(words, np.uint64(low)))
+    b = int(np.searchsorted(words, np.uint64(high))) if high < 1 << 64 else len(words)
+    c, d = int(per_word[:a].sum()), int(per_word[:b].sum())
+    e, f = int(per_type[:c].sum()), int(per_type[:d].sum())
+    return task, words[a:b], per_word[a:b], firsts, at[c:d], per_type[c:d], doc[e:f]
+
+
+def _unpack_pairs(packed: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``first, second, doc`` of all pairs of a partition, sorted by second and first, in runs of
+    words. As words are hashes, equal ranges of them have about as many pairs."""
+    runs = sum(len(x[-1]) for x in packed) // WORKED_PAIRS + 1
+    edges = [(i << 64) // runs for i in range(runs + 1)]
+    for low, high in zip(edges, edges[1:], strict=False):
+        found = [_slice(x, low, high) for x in packed]
+        if any(len(x[-1]) for x in found):
+            yield _unpacked(found)
+
+
+def _unpacked(packed: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     parts = []
     for task, words, per_word, firsts, at, per_type, doc in packed:
         per_type = per_type.astype(np.int64)
         second = np.repeat(np.repeat(words, per_word.astype(np.int64)), per_type)
         parts.append((np.repeat(firsts[at], per_type), second, doc.astype(np.int64) + (task << 32)))
-    packed.clear()
     first, second, doc = (np.concatenate(x) for x in zip(*parts, strict=True))
     del parts
     order = np.lexsort((first, second))
@@ -179,41 +199,37 @@ def _texts_to_pairs(docs: DataFrame, parts: int, split: np.ndarray) -> RDD:
         held: list[tuple] = []
         ids, sizes, waiting, numbered = [], [], 0, 0
 
-        def rows() -> Iterator[pa.RecordBatch]:
-            first, second, doc = (np.concatenate(x) for x in zip(*held, strict=True))
+        def rows() -> Iterator[tuple[int, bytes]]:
+            second, doc = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
+            # The word before, or a start: texts are whole, so one follows each end.
+            first = np.concatenate([[START], second[:-1]]).astype(np.uint64)
+            first[first == END] = START
             part = _part(first, second, parts, split)
             order = np.argsort(part, kind="stable")
             cuts = np.searchsorted(part[order], np.arange(parts + 1))
-            out, names = [], []
+            del part
             for p in np.flatnonzero(np.diff(cuts)):
                 at = order[cuts[p] : cuts[p + 1]]
-                out.append(_shut("pairs", _pack_pairs(task, first[at], second[at], doc[at])))
-                names.append(int(p))
-            yield pa.RecordBatch.from_pydict(
-                {"part": pa.array(names, pa.int32()), "packed": pa.array(out, pa.binary())}
-            )
+                yield int(p), _shut("pairs", _pack_pairs(task, first[at], second[at], doc[at]))
 
-        for batch in (x for whole in batches for x in slices(whole, "text")):
+        for batch in (x for whole in batches for x in slices(whole, "text", HASHED_BYTES)):
             words, counts = word_hashes(batch.column("text"))
             doc_ids = batch.column("doc_id").to_pylist()
             number = 2 * (numbered + np.arange(len(counts))) + [held_out(i) for i in doc_ids]
             number = number.astype(np.uint32)
-            # An end after each text's words; the word before, or a start.
-            ends = np.cumsum(counts)
-            second = np.insert(words, ends, END)
-            first = np.concatenate([[START], second[:-1]]).astype(np.uint64)
-            first[np.cumsum(counts + 1) - counts - 1] = START
-            held.append((first, second, np.repeat(number, counts + 1)))
+            # An end after each text's words.
+            second = np.insert(words, np.cumsum(counts), END)
+            held.append((second, np.repeat(number, counts + 1)))
             ids += doc_ids
             sizes.append(counts + 1)
             numbered += len(counts)
             waiting += len(second)
             if waiting >= FLUSHED_TOKENS:
-                yield from rows()
+                yield from blob_batches("part", "packed", rows())
                 waiting = 0
         if held:
-            yield from rows()
+            yield from blob_batches("part", "packed", rows())
         if ids:
             packed = _shut("docs", (task, ids, np.concatenate(sizes)))
             yield pa.RecordBatch.from_pydict(
@@ -240,19 +256,35 @@ def _partition(rows: Iterator) -> tuple[list, list]:
     return pairs, docs
 
 
-def _counted(pairs: list[tuple], split: dict[int, int]):
-    """``first, second, doc``, starts of the types, their training counts and their words'."""
-    first, second, doc = _unpack_pairs(pairs)
-    training = (doc & 1) == 0
-    types = _runs(second, first)
-    count = np.add.reduceat(training.astype(np.int64), types)
-    words = _runs(second[types])
-    word_count = np.add.reduceat(count, words)
-    names = second[types][words]
-    for i in np.flatnonzero(np.isin(names, np.array(list(split), dtype=np.uint64))):
-        word_count[i] = split[int(names[i])]
-    per_type = np.repeat(word_count, np.diff(np.append(words, len(types))))
-    return first, second, doc, types, count, per_type, names, word_count
+def _counted(pairs: list[tuple], split: dict[int, int]) -> Iterator[tuple[np.ndarray, ...]]:
+    """By runs of words: ``first, second`` of the types, the documents of all pairs, how many of
+    them each type has, the types' training counts and their words'; the words, their counts."""
+    for first, second, doc in _unpack_pairs(pairs):
+        types = _runs(second, first)
+        per_type = np.diff(np.append(types, len(first)))
+        count = np.add.reduceat(((doc & 1) == 0).astype(np.int64), types)
+        first, second = first[types], second[types]
+        words = _runs(second)
+        word_count = np.add.reduceat(count, words)
+        names = second[words]
+        for i in np.flatnonzero(np.isin(names, np.array(list(split), dtype=np.uint64))):
+            word_count[i] = split[int(names[i])]
+        of_type = np.repeat(word_count, np.diff(np.append(words, len(types))))
+        yield first, second, doc, per_type, count, of_type, names, word_count
+
+
+def _summed(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct keys in ascending order, and the sums of each column by them."""
+    names, of = np.unique(keys, return_inverse=True)
+    return names, *(np.bincount(of, x, minlength=len(names)) for x in columns)
+
+
+def _joined(parts: list[tuple]) -> Iterator[np.ndarray]:
+    """Column by column; the parts are given up."""
+    columns = list(zip(*parts, strict=True))
+    parts.clear()
+    while columns:
+        yield np.concatenate(columns.pop(0))
 
 
 def _counts_of_counts(counts: np.ndarray) -> np.ndarray:
@@ -273,7 +305,7 @@ def _split_words(docs: DataFrame, parts: int) -> dict[int, int]:
     least = SPLIT_SHARE / parts
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (x for whole in batches for x in slices(whole, "text", HASHED_BYTES)):
             words, n = np.unique(word_hashes(batch.column("text"))[0], return_counts=True)
             yield pa.RecordBatch.from_pydict({"w": words.view(np.int64), "n": n.astype(np.int64)})
 
@@ -285,7 +317,7 @@ def _split_words(docs: DataFrame, parts: int) -> dict[int, int]:
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(split), dtype=np.int64)
-        for batch in (x for whole in batches for x in slices(whole, "text")):
+        for batch in (x for whole in batches for x in slices(whole, "text", HASHED_BYTES)):
             words, counts = word_hashes(batch.column("text"))
             training = np.array([not held_out(i) for i in batch.column("doc_id").to_pylist()], dtype=bool)
             words = words[np.repeat(training, counts)]
@@ -315,16 +347,14 @@ def score(docs: DataFrame) -> DataFrame:
 
     def statistics(rows: Iterator) -> Iterator:
         pairs, _ = _partition(rows)
-        if not pairs:
-            return
-        _, _, _, _, count, _, words, word_count = _counted(pairs, split)
-        own = ~np.isin(words, names)
-        yield (
-            _counts_of_counts(count),
-            _counts_of_counts(word_count[own]),
-            int(count.sum()),
-            int((word_count[own] > 0).sum()),
-        )
+        for _, _, _, _, count, _, words, word_count in _counted(pairs, split):
+            own = ~np.isin(words, names)
+            yield (
+                _counts_of_counts(count),
+                _counts_of_counts(word_count[own]),
+                int(count.sum()),
+                int((word_count[own] > 0).sum()),
+            )
 
     zero = (np.zeros(MOST_DISCOUNTED + 1, np.int64),) * 2 + (0, 0)
     found = dealt.mapPartitions(statistics).fold(zero, lambda a, b: tuple(x + y for x, y in zip(a, b, strict=True)))
@@ -347,31 +377,30 @@ def score(docs: DataFrame) -> DataFrame:
             yield int(value[0]) % parts, _shut("docs", value)
         if not pairs:
             return
-        first, second, doc, types, count, word_count, _, _ = _counted(pairs, split)
-        per_type = np.diff(np.append(types, len(first)))
-        seen = count > 0
-        p1 = unigram(word_count)
-        value = np.log10(np.where(seen, _discounted(count, pair_d), p1))
-        # Each word is the context of the next one and gives that its total.
-        value -= np.where(second[types] == END, 0.0, np.log10(word_count + 1.0))
-        base = np.log10(word_count + 1.0)
-        at, doc_of = np.unique(doc, return_inverse=True)
-        weights = (np.repeat(x, per_type) for x in (value, base, (word_count > 0).astype(float)))
-        by_doc = [np.bincount(doc_of, x, minlength=len(at)) for x in weights]
+        by_doc, by_context, backed = [], [], []
+        for first, second, doc, per_type, count, word_count, _, _ in _counted(pairs, split):
+            seen = count > 0
+            p1 = unigram(word_count)
+            value = np.log10(np.where(seen, _discounted(count, pair_d), p1))
+            # Each word is the context of the next one and gives that its total.
+            value -= np.where(second == END, 0.0, np.log10(word_count + 1.0))
+            base = np.log10(word_count + 1.0)
+            weights = (np.repeat(x, per_type) for x in (value, base, (word_count > 0).astype(float)))
+            by_doc.append(_summed(doc, *weights))
+            # By context: what discounts leave of its pairs, and the unigram share of its words.
+            left = (count - _discounted(count, pair_d))[seen]
+            by_context.append(_summed(first[seen], left, p1[seen]))
+            backed.append((np.repeat(first[~seen], per_type[~seen]), doc[np.repeat(~seen, per_type)]))
+        pairs.clear()
+        at, *by_doc = _summed(*_joined(by_doc))
         by_doc = [_fixed(by_doc[0]), _fixed(by_doc[1]), _narrow(by_doc[2])]
-        del value, base, weights, doc_of
         tasks = at >> 32
         for task in np.unique(tasks).tolist():
             rows_ = tasks == task
             number = (at[rows_] & 0xFFFFFFFF).astype(np.uint32)
             yield task % parts, _shut("sums", (task, number, *(x[rows_] for x in by_doc)))
-        # By context: what discounts leave of its pairs, and the unigram share of its words.
-        context = first[types][seen]
-        left = (count - _discounted(count, pair_d))[seen]
-        contexts, of = np.unique(context, return_inverse=True)
-        rest, share = (np.bincount(of, x, minlength=len(contexts)) for x in (left, p1[seen]))
-        backed = np.repeat(~seen, per_type)
-        asked, who = first[backed], doc[backed]
+        contexts, rest, share = _summed(*_joined(by_context))
+        asked, who = _joined(backed)
         order = np.lexsort((who, asked))
         asked, who = asked[order], who[order]
         to = _deal(contexts, parts)

@@ -12,7 +12,7 @@ A null text counts as empty. The file's special strings are ordinary text here.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from unicodedata import is_normalized
 
@@ -31,6 +31,10 @@ JOINED_WORDS = 4096
 GATHERED_WORDS = 1 << 18
 # Characters of a batch that are worked on at a time.
 SLICE_BYTES = 8_000_000
+# The same where words are hashed, which takes some 50 bytes for each character.
+HASHED_BYTES = 1_000_000
+# Bytes of a batch of blobs on its way to Spark, which holds a batch whole.
+BATCH_BYTES = 1_000_000
 # The white space a byte-level splitter knows, and the splitter of the
 # vocabulary with word ends.
 WHITE_SPACE = (
@@ -254,15 +258,37 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
-def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with a bounded amount of text, a longer text on its own."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0)).astype(np.int64)
-    marks = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE_BYTES)) + 1
+    marks = np.flatnonzero(np.diff(np.cumsum(sizes) // most)) + 1
     for a, b in zip([0, *marks.tolist()], [*marks.tolist(), batch.num_rows], strict=True):
         if a < b:
             yield batch.slice(a, b - a)
 
 
+def blob_batches(
+    numbers: str, column: str, rows: Iterable[tuple[int, bytes]], most: int = BATCH_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Numbered blobs as Arrow batches of about ``most`` bytes; the rows are made on the way."""
+    held: list[tuple[int, bytes]] = []
+    size = 0
+
+    def batch() -> pa.RecordBatch:
+        names, blobs = zip(*held, strict=True)
+        return pa.RecordBatch.from_pydict({numbers: pa.array(names, pa.int32()), column: pa.array(blobs, pa.binary())})
+
+    for row in rows:
+        held.append(row)
+        size += len(row[1])
+        if size >= most:
+            yield batch()
+            held.clear()
+            size = 0
+    if held:
+        yield batch()
+
+
 def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """The end id after each text's ids."""
     return np.insert(ids, np.cumsum(counts), end_id), counts + 1

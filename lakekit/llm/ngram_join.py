@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakekit.llm.components import components
-from lakekit.llm.encoding import slices, small_batches
+from lakekit.llm.encoding import HASHED_BYTES, blob_batches, slices, small_batches
 from lakekit.llm.words import mix, shingle_sets
 from lakekit.operators.lookup import join_lookup
 from lakekit.session import stage
@@ -204,7 +204,7 @@ def _described(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, "text")):
+        for batch in (part for whole in batches for part in slices(whole, "text", HASHED_BYTES)):
             hashes, counts = shingle_sets(batch.column("text"), SHINGLE_WORDS)
             columns = [
                 batch.column("doc_id").cast(pa.int64()),
@@ -239,7 +239,7 @@ def _keys(docs: DataFrame, parts: int) -> DataFrame:
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         held, kept = [], 0
-        for batch in (part for whole in batches for part in slices(whole, "text")):
+        for batch in (part for whole in batches for part in slices(whole, "text", HASHED_BYTES)):
             hashes, counts = shingle_sets(batch.column("text"), SHINGLE_WORDS)
             ids = set_ids(hashes, counts)
             # A copy within the task gives no keys again.
@@ -248,13 +248,13 @@ def _keys(docs: DataFrame, parts: int) -> DataFrame:
             found, owner, size_class, need = group_keys(
                 hashes[np.repeat(fresh, counts)], np.where(fresh, counts, 0)
             )
-            held.append((found, ids[owner], size_class, need))
+            held.append((found, ids[owner], size_class.astype(np.uint8), need.astype(np.uint32)))
             kept += len(found)
             if kept >= FLUSHED_KEYS:
-                yield _blobs(*(np.concatenate(x) for x in zip(*held, strict=True)), parts)
-                held, kept = [], 0
+                yield from blob_batches("part", "blob", _blobs(held, parts))
+                kept = 0
         if kept:
-            yield _blobs(*(np.concatenate(x) for x in zip(*held, strict=True)), parts)
+            yield from blob_batches("part", "blob", _blobs(held, parts))
 
     return docs.select("text").mapInArrow(describe, KEY_ROWS)
 
@@ -262,13 +262,14 @@ def _keys(docs: DataFrame, parts: int) -> DataFrame:
 _MEMBER = np.dtype([("cls", "<u8"), ("size_class", "u1"), ("need", "<u4")])
 
 
-def _blobs(keys, owners, size_class, need, parts: int) -> pa.RecordBatch:
+def _blobs(held: list[tuple], parts: int) -> Iterator[tuple[int, bytes]]:
     """Keys by the part that will compare them: classes once, then 6 bytes of each key, which
-    the part completes well enough, and the place of its class."""
+    the part completes well enough, and the place of its class. The held ones are given up."""
+    keys, owners, size_class, need = (np.concatenate(x) for x in zip(*held, strict=True))
+    held.clear()
     part = (keys % np.uint64(parts)).astype(np.int32)
     order = np.argsort(part, kind="stable")
     cuts = np.searchsorted(part[order], np.arange(parts + 1))
-    blobs, numbers = [], []
     for p in np.flatnonzero(np.diff(cuts)):
         rows = order[cuts[p] : cuts[p + 1]]
         # A class and its class of sizes in one number, as a set takes part in two.
@@ -280,11 +281,7 @@ def _blobs(keys, owners, size_class, need, parts: int) -> pa.RecordBatch:
         head = np.array([len(members), len(rows)], dtype="<u4").tobytes()
         tail = (keys[rows] // np.uint64(parts)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
         places = at.astype("<u2" if len(members) <= 1 << 16 else "<u4")
-        blobs.append(head + members.tobytes() + tail.tobytes() + places.tobytes())
-        numbers.append(p)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary())], names=["part", "blob"]
-    )
+        yield int(p), head + members.tobytes() + tail.tobytes() + places.tobytes()
 
 
 def _unblob(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -359,7 +356,7 @@ def _sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, "text")):
+        for batch in (part for whole in batches for part in slices(whole, "text", HASHED_BYTES)):
             hashes, counts = shingle_sets(batch.column("text"), SHINGLE_WORDS)
             ids = set_ids(hashes, counts).view(np.int64)
             ends = np.concatenate([[0], np.cumsum(counts)])
